@@ -29,7 +29,6 @@ _CSV_OPTIONS = {
     "header": "true",
     "quote": '"',
     "escape": '"',
-    "emptyValue": "",
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
@@ -62,6 +61,7 @@ def write_csv(df: DataFrame, path: str, mode: str = "error", rows_per_file: int
         .write.mode(mode)
         .options(**_CSV_OPTIONS)
         .option("nullValue", NULL_TOKEN)
+        .option("emptyValue", '""')
         .option("maxRecordsPerFile", rows_per_file)
         .csv(path)
     )
@@ -89,7 +89,7 @@ def read_csv(
     the header, and those the schema does not list are left out. ``infer=True``
     guesses the types instead, for files nobody described.
     """
-    reader = spark.read.options(**_CSV_OPTIONS).option("nullValue", null_token).option("multiLine", "true")
+    reader = spark.read.options(**_CSV_OPTIONS).options(nullValue=null_token, emptyValue="", multiLine="true")
     if infer:
         return reader.option("inferSchema", "true").csv(path)
     schema = schema or read_schema(spark, path)

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,11 +23,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     if not base:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError(f"set {DIR_SETTING} to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="tallymark-")
-        spark.conf.set(DIR_SETTING, base)
+        base = _local_folder()
     return f"{base.rstrip('/')}/tallymark/{label}-{uuid.uuid4().hex}"
 
 
+@cache
+def _local_folder() -> str:
+    # one machine only: a test or a trial run
+    return tempfile.mkdtemp(prefix="tallymark-")
+
+
 def stash(df: DataFrame, label: str = "stash") -> DataFrame:
     """Write ``df`` to a scratch table and return the table."""
     spark = df.sparkSession
