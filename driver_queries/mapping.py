@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from driver_queries.registry import TARGET_SQL, orders_target, query, table
 from tallymark.functions import rules as R
-from tallymark.operators.mapping import apply_column_rules, apply_mapping, select_partial
+from tallymark.operators.mapping import apply_column_rules, apply_mapping, conform_columns, select_partial
 from tallymark.spec import ColumnMap, GlobalRule, LookupJoin, TableMap
 
 
@@ -266,13 +268,22 @@ _MAPPED_SQL = """SELECT o_orderkey AS ORDER_KEY, coalesce(upper(trim(o_orderstat
 
 
 @query(_MAPPED_SQL.format(
-    old="DECIMAL(19,0)", more=", c_mktsegment AS SEGMENT, length(c_mktsegment) AS SEGMENT_LENGTH",
+    old="DECIMAL(19,0)", more=", c_mktsegment || '!' AS SEGMENT",
     source="orders LEFT JOIN customer ON o_custkey = c_custkey"))
 def apply_mapping_orders(spark, sf_dir):
-    """Lookup, rules in order, null handling, global rules, then a hook of the user's own."""
-    mapping = order_map(table(spark, sf_dir, "customer"))
-    mapped = apply_mapping(table(spark, sf_dir, "orders"), mapping)
-    return mapped.transform(lambda df: df.withColumn("SEGMENT_LENGTH", F.length("SEGMENT")))
+    """Lookup, rules in order, null handling, global rules, then a function of the user's own."""
+    mapping = replace(
+        order_map(table(spark, sf_dir, "customer")),
+        hook=lambda df: df.withColumn("SEGMENT", F.concat("SEGMENT", F.lit("!"))),
+    )
+    return apply_mapping(table(spark, sf_dir, "orders"), mapping)
+
+
+@query("SELECT o_orderpriority AS PRIORITY, o_orderkey AS KEY FROM orders")
+def conform_order(spark, sf_dir):
+    """The target's columns, in its order and its spelling."""
+    orders = table(spark, sf_dir, "orders").withColumnsRenamed({"o_orderkey": "key", "o_orderpriority": "priority"})
+    return conform_columns(orders, ["PRIORITY", "KEY"])
 
 
 @query("""SELECT o_orderkey AS ORDER_KEY, upper(trim(o_orderstatus)) AS STATUS,

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
+from pyspark.sql import functions as F
+
 from driver_queries.mapping import order_map
 from driver_queries.registry import (
     ORDERS_DIFF_SQL,
@@ -14,14 +18,13 @@ from driver_queries.registry import (
     sql_text,
     table,
 )
-from pyspark.sql import functions as F
-
+from tallymark.operators.mapping import apply_mapping
 from tallymark.plans.reconcile import reconcile
 from tallymark.plans.report import write_report
 from tallymark.plans.validation import ValidationJob, run_validation
 from tallymark.sources.files import read_csv, read_diff, write_csv
 from tallymark.sources.scratch import scratch_path
-from tallymark.sources.servers import load_servers, union_servers
+from tallymark.sources.servers import extract_servers, load_servers, union_servers
 from tallymark.spec import ServerSource
 
 
@@ -56,12 +59,10 @@ def report_roundtrip(spark, sf_dir):
 def load_servers_csv(spark, sf_dir):
     """One CSV folder per server, each loaded with its schema and filtered."""
     orders = table(spark, sf_dir, "orders")
-    sources = []
-    for i in range(3):
-        path = scratch_path(spark, "server")
-        write_csv(orders.filter(F.col("o_orderkey") % 3 == i), path)
-        sources.append(ServerSource(f"s{i}", path, where="o_totalprice > 50000"))
-    return union_servers(load_servers(spark, sources), strict=True)
+    frames = {f"s{i}": orders.filter(F.col("o_orderkey") % 3 == i) for i in range(3)}
+    extracts = extract_servers(frames, scratch_path(spark, "servers"))
+    wanted = [replace(e, where="o_totalprice > 50000") for e in extracts]
+    return union_servers(load_servers(spark, wanted), strict=True)
 
 
 _MAPPED = """SELECT o_orderkey AS order_key, coalesce(upper(trim(o_orderstatus)), 'N') AS status,
@@ -82,8 +83,6 @@ _MAPPED = """SELECT o_orderkey AS order_key, coalesce(upper(trim(o_orderstatus))
 ))
 def validation_run(spark, sf_dir):
     """Three servers are loaded, mapped, united and filtered, and compared with the target."""
-    from tallymark.operators.mapping import apply_mapping
-
     path = f"{sf_dir}/orders.parquet"
     servers = [ServerSource(f"s{i}", path, "parquet", where=f"o_orderkey % 3 = {i}") for i in range(3)]
     mapping = order_map()

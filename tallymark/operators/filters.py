@@ -97,7 +97,8 @@ def pk_filter(
     if values is None:
         raise ValueError("a key set needs values")
     if isinstance(values, DataFrame):
-        wanted = values.select(*[col(find(values.columns, k, "key table")).alias(k) for k in keys])
+        # each key once: one that the table repeats very often is folded before it moves
+        wanted = values.select(*[col(find(values.columns, k, "key table")).alias(k) for k in keys]).distinct()
         return df.join(wanted, keys, "left_semi")
     values = list(values)
     if len(keys) == 1 and len(values) <= INLINE_VALUES:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import warnings
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 
@@ -11,7 +13,7 @@ from tallymark.functions.names import col, find
 from tallymark.functions.nulls import effective_handling, fill
 from tallymark.operators.checks import require_no_nulls
 from tallymark.operators.joins import lookup_join
-from tallymark.spec import ColumnMap, TableMap
+from tallymark.spec import ColumnMap, LookupJoin, TableMap
 
 
 def apply_mapping(df: DataFrame, mapping: TableMap, check_nulls: bool = True) -> DataFrame:
@@ -27,8 +29,7 @@ def apply_mapping(df: DataFrame, mapping: TableMap, check_nulls: bool = True) ->
     for rule in sorted(mapping.global_rules, key=lambda r: r.order):
         df = apply_global_rule(df, rule.operation, rule.parameters, chosen_columns(rule.condition, declared))
     if mapping.hook is not None:
-        df = df.transform(mapping.hook)
-        df = conform_columns(df, mapping.targets)
+        df = conform_columns(apply_hook(df, mapping.hook), mapping.targets)
     if check_nulls and mapping.required:
         require_no_nulls(df, mapping.required)
     return df
@@ -83,12 +84,22 @@ def _ruled(m: ColumnMap) -> Column:
     return c
 
 
+def apply_hook(df: DataFrame, fn: Callable[..., DataFrame], rulebook: dict | None = None) -> DataFrame:
+    """Run a user's own DataFrame function, with its rulebook if it takes one."""
+    result = fn(df) if rulebook is None else fn(df, rulebook)
+    if not isinstance(result, DataFrame):
+        raise TypeError(f"a transform must return a DataFrame, not {type(result).__name__}")
+    return result
+
+
 def conform_columns(df: DataFrame, names: Sequence[str], missing: str = "error") -> DataFrame:
-    """Exactly these columns in this order. ``missing="skip"`` leaves out those that are not there."""
+    """Exactly these columns in this order. ``missing="warn"`` goes on without those not there."""
     have = {c.lower(): c for c in df.columns}
     absent = [n for n in names if n.lower() not in have]
     if absent and missing == "error":
         raise ValueError(f"column(s) {absent} not found in {df.columns}")
+    if absent:
+        warnings.warn(f"column(s) {absent} not found, left out", stacklevel=2)
     return df.select(*[col(have[n.lower()]).alias(n) for n in names if n.lower() in have])
 
 
@@ -114,4 +125,14 @@ def select_partial(mapping: TableMap, columns: Sequence[str]) -> TableMap:
         needed = {t for r in reads for t in ({r} if r in by_name else by_source.get(r, set()))}
         queue.extend(needed - wanted)
         wanted |= needed
-    return mapping.with_columns([m for m in mapping.columns if m.kind != "drop" and m.target.lower() in wanted])
+    chosen = [m for m in mapping.kept if m.target.lower() in wanted]
+    return replace(mapping, columns=tuple(chosen), joins=tuple(j for j in mapping.joins if _needed(j, chosen)))
+
+
+def _needed(join: LookupJoin, maps: Sequence[ColumnMap]) -> bool:
+    """Whether a map reads what the join fetches. Other than LEFT joins stay, they choose rows."""
+    fetched = set(join.fetch.values() if isinstance(join.fetch, Mapping) else join.fetch)
+    read = {m.source.lower() for m in maps if m.source}
+    for m in maps:
+        read |= (m.rule.reads(m.target) or set()) if m.rule is not None else set()
+    return join.how.strip().lower() != "left" or bool({c.lower() for c in fetched} & read)

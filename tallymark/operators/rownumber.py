@@ -95,14 +95,14 @@ def number_within_keys(
 
 def _placed(df: DataFrame, order: Sequence[str], unique: bool, partitions: int | None) -> DataFrame:
     """The rows in sorted range partitions, with their partition and position, as a scratch table."""
-    spark = df.sparkSession
-    count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sort = _ascending(order)
     if not unique:
         # ids that a retried task cannot change let equal rows be told apart, and so be split
         df = stash(df.withColumn(_TIE, F.monotonically_increasing_id()), "ties")
         sort = [*sort, col(_TIE).asc()]
-    placed = df.repartitionByRange(count, *sort).sortWithinPartitions(*sort)
+    # with no number given, Spark sizes the partitions by their bytes; each stays one range
+    ranged = df.repartitionByRange(partitions, *sort) if partitions else df.repartitionByRange(*sort)
+    placed = ranged.sortWithinPartitions(*sort)
     return stash(placed.withColumn(_POSITION, F.monotonically_increasing_id()), "placed")
 
 

@@ -166,6 +166,7 @@ def reconcile(
     on_duplicate: str = "error",
     temporal: str = "text",
     force_types: Mapping[str, str] | None = None,
+    snapshot: bool = False,
     hot_key_rows: int = HOT_KEY_ROWS,
 ) -> ReconResult:
     """Compare ``source`` (expected) with ``target`` (actual) on ``keys``.
@@ -180,10 +181,15 @@ def reconcile(
 
     ``temporal``: ``text`` keeps a date and a timestamp apart, ``promote``
     compares them as timestamps. ``force_types`` casts columns of both sides first.
+
+    ``snapshot`` writes both sides to scratch tables first. Use it where reading
+    twice is dear or might give different rows: a live database, a long mapping.
     """
     if method not in METHODS:
         raise ValueError(f"method must be one of {METHODS}, not {method!r}")
     sides = prepare(source, target, keys, columns, exclude, temporal, force_types)
+    if snapshot:
+        sides = replace(sides, source=stash(sides.source, "source"), target=stash(sides.target, "target"))
     sides = _settle_duplicates(sides, on_duplicate, check=method != "hash", hot_key_rows=hot_key_rows)
     outcome = stash({"hash": _hash_outcome, "full": _full_outcome, "anti": _anti_outcome}[method](sides), "outcome")
     return ReconResult(sides, method, _read_counts(sides, outcome), outcome)
@@ -351,8 +357,7 @@ def _hash_diff(sides: Sides, outcome: DataFrame, counts: ReconCounts) -> DataFra
     if counts.missing_rows and sides.has_server:
         tagged = sides.source.select(*[col(k) for k in pairing], col(SERVER_COLUMN))
         missing = keys_in(tagged, outcome.filter(col(_STATUS) == MISSING), pairing)
-        server = F.coalesce(col(SERVER_COLUMN), F.lit(UNKNOWN_SERVER))
-        parts.append(_whole_row(missing, MISSING, sides.key_text(), server))
+        parts.append(_whole_row(missing, MISSING, sides.key_text(), _server(SERVER_COLUMN, True)))
     if counts.mismatched_rows:
         changed = outcome.filter(col(_STATUS) == MISMATCH).select(*[col(k) for k in pairing])
         both = null_safe_join(
@@ -385,11 +390,10 @@ def _anti_outcome(sides: Sides) -> DataFrame:
     both = null_safe_join(sides.source, sides.target, sides.pairing, "inner")
     status = F.when(_any_differs(sides.columns), MISMATCH).otherwise(MATCH)
     folded = _fold(both, sides, status, {k: col(f"src_{k}") for k in sides.pairing})
-    tag = col(SERVER_COLUMN) if sides.has_server else F.lit(None).cast("string")
     missing = keys_not_in(sides.source, sides.target, sides.pairing)
     extra = keys_not_in(sides.target, sides.source, sides.pairing)
     return (
-        folded.unionByName(_lone_rows(missing, sides, MISSING, F.coalesce(tag, F.lit(UNKNOWN_SERVER))))
+        folded.unionByName(_lone_rows(missing, sides, MISSING, _server(SERVER_COLUMN, sides.has_server)))
         .unionByName(_lone_rows(extra, sides, EXTRA, F.lit(NO_SERVER)))
     )
 
@@ -476,8 +480,13 @@ def _any_differs(columns: Sequence[str]) -> Column:
 
 
 def _joined_server(has_server: bool) -> Column:
-    tag = col(f"src_{SERVER_COLUMN}") if has_server else F.lit(None).cast("string")
-    return F.coalesce(tag, F.lit(UNKNOWN_SERVER))
+    return _server(f"src_{SERVER_COLUMN}", has_server)
+
+
+def _server(name: str, has_server: bool) -> Column:
+    if not has_server:
+        return F.lit(UNKNOWN_SERVER)
+    return F.coalesce(F.nullif(col(name), F.lit("")), F.lit(UNKNOWN_SERVER))
 
 
 def _whole_row(rows: DataFrame, diff_type: str, text: Column, server: Column) -> DataFrame:

@@ -82,20 +82,26 @@ def read_csv(
     schema: StructType | None = None,
     null_token: str = NULL_TOKEN,
     infer: bool = False,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Read CSV with its schema, so that ``00123`` stays text where the schema says text.
 
     Without ``schema`` the one beside the folder is used. Columns are found by
     the header, and those the schema does not list are left out. ``infer=True``
-    guesses the types instead, for files nobody described.
+    guesses the types instead, for files nobody described. ``multi_line=False``
+    lets Spark split large files, where no value holds a line break.
     """
-    reader = spark.read.options(**_CSV_OPTIONS).options(nullValue=null_token, emptyValue="", multiLine="true")
+    reader = spark.read.options(**_CSV_OPTIONS).options(
+        nullValue=null_token, emptyValue="", multiLine=str(multi_line).lower()
+    )
     if infer:
         return reader.option("inferSchema", "true").csv(path)
     schema = schema or read_schema(spark, path)
     # every value is read as text under the header's names, then cast to the schema's type
     raw = reader.csv(path)
     names = {c.lower(): c for c in raw.columns}
+    if not names:
+        return spark.createDataFrame([], schema)
     own_files = null_token == NULL_TOKEN
     out = []
     for f in schema.fields:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark.operators.filters import where
-from tallymark.sources.files import read_csv
+from tallymark.sources.files import read_csv, write_csv
 from tallymark.spec import ServerSource
 
 SERVER_COLUMN = "_source_server"
@@ -30,6 +30,16 @@ def load_servers(spark: SparkSession, servers: Iterable[ServerSource]) -> dict[s
     return loaded
 
 
+def extract_servers(frames: Mapping[str, DataFrame], folder: str, mode: str = "error") -> list[ServerSource]:
+    """Save each server's extract as CSV under ``folder``, and say where each lies."""
+    sources = []
+    for name, df in frames.items():
+        path = f"{folder.rstrip('/')}/{name}"
+        write_csv(df, path, mode)
+        sources.append(ServerSource(name, path))
+    return sources
+
+
 def tag_server(df: DataFrame, name: str) -> DataFrame:
     """Mark rows with the server they came from."""
     return df.withColumn(SERVER_COLUMN, F.lit(name))
