@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallymark.functions.casts import safe_cast
 from tallymark.functions.names import col
 
 # Fixed value: decimal places at which doubles are compared when no decimal column sets a scale.
@@ -67,7 +68,7 @@ def canonical_text(c: Column, dtype: T.DataType, scale: int | None) -> Column:
     if isinstance(dtype, _FLOATING):
         places = DOUBLE_SCALE if scale is None else scale
         number = c.cast("double")
-        fixed = F.round(number, places).try_cast(T.DecimalType(38, places))
+        fixed = safe_cast(F.round(number, places), T.DecimalType(38, places))
         # NaN, the infinities and numbers past 38 digits keep their own text
         return F.coalesce(_strip_zeros(_plain(fixed, places), places), number.cast("string"))
     text = F.trim(c.cast("string"))

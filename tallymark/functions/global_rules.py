@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from tallymark.functions.casts import safe_cast
 from tallymark.functions.names import col
 from tallymark.functions.rules import CAST_TYPES
 from tallymark.functions.types import TYPE_FAMILIES, base_type
@@ -58,7 +59,7 @@ def apply_global_rule(df: DataFrame, operation: str, parameters: Sequence, colum
     if operation == "CAST":
         (name,) = parameters
         spark_type = CAST_TYPES.get(name.strip().lower(), name)
-        changed = {c: col(c).try_cast(spark_type) for c in present}
+        changed = {c: safe_cast(col(c), spark_type) for c in present}
     elif operation in TEXT_OPERATIONS:
         build = TEXT_OPERATIONS[operation]
         changed = {c: build(col(c), *parameters) for c in present if isinstance(types[c], StringType)}

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tallymark.functions.casts import safe_cast
 from tallymark.functions.names import col
 
 VAL = "val"
@@ -251,7 +252,7 @@ def ifnull(default, name: str = VAL) -> Rule:
 def cast(type_name: str, name: str = VAL) -> Rule:
     """Cast; a value that does not fit becomes NULL, whatever the session's ANSI setting."""
     spark_type = CAST_TYPES.get(type_name.strip().lower(), type_name)
-    return _of(name, lambda c: c.try_cast(spark_type))
+    return _of(name, lambda c: safe_cast(c, spark_type))
 
 
 def column(name: str = VAL) -> Rule:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import StringType, StructType
 
+from tallymark.functions.casts import safe_cast
 from tallymark.functions.names import col, find
 from tallymark.functions.types import agrees_with_spark, declared_type_to_spark, spark_type_to_declared
 from tallymark.spec import DeclaredColumn
@@ -98,59 +100,80 @@ def row_count_check(stages: Mapping[str, DataFrame]) -> DataFrame:
     ])
 
 
-def conformance(df: DataFrame, declared: Sequence[DeclaredColumn], mode: str = "full") -> DataFrame:
-    """Where a table departs from its declaration.
+def schema_issues(
+    schema: StructType, declared: Sequence[DeclaredColumn], mode: str = "full"
+) -> list[tuple[str, str, str | None, str | None]]:
+    """(column, issue, declared type, actual type) wherever a schema departs from a declaration.
 
-    Names and types come from the schema: MISSING_COLUMN, EXTRA_COLUMN (only in
-    mode ``full``) and TYPE_MISMATCH, with no row count. Rows are counted in one
-    pass: BAD_VALUE does not fit the declared type, TOO_LONG exceeds the
-    declared length, NULL_VALUE is a NULL in a column declared not to have any.
+    MISSING_COLUMN and TYPE_MISMATCH, and in mode ``full`` EXTRA_COLUMN.
     """
     if mode not in ("full", "partial"):
         raise ValueError(f"mode must be 'full' or 'partial', not {mode!r}")
+    fields = {f.name.lower(): f for f in schema.fields}
+    issues = []
+    for d in declared:
+        f = fields.pop(d.name.lower(), None)
+        if f is None:
+            issues.append((d.name, "MISSING_COLUMN", d.dtype, None))
+        elif not agrees_with_spark(d.dtype, f.dataType):
+            issues.append((d.name, "TYPE_MISMATCH", d.dtype, spark_type_to_declared(f.dataType)))
+    if mode == "full":
+        issues += [(f.name, "EXTRA_COLUMN", None, spark_type_to_declared(f.dataType)) for f in fields.values()]
+    return issues
+
+
+def names_conform(schema: StructType, declared: Sequence[DeclaredColumn]) -> bool:
+    """Whether all declared columns are there. Columns beyond them are allowed, with a warning."""
+    found = schema_issues(schema, declared)
+    extra = [name for name, issue, _, _ in found if issue == "EXTRA_COLUMN"]
+    if extra:
+        warnings.warn(f"column(s) {extra} are not declared", stacklevel=2)
+    return not any(issue == "MISSING_COLUMN" for _, issue, _, _ in found)
+
+
+def conformance(df: DataFrame, declared: Sequence[DeclaredColumn], mode: str = "full") -> DataFrame:
+    """Where a table departs from its declaration.
+
+    The schema's issues (see :func:`schema_issues`) come with no row count.
+    Rows are counted in one pass: BAD_VALUE does not fit the declared type,
+    TOO_LONG exceeds the declared length, NULL_VALUE is a NULL in a column
+    declared to have none.
+    """
     fields = {f.name.lower(): f for f in df.schema.fields}
-    issues: list[Column] = []
+    issues = [(*found, F.lit(None)) for found in schema_issues(df.schema, declared, mode)]
     counts: list[Column] = []
 
-    def issue(name: str, kind: str, wanted: str | None, actual: str | None, rows: Column) -> None:
-        issues.append(F.struct(
-            F.lit(name).alias("column_name"),
-            F.lit(kind).alias("issue"),
-            F.lit(wanted).cast("string").alias("declared_type"),
-            F.lit(actual).cast("string").alias("actual_type"),
-            rows.cast("bigint").alias("bad_rows"),
-        ))
-
-    def count(test: Column) -> Column:
-        counts.append(F.count_if(test).alias(f"n{len(counts)}"))
-        return F.col(f"n{len(counts) - 1}")
+    def count(d: DeclaredColumn, issue: str, actual: str, test: Column) -> None:
+        name = f"n{len(counts)}"
+        counts.append(F.count_if(test).alias(name))
+        issues.append((d.name, issue, d.dtype, actual, F.col(name)))
 
     for d in declared:
         f = fields.get(d.name.lower())
         if f is None:
-            issue(d.name, "MISSING_COLUMN", d.dtype, None, F.lit(None))
             continue
         actual = spark_type_to_declared(f.dataType)
         spark_type, length = declared_type_to_spark(d.dtype)
         c = col(f.name)
-        if not agrees_with_spark(d.dtype, f.dataType):
-            issue(d.name, "TYPE_MISMATCH", d.dtype, actual, F.lit(None))
         if spark_type != f.dataType and not isinstance(spark_type, StringType):
-            issue(d.name, "BAD_VALUE", d.dtype, actual, count(c.isNotNull() & c.try_cast(spark_type).isNull()))
+            count(d, "BAD_VALUE", actual, c.isNotNull() & safe_cast(c, spark_type).isNull())
         if length is not None:
-            issue(d.name, "TOO_LONG", d.dtype, actual, count(F.char_length(c.cast("string")) > length))
+            count(d, "TOO_LONG", actual, F.char_length(c.cast("string")) > length)
         if not d.nullable:
-            issue(d.name, "NULL_VALUE", d.dtype, actual, count(c.isNull()))
-    if mode == "full":
-        known = {d.name.lower() for d in declared}
-        for f in df.schema.fields:
-            if f.name.lower() not in known:
-                issue(f.name, "EXTRA_COLUMN", None, spark_type_to_declared(f.dataType), F.lit(None))
+            count(d, "NULL_VALUE", actual, c.isNull())
     # with nothing to count no row is read
     found = df.agg(*counts) if counts else df.limit(0).agg(F.count(F.lit(1)))
-    if not issues:
-        issue("", "", None, None, F.lit(0))
-    return _rows(found, issues).filter("bad_rows is null or bad_rows > 0")
+    structs = [
+        F.struct(
+            F.lit(name).alias("column_name"),
+            F.lit(issue).alias("issue"),
+            F.lit(wanted).cast("string").alias("declared_type"),
+            F.lit(actual).cast("string").alias("actual_type"),
+            rows.cast("bigint").alias("bad_rows"),
+        )
+        for name, issue, wanted, actual, rows in issues or [("", "", None, None, F.lit(0))]
+    ]
+    return _rows(found, structs).filter("bad_rows is null or bad_rows > 0")
 
 
 def _rows(one_row: DataFrame, structs: Sequence[Column]) -> DataFrame:

@@ -35,6 +35,7 @@ from tallymark.functions.canonical import (
     key_text,
     row_hash,
 )
+from tallymark.functions.casts import safe_cast
 from tallymark.functions.names import col, find, lower_names
 from tallymark.operators.joins import keys_in, keys_not_in, null_safe_join, same_keys
 from tallymark.operators.rownumber import HOT_KEY_ROWS, number_within_keys
@@ -276,7 +277,7 @@ def common_columns(source: DataFrame, target: DataFrame, keys: Iterable[str], ex
 
 
 def _cast(df: DataFrame, types: Mapping) -> DataFrame:
-    chosen = {c: col(c).try_cast(t) for c, t in types.items() if c in df.columns}
+    chosen = {c: safe_cast(col(c), t) for c, t in types.items() if c in df.columns}
     return df.withColumns(chosen) if chosen else df
 
 
@@ -289,8 +290,9 @@ def _settle_duplicates(sides: Sides, on_duplicate: str, check: bool, hot_key_row
         return sides
     if on_duplicate != "ordinal":
         raise ValueError(f"on_duplicate must be 'error' or 'ordinal', not {on_duplicate!r}")
+    # kept, so that the order is settled once for the counts and the details
     numbered = [
-        number_within_keys(side, sides.keys, sides.columns, _ORDINAL, hot_key_rows)
+        stash(number_within_keys(side, sides.keys, sides.columns, _ORDINAL, hot_key_rows), "numbered")
         for side in (sides.source, sides.target)
     ]
     return replace(sides, source=numbered[0], target=numbered[1])

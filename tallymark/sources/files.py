@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from tallymark.functions.casts import safe_cast
 from tallymark.functions.names import col
 
 # Written for NULL, so that an empty string stays an empty string.
@@ -111,7 +112,7 @@ def read_csv(
         if isinstance(f.dataType, StringType):
             out.append((_unescape(c) if own_files else c).alias(f.name))
         else:
-            out.append(c.try_cast(f.dataType).alias(f.name))
+            out.append(safe_cast(c, f.dataType).alias(f.name))
     return raw.select(*out)
 
 

@@ -12,6 +12,7 @@ from tallymark.operators.checks import (
     fanout_summary,
     join_fanout,
     key_uniqueness,
+    names_conform,
     null_check,
     require_no_nulls,
     row_count_check,
@@ -210,3 +211,10 @@ def test_conformance(spark):
     assert conformance(df.select("f"), declared[2:3]).collect() == []
     with pytest.raises(ValueError, match="mode"):
         conformance(df, declared, "loose")
+
+
+def test_names_against_a_written_schema(spark):
+    schema = spark.createDataFrame([(1, "x")], "A int, extra string").schema
+    with pytest.warns(UserWarning, match="extra"):
+        assert names_conform(schema, [DeclaredColumn("a", "BIGINT")])
+    assert not names_conform(schema, [DeclaredColumn("a", "INT"), DeclaredColumn("b", "INT"), DeclaredColumn("EXTRA", "TEXT")])
