@@ -17,7 +17,7 @@ from driver_queries.registry import (
     table,
 )
 from tallymark.functions.canonical import comparison_scales, normalise
-from tallymark.operators.joins import keys_in, keys_not_in
+from tallymark.operators.keys import keys_in, keys_not_in
 from tallymark.plans.reconcile import prepare, recon_counts, reconcile, slim_pairs
 from tallymark.plans.report import diff_by_column, diff_by_type, summarize, top_columns
 from tallymark.sources.servers import union_servers
@@ -194,7 +194,7 @@ def recon_cross_types(spark, sf_dir):
 def slim_hash_mismatch_keys(spark, sf_dir):
     sides = prepare(table(spark, sf_dir, "orders"), orders_target(spark, sf_dir), ["o_orderkey"])
     pairs = slim_pairs(sides)
-    return pairs.filter("src_rows = 1 and tgt_rows = 1 and src_hash <> tgt_hash").select("o_orderkey")
+    return pairs.filter("src_rows = 1 and tgt_rows = 1 and hash_xor <> 0").select("o_orderkey")
 
 
 @query(f"SELECT * FROM orders s WHERE NOT EXISTS (SELECT 1 FROM ({TARGET_SQL}) t WHERE t.o_orderkey = s.o_orderkey)")

@@ -1,4 +1,4 @@
-"""Lookup joins, positional joins, and the null-safe joins of a comparison."""
+"""Lookup joins, positional joins, and the null-safe join of a comparison."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.functions.names import col, find
+from tallymark.operators.keys import same_keys
 from tallymark.operators.rownumber import number_rows
 
 _HOW = {"left": "left", "inner": "inner", "right": "right", "full": "full"}
@@ -80,11 +81,6 @@ def positional_join(
     return result
 
 
-def same_keys(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
-    """Null-safe equality of key columns: NULL meets NULL."""
-    return reduce(Column.__and__, [left[f"`{a}`"].eqNullSafe(right[f"`{b}`"]) for a, b in pairs])
-
-
 def prefixed(df: DataFrame, prefix: str) -> DataFrame:
     return df.select(*[col(c).alias(prefix + c) for c in df.columns])
 
@@ -93,18 +89,3 @@ def null_safe_join(source: DataFrame, target: DataFrame, keys: Sequence[str], ho
     """Join two sides of a comparison; columns become ``src_…`` and ``tgt_…``."""
     left, right = prefixed(source, "src_"), prefixed(target, "tgt_")
     return left.join(right, same_keys(left, right, [(f"src_{k}", f"tgt_{k}") for k in keys]), how)
-
-
-def keys_not_in(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``left`` whose key ``right`` lacks (NULL equals NULL)."""
-    return _against_keys(left, right, keys, "left_anti")
-
-
-def keys_in(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``left`` whose key ``right`` has (NULL equals NULL)."""
-    return _against_keys(left, right, keys, "left_semi")
-
-
-def _against_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    other = right.select(*[col(k).alias(f"_tm_key_{i}") for i, k in enumerate(keys)])
-    return left.join(other, same_keys(left, other, [(k, f"_tm_key_{i}") for i, k in enumerate(keys)]), how)

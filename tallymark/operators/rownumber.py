@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymark.functions.names import col
+from tallymark.operators.keys import keys_in, keys_not_in, same_keys
 from tallymark.sources.scratch import stash
 
 _POSITION = "_tm_position"
@@ -59,17 +60,27 @@ def number_within_keys(
 ) -> DataFrame:
     """Number the rows of each key 1, 2, 3, … in the order of ``order`` (NULL first).
 
-    Keys are counted first. While no key has more than ``hot_key_rows`` rows, a
-    plain window does it; otherwise the rows are range-partitioned by key and
-    order, so that a hot key is split over many tasks.
+    Keys are counted first. Those with no more than ``hot_key_rows`` rows go
+    through a plain window. The rows of hotter keys are range-partitioned by key
+    and order, so that each is split over many tasks.
     """
-    largest = df.groupBy(*[col(k) for k in keys]).count().agg(F.max("count")).first()[0] or 0
-    if largest <= hot_key_rows:
-        window = Window.partitionBy(*[col(k) for k in keys]).orderBy(*_ascending(order))
-        return df.withColumn(name, F.row_number().over(window).cast("bigint"))
+    named = [col(k) for k in keys]
+    counted = df.groupBy(*named).agg(F.count(F.lit(1)).alias("_tm_rows"))
+    hot_keys = stash(counted.filter(col("_tm_rows") > hot_key_rows).select(*named), "hot-keys")
+    window = Window.partitionBy(*named).orderBy(*_ascending(order))
+    rank = F.row_number().over(window).cast("bigint")
+    if hot_keys.isEmpty():
+        return df.withColumn(name, rank)
+    cold = keys_not_in(df, hot_keys, keys).withColumn(name, rank)
+    return cold.unionByName(_number_hot(keys_in(df, hot_keys, keys), keys, order, name, partitions))
+
+
+def _number_hot(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, partitions: int | None
+) -> DataFrame:
     placed = _placed(df, [*keys, *order], False, partitions)
     placed = placed.withColumn("_tm_part", _partition(col(_POSITION)))
-    # one row per key and partition it reaches into: at most one per partition for a hot key
+    # where each key starts in each partition it reaches into: no more rows than hot keys and partitions together
     spans = placed.groupBy("_tm_part", *[col(k) for k in keys]).agg(
         F.min(_POSITION).alias("_tm_first"), F.count(F.lit(1)).alias("_tm_rows")
     )
@@ -78,16 +89,14 @@ def number_within_keys(
         .orderBy("_tm_part")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    spans = spans.select(
+    spans = stash(spans.select(
         col("_tm_part").alias("_tm_span_part"),
         *[col(k).alias(f"_tm_key_{i}") for i, k in enumerate(keys)],
         "_tm_first",
         F.coalesce(F.sum("_tm_rows").over(earlier), F.lit(0)).alias("_tm_before"),
-    )
-    condition = col("_tm_part") == col("_tm_span_part")
-    for i, k in enumerate(keys):
-        condition = condition & placed[f"`{k}`"].eqNullSafe(spans[f"_tm_key_{i}"])
-    return placed.join(spans, condition).select(
+    ), "spans")
+    same = same_keys(placed, spans, [(k, f"_tm_key_{i}") for i, k in enumerate(keys)])
+    return placed.join(spans, same & (col("_tm_part") == col("_tm_span_part"))).select(
         *[placed[f"`{c}`"] for c in df.columns],
         (col(_POSITION) - col("_tm_first") + col("_tm_before") + 1).alias(name),
     )

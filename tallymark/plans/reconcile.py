@@ -37,7 +37,8 @@ from tallymark.functions.canonical import (
 )
 from tallymark.functions.casts import safe_cast
 from tallymark.functions.names import col, find, lower_names
-from tallymark.operators.joins import keys_in, keys_not_in, null_safe_join, same_keys
+from tallymark.operators.joins import null_safe_join
+from tallymark.operators.keys import keys_in, keys_not_in
 from tallymark.operators.rownumber import HOT_KEY_ROWS, number_within_keys
 from tallymark.sources.files import DIFF_COLUMNS, DIFF_SCHEMA
 from tallymark.sources.scratch import stash
@@ -210,7 +211,6 @@ def recon_counts(
     sides = prepare(source, target, keys, columns, exclude)
     pairs = slim_pairs(sides)
     status = _slim_status()
-    in_both = (col("src_rows") > 0) & (col("tgt_rows") > 0)
 
     def count(test: Column) -> Column:
         return F.count_if(test)
@@ -221,7 +221,7 @@ def recon_counts(
         count(status == MATCH).alias("matched_rows"),
         count(status == MISSING).alias("missing_rows"),
         count(status == EXTRA).alias("extra_rows"),
-        count(in_both & (status == MISMATCH)).alias("mismatched_rows"),
+        count(status == MISMATCH).alias("mismatched_rows"),
         count(status.isin(MISSING, EXTRA, MISMATCH)).alias("diff_rows"),
         count(status == DUPLICATE).alias("duplicate_keys"),
     )
@@ -310,21 +310,21 @@ def _refuse(duplicates: int, keys: Sequence[str]) -> None:
 
 
 def slim_pairs(sides: Sides) -> DataFrame:
-    """Key by key: the rows on each side and each side's row hash.
+    """Key by key: the rows on each side, and the exclusive or of their row hashes.
 
-    The same rows as a full outer join of the two sides on key and hash, but by
-    grouping: NULL keys meet by themselves, and repeats are folded map-side.
+    It tells what a full outer join of both sides on key and hash would, but by
+    grouping: NULL keys meet by themselves, and repeats are folded map-side. One
+    row on each side with equal hashes gives a ``hash_xor`` of 0.
     """
-    hashed = row_hash(sides.columns)
-    one, none = F.lit(1).cast("bigint"), F.lit(None).cast("bigint")
+    hashed = row_hash(sides.columns).alias("hash")
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
     keys = [col(k) for k in sides.pairing]
-    source = sides.source.select(*keys, hashed.alias("s"), none.alias("t"), one.alias("in_s"), none.alias("in_t"))
-    target = sides.target.select(*keys, none.alias("s"), hashed.alias("t"), none.alias("in_s"), one.alias("in_t"))
+    source = sides.source.select(*keys, hashed, one.alias("in_src"), none.alias("in_tgt"))
+    target = sides.target.select(*keys, hashed, none.alias("in_src"), one.alias("in_tgt"))
     return source.unionByName(target).groupBy(*keys).agg(
-        F.count("in_s").alias("src_rows"),
-        F.count("in_t").alias("tgt_rows"),
-        F.max("s").alias("src_hash"),
-        F.max("t").alias("tgt_hash"),
+        F.sum("in_src").alias("src_rows"),
+        F.sum("in_tgt").alias("tgt_rows"),
+        F.bit_xor("hash").alias("hash_xor"),
     )
 
 
@@ -333,7 +333,7 @@ def _slim_status() -> Column:
         F.when((col("src_rows") > 1) | (col("tgt_rows") > 1), DUPLICATE)
         .when(col("tgt_rows") == 0, MISSING)
         .when(col("src_rows") == 0, EXTRA)
-        .when(col("src_hash") != col("tgt_hash"), MISMATCH)
+        .when(col("hash_xor") != 0, MISMATCH)
         .otherwise(MATCH)
     )
 

@@ -18,7 +18,8 @@ from tallymark.operators.checks import (
     row_count_check,
 )
 from tallymark.operators.filters import date_window, pk_filter, preview, where
-from tallymark.operators.joins import keys_in, keys_not_in, lookup_join, positional_join
+from tallymark.operators.joins import lookup_join, positional_join
+from tallymark.operators.keys import keys_in, keys_not_in
 from tallymark.operators.rownumber import _placed, number_rows, number_within_keys
 from tallymark.spec import DeclaredColumn
 from tests.conftest import rows
