@@ -64,6 +64,9 @@ DEFAULT_EXCLUDED = ("load_ts", "batch_id")
 MATCH = "MATCH"
 DUPLICATE = "DUPLICATE_KEY"
 
+# Up to this many differing whole-number keys are written into the filter of the scan.
+INLINE_KEYS = 1000
+
 _ORDINAL = "_tm_ordinal"
 _STATUS = "_tm_status"
 _ROWS = "_tm_rows"
@@ -358,17 +361,28 @@ def _hash_diff(sides: Sides, outcome: DataFrame, counts: ReconCounts) -> DataFra
         parts.append(_whole_row(missing, MISSING, sides.key_text(), F.lit(UNKNOWN_SERVER)))
     if counts.missing_rows and sides.has_server:
         tagged = sides.source.select(*[col(k) for k in pairing], col(SERVER_COLUMN))
-        missing = keys_in(tagged, outcome.filter(col(_STATUS) == MISSING), pairing)
+        missing = _having_keys(tagged, outcome.filter(col(_STATUS) == MISSING), pairing, counts.missing_rows)
         parts.append(_whole_row(missing, MISSING, sides.key_text(), _server(SERVER_COLUMN, True)))
     if counts.mismatched_rows:
         changed = outcome.filter(col(_STATUS) == MISMATCH).select(*[col(k) for k in pairing])
-        both = null_safe_join(
-            keys_in(sides.source, changed, pairing), keys_in(sides.target, changed, pairing), pairing, "inner"
+        source, target = (
+            _having_keys(side, changed, pairing, counts.mismatched_rows) for side in (sides.source, sides.target)
         )
-        parts.append(cell_diff(both, sides))
+        parts.append(cell_diff(null_safe_join(source, target, pairing, "inner"), sides))
     return reduce(DataFrame.unionByName, parts)
 
 
+def _having_keys(side: DataFrame, wanted: DataFrame, pairing: Sequence[str], count: int) -> DataFrame:
+    """The rows of a side whose key is in ``wanted``, which has ``count`` rows. A few whole numbers
+    become a filter, which skips the row groups of a sorted table; other keys are semi-joined."""
+    if count <= INLINE_KEYS and len(pairing) == 1 and isinstance(side.schema[pairing[0]].dataType, LongType):
+        key = col(pairing[0])
+        values = [r[0] for r in wanted.select(key).collect()]
+        known = key.isin([v for v in values if v is not None])
+        return side.filter(known | key.isNull() if None in values else known)
+    return keys_in(side, wanted, pairing)
+
+
 # -- full and anti ------------------------------------------------------------------
 
 

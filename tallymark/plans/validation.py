@@ -21,7 +21,8 @@ class ValidationJob:
     """Everything one run needs.
 
     ``maps`` holds a :class:`TableMap` per server. ``target`` gives the target
-    table. ``date_range`` and ``key_filter`` are the arguments of
+    table. ``declared`` describes it in full, ``source_declared`` the columns that
+    each server's extract must have. ``date_range`` and ``key_filter`` are the arguments of
     :func:`date_window` and :func:`pk_filter` by name; they apply to both sides,
     under the target's column names.
     """
@@ -34,6 +35,7 @@ class ValidationJob:
     exclude: Sequence[str] = DEFAULT_EXCLUDED
     partial: Sequence[str] | None = None
     declared: Sequence[DeclaredColumn] = ()
+    source_declared: Mapping[str, Sequence[DeclaredColumn]] = field(default_factory=dict)
     date_range: Mapping[str, object] = field(default_factory=dict)
     key_filter: Mapping[str, object] = field(default_factory=dict)
     report_path: str | None = None
@@ -42,14 +44,16 @@ class ValidationJob:
 
 @dataclass(frozen=True)
 class ValidationOutcome:
+    """The comparison, what departs from the declarations, and the exit code."""
+
     result: ReconResult
     conformance: DataFrame | None
+    source_conformance: Mapping[str, DataFrame]
     exit_code: int
 
 
-def mapped_source(spark: SparkSession, job: ValidationJob) -> DataFrame:
+def mapped_source(loaded: Mapping[str, DataFrame], job: ValidationJob) -> DataFrame:
     """All servers' rows in the target's shape, tagged with their server."""
-    loaded = load_servers(spark, job.servers)
     maps = {n: select_partial(job.maps[n], job.partial) if job.partial else job.maps[n] for n in loaded}
     mapped = {n: apply_mapping(df, maps[n]) for n, df in loaded.items()}
     problems = server_disagreements(mapped, {n: m.keys for n, m in maps.items()})
@@ -60,7 +64,9 @@ def mapped_source(spark: SparkSession, job: ValidationJob) -> DataFrame:
 
 def run_validation(spark: SparkSession, job: ValidationJob) -> ValidationOutcome:
     """Compare what the servers should have produced with what the target holds."""
-    source = mapped_source(spark, job)
+    loaded = load_servers(spark, job.servers)
+    source_issues = {n: conformance(loaded[n], d, "partial") for n, d in job.source_declared.items()}
+    source = mapped_source(loaded, job)
     target = job.target(spark)
     issues = conformance(target, job.declared) if job.declared else None
     target = _filtered(target, job)
@@ -71,7 +77,7 @@ def run_validation(spark: SparkSession, job: ValidationJob) -> ValidationOutcome
     result = reconcile(source, target, job.keys, job.columns, job.exclude, **options)
     if job.report_path:
         write_report(result.diff, job.report_path)
-    return ValidationOutcome(result, issues, exit_code(result.counts))
+    return ValidationOutcome(result, issues, source_issues, exit_code(result.counts))
 
 
 def _filtered(df: DataFrame, job: ValidationJob) -> DataFrame:

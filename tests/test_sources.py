@@ -172,6 +172,7 @@ def test_validation_run(spark, tmp_path):
     job = ValidationJob(
         extracts, maps, lambda s: target, ["ID"], declared=[DeclaredColumn("ID", "INT", False), DeclaredColumn("NAME", "VARCHAR(1)")],
         date_range={"mode": "range", "date_from": "2024-01-01", "from_col": "day"}, report_path=str(tmp_path / "report"),
+        source_declared={"north": [DeclaredColumn("id", "INT", False), DeclaredColumn("gone", "DATE")]},
     )
     outcome = run_validation(spark, job)
     assert outcome.exit_code == 3
@@ -180,6 +181,7 @@ def test_validation_run(spark, tmp_path):
         ("4", "N/A", "<ENTIRE_ROW>", "<EXTRA_IN_TARGET>", "<PRESENT_IN_TARGET>"),
     }
     assert {r["column_name"] for r in outcome.conformance.collect()} == {"city", "day"}
+    assert [tuple(r)[:2] for r in outcome.source_conformance["north"].collect()] == [("gone", "MISSING_COLUMN")]
     partial = run_validation(spark, replace(job, partial=["name"], date_range={}, key_filter={
         "keys": "ID", "mode": "set", "values": [1, 2]}, report_path=None))
     assert partial.exit_code == 0 and partial.result.counts.matched_rows == 2
