@@ -39,6 +39,15 @@ def require_no_nulls(df: DataFrame, columns: Sequence[str]) -> None:
         raise NullsFound({r["column_name"]: r["null_count"] for r in found})
 
 
+def refuse_nulls(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The same rows; whatever reads one of the columns fails if it holds a NULL."""
+    checked = {
+        n: F.coalesce(col(n), F.raise_error(F.lit(f"NULL in required column {n}")).cast(df.schema[n].dataType))
+        for n in (find(df.columns, c, "required column") for c in columns)
+    }
+    return df.withColumns(checked) if checked else df
+
+
 def key_uniqueness(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, and how often. NULL counts as a value."""
     names = [find(df.columns, k, "key") for k in keys]

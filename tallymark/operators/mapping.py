@@ -11,17 +11,21 @@ from pyspark.sql import Column, DataFrame
 from tallymark.functions.global_rules import apply_global_rule, chosen_columns
 from tallymark.functions.names import col, find
 from tallymark.functions.nulls import effective_handling, fill
-from tallymark.operators.checks import require_no_nulls
+from tallymark.operators.checks import refuse_nulls, require_no_nulls
 from tallymark.operators.joins import lookup_join
 from tallymark.spec import ColumnMap, LookupJoin, TableMap
 
 
-def apply_mapping(df: DataFrame, mapping: TableMap, check_nulls: bool = True) -> DataFrame:
+def apply_mapping(df: DataFrame, mapping: TableMap, null_check: str = "count") -> DataFrame:
     """Lookup joins, then column rules in order, then global rules, then the target's column order.
 
-    ``check_nulls`` counts NULLs in the columns whose handling is ``error`` (one
-    aggregation over the rows) and raises :class:`NullsFound` if there are any.
+    ``null_check`` says what happens to NULLs in columns whose handling is
+    ``error``. ``count`` counts them now, in a pass of its own, and raises
+    :class:`NullsFound`. ``inline`` needs no pass: the job that later reads such
+    a column fails on the first NULL. ``off`` lets them through.
     """
+    if null_check not in ("count", "inline", "off"):
+        raise ValueError(f"null_check must be 'count', 'inline' or 'off', not {null_check!r}")
     for join in mapping.joins:
         df = lookup_join(df, join.table, join.keys, join.how, join.fetch)
     df = apply_column_rules(df, mapping.columns)
@@ -30,9 +34,9 @@ def apply_mapping(df: DataFrame, mapping: TableMap, check_nulls: bool = True) ->
         df = apply_global_rule(df, rule.operation, rule.parameters, chosen_columns(rule.condition, declared))
     if mapping.hook is not None:
         df = conform_columns(apply_hook(df, mapping.hook), mapping.targets)
-    if check_nulls and mapping.required:
+    if null_check == "count" and mapping.required:
         require_no_nulls(df, mapping.required)
-    return df
+    return refuse_nulls(df, mapping.required) if null_check == "inline" else df
 
 
 def apply_column_rules(df: DataFrame, maps: Sequence[ColumnMap]) -> DataFrame:

@@ -38,6 +38,7 @@ class ValidationJob:
     source_declared: Mapping[str, Sequence[DeclaredColumn]] = field(default_factory=dict)
     date_range: Mapping[str, object] = field(default_factory=dict)
     key_filter: Mapping[str, object] = field(default_factory=dict)
+    null_check: str = "count"
     report_path: str | None = None
     options: Mapping[str, object] = field(default_factory=dict)
 
@@ -55,7 +56,7 @@ class ValidationOutcome:
 def mapped_source(loaded: Mapping[str, DataFrame], job: ValidationJob) -> DataFrame:
     """All servers' rows in the target's shape, tagged with their server."""
     maps = {n: select_partial(job.maps[n], job.partial) if job.partial else job.maps[n] for n in loaded}
-    mapped = {n: apply_mapping(df, maps[n]) for n, df in loaded.items()}
+    mapped = {n: apply_mapping(df, maps[n], job.null_check) for n, df in loaded.items()}
     problems = server_disagreements(mapped, {n: m.keys for n, m in maps.items()})
     if problems:
         raise ValueError("servers disagree: " + "; ".join(problems))

@@ -17,10 +17,11 @@ KINDS = ("direct", "rename", "cast", "derived", "constant", "drop")
 class ColumnMap:
     """How one target column is made.
 
-    ``rule`` is a :class:`tallymark.functions.rules.Rule` (or a Spark SQL
-    expression string, where ``val`` is not special). Within a rule a column
-    name means the target column of that name if the map has one, as it stands
-    after the maps before this one; otherwise the untouched source column.
+    ``rule`` is a :class:`tallymark.functions.rules.Rule`, or a string: a Spark
+    SQL expression (``val`` is not special there), or the value of a map of kind
+    ``constant``. Within a rule a column name means the target column of that
+    name if the map has one, as it stands after the maps before this one;
+    otherwise the untouched source column.
     """
 
     target: str
@@ -45,7 +46,8 @@ class ColumnMap:
             raise ValueError(f"{self.target}: kind {kind!r} needs a source column")
         object.__setattr__(self, "kind", kind)
         if isinstance(self.rule, str):
-            object.__setattr__(self, "rule", rules.expression(self.rule))
+            made = rules.constant(self.rule) if kind == "constant" else rules.expression(self.rule)
+            object.__setattr__(self, "rule", made)
 
     def _infer_kind(self) -> str:
         if self.source is None:

@@ -115,6 +115,14 @@ def test_fill_in_each_type(spark):
     assert (got.s, got.i, str(got.d), got.b, got.t) == ("0", 7, "2024-01-02", True, "7")
 
 
+def test_constant_text(spark):
+    got = apply_column_rules(spark.range(1), [
+        ColumnMap("A", rule="EUR", kind="constant"), ColumnMap("B", rule="42", kind="constant", dtype="INT"),
+        ColumnMap("C", rule="1 + 1", dtype="INT"),
+    ])
+    assert [str(v) for v in got.first()] == ["EUR", "42", "2"]
+
+
 def test_rules_see_earlier_columns_as_they_came_out(spark):
     df = spark.createDataFrame([(1, None), (2, "b")], "a int, b string")
     got = apply_column_rules(df, [
@@ -156,7 +164,13 @@ def test_required_columns_are_counted(spark):
     with pytest.raises(NullsFound) as caught:
         apply_mapping(df, mapping)
     assert caught.value.counts == {"A": 1, "B": 2}
-    assert apply_mapping(df, mapping, check_nulls=False).count() == 3
+    assert apply_mapping(df, mapping, null_check="off").count() == 3
+    inline = apply_mapping(df.filter("a = 1"), mapping, null_check="inline")
+    assert rows(inline.select("A")) == [(1,)]
+    with pytest.raises(Exception, match="NULL in required column B"):
+        inline.collect()
+    with pytest.raises(ValueError, match="null_check"):
+        apply_mapping(df, mapping, null_check="maybe")
 
 
 def test_null_handling_skips_constants(spark):

@@ -29,12 +29,12 @@ def test_filters_reach_the_scan(spark, sf_dir):
     assert re.search(r"PushedFilters: \[.*GreaterThanOrEqual\(o_orderdate", text)
     text = plan(pk_filter(orders, "o_orderkey", "range", 5, 9), "formatted")
     assert "GreaterThanOrEqual(o_orderkey,5)" in text and "LessThanOrEqual(o_orderkey,9)" in text
-    mapped = apply_mapping(orders, order_map(), check_nulls=False).filter("ORDER_KEY > 7")
+    mapped = apply_mapping(orders, order_map(), null_check="off").filter("ORDER_KEY > 7")
     assert "GreaterThan(o_orderkey,7)" in plan(mapped, "formatted")
 
 
 def test_only_needed_columns_are_read(spark, sf_dir):
-    part = apply_mapping(table(spark, sf_dir, "orders"), select_partial(order_map(), ["is_open"]), check_nulls=False)
+    part = apply_mapping(table(spark, sf_dir, "orders"), select_partial(order_map(), ["is_open"]), null_check="off")
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderstatus:string>" in plan(part, "formatted")
 
 
@@ -95,7 +95,7 @@ def test_outcome_is_as_small_as_the_differences(spark, sf_dir):
 
 
 def test_mapping_stays_in_generated_code(spark, sf_dir):
-    mapped = apply_mapping(table(spark, sf_dir, "orders"), order_map(), check_nulls=False)
+    mapped = apply_mapping(table(spark, sf_dir, "orders"), order_map(), null_check="off")
     text = plan(mapped, "codegen")
     assert "Found 1 WholeStageCodegen subtrees" in text
     assert "Python" not in plan(mapped)
