@@ -214,10 +214,7 @@ def recon_counts(
     sides = prepare(source, target, keys, columns, exclude)
     pairs = slim_pairs(sides)
     status = _slim_status()
-
-    def count(test: Column) -> Column:
-        return F.count_if(test)
-
+    count = F.count_if
     return pairs.agg(
         F.coalesce(F.sum("src_rows"), F.lit(0)).alias("source_rows"),
         F.coalesce(F.sum("tgt_rows"), F.lit(0)).alias("target_rows"),

@@ -252,7 +252,8 @@ def test_bad_arguments(spark):
 
 def test_few_and_many_differences_read_alike(spark, sf_dir, monkeypatch):
     """Keys written into the filter and keys joined give the same rows, a NULL key too."""
-    s = spark.createDataFrame([(None, "a", "n"), (1, "b", "n"), (2, "c", "s"), (4, "e", "s")], "k int, v string, _source_server string")
+    s = spark.createDataFrame([(None, "a", "n"), (1, "b", "n"), (2, "c", "s"), (4, "e", "s")],
+                              "k int, v string, _source_server string")
     t = spark.createDataFrame([(None, "x"), (1, "y"), (3, "d"), (4, "e")], "k bigint, v string")
     few = rows(reconcile(s, t, ["k"]).diff)
     monkeypatch.setattr("tallymark.plans.reconcile.INLINE_KEYS", 0)

@@ -13,7 +13,7 @@ from tallymark.sources.files import read_csv, read_schema, write_csv, write_parq
 from tallymark.sources.jdbc import jdbc_options, partition_bounds, scan_options
 from tallymark.sources.scratch import scratch_path, stash
 from tallymark.sources.servers import extract_servers, load_servers, server_disagreements, union_servers
-from tallymark.spec import ColumnMap, DeclaredColumn, GlobalRule, LookupJoin, ServerSource, TableMap
+from tallymark.spec import ColumnMap, DeclaredColumn, GlobalRule, LookupJoin, TableMap
 from tests.conftest import rows
 
 AWKWARD = [
