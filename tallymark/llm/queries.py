@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tallymark.functions.names import col
-from tallymark.llm import mixing
+from tallymark.llm import mixing, quality
 from tallymark.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 # -- op10: mixing sources to target weights ---------------------------------------------
@@ -52,3 +52,91 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, mixing.word_count(col("text"))).select(
         "doc_id", "size", "source_size", "target", "taken"
     )
+
+# -- op1: quality rules --------------------------------------------------------------------
+
+QUALITY_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, lang, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents),
+windows AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, ws[i:i + 7]) AS times
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 6)) AS i FROM docs)),
+repeats AS (
+  SELECT doc_id, count(DISTINCT i + j) AS n_repeat_words
+  FROM windows, (SELECT unnest(range(0, 8)) AS j) WHERE times > 1 GROUP BY doc_id),
+lined AS (
+  SELECT *, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM docs),
+base AS (
+  SELECT doc_id, lang, t, len(ws)::BIGINT AS n_words,
+         length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+         coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+         len(ws) < 20 OR 100 * coalesce(n_repeat_words, 0) > 30 * len(ws) AS base_failed,
+         regexp_extract_all(regexp_replace(lower(t), '[!-/:-@\[-`{-~]', ' ', 'g'), '[^\x20\x09-\x0D]+') AS terms
+  FROM lined LEFT JOIN repeats USING (doc_id)),
+classes AS (
+  SELECT doc_id, lang, cls, n,
+         sum(n) OVER (PARTITION BY doc_id) AS chars,
+         sum(CASE WHEN cls <> 'space' THEN n ELSE 0 END) OVER (PARTITION BY doc_id) AS inked
+  FROM (
+    SELECT doc_id, lang, unnest(['lower', 'upper', 'letter', 'digit', 'space', 'stop', 'symbol', 'other']) AS cls,
+           unnest([
+             length(t) - length(regexp_replace(t, '\p{Ll}', '', 'g')),
+             length(t) - length(regexp_replace(t, '[\p{Lu}\p{Lt}]', '', 'g')),
+             length(t) - length(regexp_replace(t, '[\p{Lo}\p{Lm}\p{Mn}\p{Mc}]', '', 'g')),
+             length(t) - length(regexp_replace(t, '\p{Nd}', '', 'g')),
+             length(t) - length(regexp_replace(t, '[\x09-\x0D\p{Zs}]', '', 'g')),
+             length(t) - length(regexp_replace(t, '[.,;:''"\-()?]', '', 'g')),
+             length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')),
+             length(regexp_replace(t, '[\p{L}\p{Mn}\p{Mc}\p{Nd}\p{Zs}\x09-\x0D.,;:''"\-()?#*$%&|<>]', '', 'g'))
+           ]) AS n FROM base)),
+learn AS (SELECT doc_id, lang, terms FROM base WHERE NOT base_failed AND 100 * n_symbols <= length(t)),
+class_ref AS (
+  SELECT lang, cls, sum(n) / sum(sum(n)) OVER (PARTITION BY lang) AS q
+  FROM classes SEMI JOIN learn USING (doc_id) GROUP BY lang, cls),
+vocabulary AS (
+  SELECT lang, term, count(*) AS n, sum(count(*)) OVER (PARTITION BY lang) AS total
+  FROM (SELECT lang, unnest(terms) AS term FROM learn) GROUP BY lang, term),
+word_ref AS (
+  SELECT lang, term, n / total AS q FROM vocabulary WHERE n >= 0.005 * total
+  UNION ALL
+  SELECT lang, NULL, 1 - sum(CASE WHEN n >= 0.005 * total THEN n ELSE 0 END) / min(total)
+  FROM vocabulary GROUP BY lang),
+tallies AS (
+  SELECT doc_id, term, count(*) AS n FROM (SELECT doc_id, unnest(terms) AS term FROM base) GROUP BY doc_id, term),
+held AS (
+  SELECT b.doc_id, len(b.terms) AS n_terms, r.term, r.q, coalesce(c.n, 0) / len(b.terms) AS p
+  FROM base b JOIN word_ref r ON r.lang IS NOT DISTINCT FROM b.lang AND r.term IS NOT NULL
+  LEFT JOIN tallies c ON c.doc_id = b.doc_id AND c.term = r.term
+  WHERE len(b.terms) >= 60),
+word_hist AS (
+  SELECT doc_id, n_terms, q, p FROM held
+  UNION ALL
+  SELECT doc_id, min(n_terms), 1 - sum(q), 1 - sum(p) FROM held GROUP BY doc_id),
+class_distance AS (
+  SELECT doc_id, min(inked) AS inked, sqrt(greatest(0, sum(
+      CASE WHEN n > 0 THEN n / chars * log2(n / chars / ((n / chars + q) / 2)) ELSE 0 END
+      + CASE WHEN q > 0 THEN q * log2(q / ((n / chars + q) / 2)) ELSE 0 END) / 2)) AS d
+  FROM classes c JOIN class_ref r ON r.lang IS NOT DISTINCT FROM c.lang AND r.cls = c.cls
+  WHERE inked >= 60 GROUP BY doc_id),
+word_distance AS (
+  SELECT doc_id, min(n_terms) AS n_terms, sqrt(greatest(0, sum(
+      CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END
+      + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END) / 2)) AS d
+  FROM word_hist GROUP BY doc_id)
+SELECT b.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND coalesce(c.d <= 0.12 + 1.8 / sqrt(c.inked), true)
+                       AND coalesce(w.d <= 0.12 + 2.4 / sqrt(w.n_terms), true) AS kept
+FROM base b LEFT JOIN class_distance c ON c.doc_id = b.doc_id LEFT JOIN word_distance w ON w.doc_id = b.doc_id
+"""
+
+
+@query(QUALITY_SQL)
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return quality.judge(docs, quality.learn_references(docs)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
