@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark.functions.names import col
-from tallymark.llm import bpe, html_text, mixing, quality, token_counts
+from tallymark.llm import bpe, html_text, mixing, quality, token_counts, warc
 from tallymark.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 # -- op10: mixing sources to target weights ---------------------------------------------
@@ -171,3 +171,26 @@ def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(pages).select(
         "page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars")
     )
+
+# -- op6: WARC --------------------------------------------------------------------------------
+
+WARC_SQL = """
+WITH hashed AS (
+  SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes,
+         sha1(coalesce(html, '')) AS payload_digest
+  FROM pages),
+latest AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS keeper FROM hashed)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> keeper THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> keeper THEN keeper END AS refers_to
+FROM latest
+"""
+
+
+@query(WARC_SQL)
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.write_archives(table(spark, sf_dir, "pages"))
+    return warc.read_records(archives, payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
