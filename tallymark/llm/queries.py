@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark.functions.names import col
-from tallymark.llm import bpe, html_text, mixing, quality, token_counts, warc
+from tallymark.llm import bpe, fingerprint, html_text, mixing, quality, token_counts, warc
 from tallymark.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 # -- op10: mixing sources to target weights ---------------------------------------------
@@ -194,3 +194,10 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_records(archives, payload=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+# -- op9: document fingerprints -----------------------------------------------------------------
+
+
+@query()
+def op9_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compare_edited(table(spark, sf_dir, "documents").select("doc_id", "text"))
