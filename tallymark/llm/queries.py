@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark.functions.names import col
-from tallymark.llm import bpe, fingerprint, html_text, mixing, quality, token_counts, warc
+from tallymark.llm import bpe, fingerprint, html_text, mixing, quality, token_counts, toxicity, warc
 from tallymark.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 # -- op10: mixing sources to target weights ---------------------------------------------
@@ -201,3 +201,18 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op9_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_edited(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+# -- op8: toxicity ----------------------------------------------------------------------------------
+
+
+def held_out(id_col: str, parts: int, rest: int):
+    """Whether the checksum of an id's text leaves this rest."""
+    return F.pmod(F.crc32(col(id_col).cast("string")), F.lit(parts)) == rest
+
+
+@query()
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").filter(~held_out("doc_id", 5, 0))
+    scored = toxicity.score(docs, toxicity.learn(docs, labels))
+    return scored.select("doc_id", F.coalesce(held_out("doc_id", 5, 0), F.lit(False)).alias("held_out"), "score", "predicted")
