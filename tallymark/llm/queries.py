@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark.functions.names import col
-from tallymark.llm import bpe, fingerprint, html_text, mixing, quality, token_counts, toxicity, warc
+from tallymark.llm import bpe, fingerprint, html_text, lm, mixing, quality, token_counts, toxicity, warc
 from tallymark.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 # -- op10: mixing sources to target weights ---------------------------------------------
@@ -216,3 +216,13 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").filter(~held_out("doc_id", 5, 0))
     scored = toxicity.score(docs, toxicity.learn(docs, labels))
     return scored.select("doc_id", F.coalesce(held_out("doc_id", 5, 0), F.lit(False)).alias("held_out"), "score", "predicted")
+
+# -- op7: language-model scores -----------------------------------------------------------------------
+
+
+@query()
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = F.coalesce(held_out("doc_id", 7, 2), F.lit(False))
+    model = lm.train(docs.filter(~held).select("text"))
+    return lm.score(docs, held, model)
