@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark.functions.names import col
-from tallymark.llm import bpe, fingerprint, html_text, lm, mixing, quality, token_counts, toxicity, warc
+from tallymark.llm import bpe, fingerprint, forest, html_text, lm, mixing, quality, token_counts, toxicity, warc
 from tallymark.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 # -- op10: mixing sources to target weights ---------------------------------------------
@@ -226,3 +226,10 @@ def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = F.coalesce(held_out("doc_id", 7, 2), F.lit(False))
     model = lm.train(docs.filter(~held).select("text"))
     return lm.score(docs, held, model)
+
+# -- op3: n-gram Jaccard join -----------------------------------------------------------------------------
+
+
+@query()
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.link(table(spark, sf_dir, "documents").select("doc_id", "text"))
