@@ -237,7 +237,7 @@ class Learning:
     #: labelled rows that teach: beyond this number, a random part of them by hash of the id
     max_labels: int = 200_000
     #: a word or stem is evidence from so many toxic documents on, and this share of all toxic ones
-    least_documents: int = 5
+    least_documents: int = 4
     least_share: float = 0.003
     #: of the documents that have it, so many are toxic
     least_evidence: float = 0.75
@@ -343,7 +343,7 @@ def learn(
                 at = np.frombuffer(found, np.int32)
                 tallies[:, at] += np.frombuffer(n, np.int32).reshape(2, -1)
         clean, bad = tallies
-        good = np.flatnonzero((bad >= least) & (bad / (bad + clean + 2.0) >= learning.least_evidence))
+        good = np.flatnonzero((bad >= least) & (bad / (bad + clean + 1.0) >= learning.least_evidence))
         yield pa.record_batch(
             [pa.array(good + part, pa.int64()), pa.array(clean[good], pa.int64())], names=["bucket", "clean"]
         )
@@ -367,7 +367,7 @@ def learn(
     named = source.mapInArrow(name, "feature string, n bigint").groupBy("feature").agg(F.sum("n").alias("n"))
     toxic_of = {r["feature"]: r["n"] for r in named.filter(col("n") >= least).collect()}
     evidence = {
-        f: n / (n + clean_of[bucket(f)] + 2.0) for f, n in toxic_of.items() if f.endswith(" ") or _is_stem(f, toxic_of, learning)
+        f: n / (n + clean_of[bucket(f)] + 1.0) for f, n in toxic_of.items() if f.endswith(" ") or _is_stem(f, toxic_of, learning)
     }
     evidence = {f: e for f, e in evidence.items() if e >= learning.least_evidence}
     return ToxicityModel(evidence, min(0.4, 0.3 * prior), chars)
