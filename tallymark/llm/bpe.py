@@ -16,14 +16,14 @@ import json
 import re
 import struct
 import unicodedata
-from collections.abc import Iterator
 from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tallymark.functions.names import col
-from tallymark.llm.text import slices, texts
+from tallymark.llm.arrow import Columns, with_computed
+from tallymark.llm.text import texts
 
 _NO_RANK = 1 << 60
 #: Words of more characters than this go through the heap.
@@ -165,23 +165,18 @@ def encode_decode(docs: DataFrame, vocabulary: str, text_col: str = "text") -> D
     ids. Repeated rows are encoded alike. Columns of ``docs`` called like a
     result column are replaced; an empty table gives an empty result.
     """
-    own = ["n_tokens", "token_ids", "decoded"]
-    kept = [c for c in docs.columns if c not in own]
-    carried = docs.select(*[col(c) for c in kept], col(text_col).cast("string").alias("_b_text"))
-
-    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def start():
         bpe = load(vocabulary)
-        for batch in slices(batches, 256):
-            done = [bpe.encode(t) for t in texts(batch.column(batch.num_columns - 1))]
-            yield pa.record_batch(
-                [
-                    *batch.columns[:-1],
-                    pa.array([len(ids) // 4 for ids, _ in done], pa.int64()),
-                    pa.array([ids for ids, _ in done], pa.binary()),
-                    pa.array([text for _, text in done], pa.string()),
-                ],
-                names=[*kept, *own],
-            )
-
-    kept_schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in carried.schema.fields[:-1])
-    return carried.mapInArrow(apply, f"{kept_schema}n_tokens bigint, token_ids binary, decoded string")
+
+        def compute(columns: Columns) -> Columns:
+            done = [bpe.encode(t) for t in texts(columns[0])]
+            return [
+                pa.array([len(ids) // 4 for ids, _ in done], pa.int64()),
+                pa.array([ids for ids, _ in done], pa.binary()),
+                pa.array([text for _, text in done], pa.string()),
+            ]
+
+        return compute
+
+    schema = "n_tokens bigint, token_ids binary, decoded string"
+    return with_computed(docs, [col(text_col).cast("string")], schema, start)

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.functions.names import col
+from tallymark.llm.arrow import with_computed
 from tallymark.llm.text import has_word, mix64, slices, texts, windows
 
 #: 16-bit lanes of the exact part and of the likeness part, and words in a run.
@@ -121,16 +122,11 @@ def read(text: str) -> Fingerprint:
 def fingerprints(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """All rows of ``docs`` with ``fingerprint``. A NULL text is an empty one; equal texts have equal fingerprints; a
     column of ``docs`` of that name is replaced; an empty table gives an empty result."""
-    kept = [c for c in docs.columns if c != "fingerprint"]
-    carried = docs.select(*[col(c) for c in kept], col(text_col).cast("string").alias("_f_text"))
 
-    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 256):
-            made = [written(fingerprint(t)) for t in texts(batch.column(batch.num_columns - 1))]
-            yield pa.record_batch([*batch.columns[:-1], pa.array(made, pa.string())], names=[*kept, "fingerprint"])
+    def start():
+        return lambda columns: [pa.array([written(fingerprint(t)) for t in texts(columns[0])], pa.string())]
 
-    kept_schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in carried.schema.fields[:-1])
-    return carried.mapInArrow(apply, f"{kept_schema}fingerprint string")
+    return with_computed(docs, [col(text_col).cast("string")], "fingerprint string", start)
 
 
 # -- a document, its edited text and its neighbour ------------------------------------------

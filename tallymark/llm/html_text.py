@@ -20,7 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tallymark.functions.names import col
-from tallymark.llm.text import slices, texts
+from tallymark.llm.arrow import with_computed
+from tallymark.llm.text import texts
 
 # Element names of HTML.
 _RAW = frozenset("script style noscript template iframe object svg math canvas audio video textarea select".split())
@@ -224,13 +225,7 @@ def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
     as it goes; repeated rows give repeated results. A column of ``pages``
     called text is replaced; an empty table gives an empty result.
     """
-    kept = [c for c in pages.columns if c != "text"]
-    carried = pages.select(*[col(c) for c in kept], col(html_col).cast("string").alias("_h_html"))
+    def start():
+        return lambda columns: [pa.array([main_text(source) for source in texts(columns[0])], pa.string())]
 
-    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 256):
-            found = [main_text(source) for source in texts(batch.column(batch.num_columns - 1))]
-            yield pa.record_batch([*batch.columns[:-1], pa.array(found, pa.string())], names=[*kept, "text"])
-
-    kept_schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in carried.schema.fields[:-1])
-    return carried.mapInArrow(apply, f"{kept_schema}text string")
+    return with_computed(pages, [col(html_col).cast("string")], "text string", start)

@@ -78,10 +78,9 @@ def _hashes() -> _Hashes:
 
 def token_hashes(text: str) -> np.ndarray:
     """Hashes of the words, A-Z in lower case, and of the end."""
-    found = words(text)
+    found = words(text, lower=True)
     out = np.empty(len(found) + 1, np.uint64)
-    known = _hashes()
-    out[:-1] = np.fromiter((known[w] for w in map(bytes.lower, found)), np.uint64, len(found))
+    out[:-1] = np.fromiter(map(_hashes().__getitem__, found), np.uint64, len(found))
     out[-1] = _END
     return out
 
@@ -331,8 +330,9 @@ def score(
             n = np.array([len(t) for t in tokens])
             flat = np.concatenate(tokens)
             owner = np.repeat(np.arange(len(n)), n)
-            base, known, tail = _exact(flat, owner, len(n), shared.value)
-            scores = np.bincount(owner, _log_probabilities(tokens, flat, shared.value), len(n))
+            distinct, inverse = np.unique(flat, return_inverse=True)
+            base, known, tail = _exact(distinct, inverse, owner, len(n), shared.value)
+            scores = np.bincount(owner, _log_probabilities(tokens, distinct, inverse, shared.value), len(n))
             rows = row + np.arange(len(n))
             row += len(n)
             # a document's own row gets a key that spreads, a row for each rare word its hash
@@ -366,26 +366,27 @@ def score(
     )
 
 
-def _exact(flat: np.ndarray, owner: np.ndarray, n: int, model: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _exact(
+    distinct: np.ndarray, inverse: np.ndarray, owner: np.ndarray, n: int, model: tuple
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Per document the sum of log10(count + 1) and the number of frequent words; and which tokens are not frequent."""
     _, head, logs, *_ = model
     if not len(head):
-        return np.zeros(n), np.zeros(n, np.int64), np.arange(len(flat))
-    at = np.minimum(np.searchsorted(head, flat), len(head) - 1)
-    there = head[at] == flat
-    base = np.bincount(owner[there], logs[at[there]], n)
-    return base, np.bincount(owner[there], minlength=n).astype(np.int64), np.flatnonzero(~there)
+        return np.zeros(n), np.zeros(n, np.int64), np.arange(len(inverse))
+    at = np.minimum(np.searchsorted(head, distinct), len(head) - 1)
+    there = head[at] == distinct
+    frequent = there[inverse]
+    base = np.bincount(owner, np.where(there, logs[at], 0.0)[inverse], n)
+    return base, np.bincount(owner[frequent], minlength=n).astype(np.int64), np.flatnonzero(~frequent)
 
 
-def _log_probabilities(tokens: list[np.ndarray], flat: np.ndarray, model: tuple) -> np.ndarray:
+def _log_probabilities(tokens: list[np.ndarray], distinct: np.ndarray, inverse: np.ndarray, model: tuple) -> np.ndarray:
     """log10 of each token's probability after the token before it."""
     table, _, _, total, types, digits = model
     weight = table.settings.pair_weight
-    distinct, inverse = np.unique(flat, return_inverse=True)
     single = table.counts(cut_hash(word_grams(distinct), digits))[inverse]
     p = (single + 1.0) / (total + types + 1.0)
-    pairs, back = np.unique(np.concatenate([pair_hashes(t) for t in tokens]), return_inverse=True)
-    both = table.counts(cut_hash(pairs, digits))[back]
+    both = table.counts(cut_hash(np.concatenate([pair_hashes(t) for t in tokens]), digits))
     before = np.concatenate([[0.0], single[:-1]])
     starts = np.cumsum([0, *map(len, tokens[:-1])])
     before[starts] = table.counts(cut_hash(word_grams(np.array([_END])), digits))[0]  # as many starts as ends

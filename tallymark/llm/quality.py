@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.functions.names import col
+from tallymark.llm.arrow import Columns, with_computed
 from tallymark.llm.text import has_word, slices, texts, windows, word_chars, words
 from tallymark.sources.scratch import stash
 
@@ -259,31 +260,20 @@ def judge(
     speak. Repeated rows are judged alike. Columns of ``docs`` called like a
     result column are replaced; an empty table gives an empty result.
     """
-    own = [c.split(" ")[0] for c in SCHEMA.split(", ")]
-    kept_columns = [c for c in docs.columns if c not in own]
-    carried = docs.select(
-        *[col(c) for c in kept_columns],
-        col(text_col).cast("string").alias("_q_text"),
-        col(lang_col).cast("string").alias("_q_lang"),
-    )
     shared = docs.sparkSession.sparkContext.broadcast(references)
+    kinds = [pa.int64()] * 5 + [pa.bool_(), pa.float64(), pa.float64(), pa.bool_()]
 
-    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+    def start():
+        def compute(columns: Columns) -> Columns:
             rows = []
-            languages = batch.column(batch.num_columns - 1).to_pylist()
-            for text, language in zip(texts(batch.column(batch.num_columns - 2)), languages):
+            for text, language in zip(texts(columns[0]), columns[1].to_pylist()):
                 counts = base_counts(text)
                 failed = base_fails(counts[0], counts[4], rules)
                 by_class, by_word, fits = distances(text, language, shared.value, rules)
                 rows.append((*counts, failed, by_class, by_word, not failed and fits))
-            columns = list(zip(*rows)) or [()] * len(own)
-            kinds = [pa.int64()] * 5 + [pa.bool_(), pa.float64(), pa.float64(), pa.bool_()]
-            arrays = [batch.column(i) for i in range(len(kept_columns))]
-            arrays += [pa.array(c, k) for c, k in zip(columns, kinds)]
-            yield pa.record_batch(arrays, names=[*kept_columns, *own])
-
-    kept_schema = ", ".join(
-        f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*[col(c) for c in kept_columns]).schema
-    )
-    return carried.mapInArrow(apply, f"{kept_schema}, {SCHEMA}" if kept_schema else SCHEMA)
+            return [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
+
+        return compute
+
+    inputs = [col(text_col).cast("string"), col(lang_col).cast("string")]
+    return with_computed(docs, inputs, SCHEMA, start)

@@ -10,9 +10,11 @@ import pyarrow as pa
 _SPACES = " \t\n\v\f\r"
 
 
-def words(text: str) -> list[bytes]:
-    """Runs of anything but space and the controls 0x09 to 0x0D, as UTF-8 (bytes.split knows just these)."""
-    return text.encode("utf-8", "surrogatepass").split()
+def words(text: str, lower: bool = False) -> list[bytes]:
+    """Runs of anything but space and the controls 0x09 to 0x0D, as UTF-8 (bytes.split knows just these); ``lower``
+    turns A-Z into lower case."""
+    raw = text.encode("utf-8", "surrogatepass")
+    return (raw.lower() if lower else raw).split()
 
 
 def has_word(text: str) -> bool:

@@ -10,7 +10,7 @@ a table of bounded size.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
 from functools import cache
 
 import pyarrow as pa
@@ -18,7 +18,8 @@ import sentencepiece
 from pyspark.sql import DataFrame
 
 from tallymark.functions.names import col
-from tallymark.llm.text import slices, texts, words
+from tallymark.llm.arrow import Columns, with_computed
+from tallymark.llm.text import texts, words
 
 #: What marks the start of a word in the pieces.
 START = "▁"
@@ -111,25 +112,20 @@ def count_tokens(docs: DataFrame, model: str, text_col: str = "text") -> DataFra
     of the trie. Columns of ``docs`` called like a result column are replaced;
     an empty table gives an empty result.
     """
-    own = ["n_words", "n_tokens", "token_score"]
-    kept = [c for c in docs.columns if c not in own]
-    carried = docs.select(*[col(c) for c in kept], col(text_col).cast("string").alias("_t_text"))
-
-    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def start():
         counter = load(model)
-        for batch in slices(batches, 256):
-            found = [words(t) for t in texts(batch.column(batch.num_columns - 1))]
+
+        def compute(columns: Columns) -> Columns:
+            found = [words(t) for t in texts(columns[0])]
             counter.learn({w for ws in found for w in ws})
             counts, scores = counter.counts.__getitem__, counter.scores.__getitem__
-            yield pa.record_batch(
-                [
-                    *batch.columns[:-1],
-                    pa.array(map(len, found), pa.int64()),
-                    pa.array([sum(map(counts, ws)) for ws in found], pa.int64()),
-                    pa.array([float(sum(map(scores, ws))) for ws in found], pa.float64()),
-                ],
-                names=[*kept, *own],
-            )
-
-    kept_schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in carried.schema.fields[:-1])
-    return carried.mapInArrow(apply, f"{kept_schema}n_words bigint, n_tokens bigint, token_score double")
+            return [
+                pa.array([len(ws) for ws in found], pa.int64()),
+                pa.array([sum(map(counts, ws)) for ws in found], pa.int64()),
+                pa.array([float(sum(map(scores, ws))) for ws in found], pa.float64()),
+            ]
+
+        return compute
+
+    schema = "n_words bigint, n_tokens bigint, token_score double"
+    return with_computed(docs, [col(text_col).cast("string")], schema, start)

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.functions.names import col
+from tallymark.llm.arrow import Columns, with_computed
 from tallymark.llm.text import mix64, slices, texts, windows, words
 
 # What signs are commonly written for.
@@ -411,22 +412,15 @@ def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> Data
     document without evidence. Columns of ``docs`` called like a result column
     are replaced; an empty table gives an empty result.
     """
-    own = ["score", "predicted"]
-    kept = [c for c in docs.columns if c not in own]
-    carried = docs.select(*[col(c) for c in kept], col(text_col).cast("string").alias("_x_text"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def start():
         scorer = Scorer(shared.value)
-        for batch in slices(batches, 256):
-            scores = [scorer.score(t) for t in texts(batch.column(batch.num_columns - 1))]
-            yield pa.record_batch(
-                [
-                    *batch.columns[:-1], pa.array(scores, pa.float64()),
-                    pa.array([int(s >= 0.5) for s in scores], pa.int32()),
-                ],
-                names=[*kept, *own],
-            )
-
-    kept_schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in carried.schema.fields[:-1])
-    return carried.mapInArrow(apply, f"{kept_schema}score double, predicted int")
+
+        def compute(columns: Columns) -> Columns:
+            scores = [scorer.score(t) for t in texts(columns[0])]
+            return [pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32())]
+
+        return compute
+
+    return with_computed(docs, [col(text_col).cast("string")], "score double, predicted int", start)
