@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
 from driver_queries.registry import TARGET_SQL, orders_target, query, table
 from tallymark.operators.aggregates import group_rule
 from tallymark.operators.checks import conformance, key_uniqueness, null_check, row_count_check
 from tallymark.operators.filters import date_window, pk_filter, preview, where
 from tallymark.sources.jdbc import partition_bounds
+from tallymark.sources.scratch import stash
 from tallymark.spec import DeclaredColumn
 
 
@@ -134,6 +140,32 @@ def conformance_partial(spark, sf_dir):
     ], mode="partial")
 
 
-@query()
+@query("SELECT 5::BIGINT AS shown, 5::BIGINT AS known")
 def preview_rows(spark, sf_dir):
-    return preview(table(spark, sf_dir, "orders"))
+    """How many rows a preview shows, and how many of them are rows of the table."""
+    orders = table(spark, sf_dir, "orders")
+    shown = stash(preview(orders), "preview")
+    same = [shown[c].eqNullSafe(orders[c]) for c in orders.columns]
+    known = shown.join(orders, reduce(Column.__and__, same), "left_semi")
+    return shown.agg(F.count(F.lit(1)).alias("shown")).crossJoin(known.agg(F.count(F.lit(1)).alias("known")))
+
+
+@query("""SELECT l_orderkey, l_partkey FROM lineitem WHERE l_orderkey <= 3000""")
+def pk_set_values(spark, sf_dir):
+    """Thousands of values, as text, against a whole-number key."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    return pk_filter(lines, "l_orderkey", "set", values=[str(k) for k in range(3001)])
+
+
+@query("""WITH n AS (SELECT count_if(o_orderkey % 3 = 0) AS far, count_if(o_orderkey % 3 = 1) AS part FROM orders)
+    SELECT 'whole' AS column_name, 'BAD_VALUE' AS issue, 'INT' AS declared_type, 'VARCHAR' AS actual_type, far + part AS bad_rows FROM n
+    UNION ALL SELECT 'broken', 'BAD_VALUE', 'INT', 'DOUBLE', far + part FROM n
+    UNION ALL SELECT 'whole', 'TYPE_MISMATCH', 'INT', 'VARCHAR', NULL
+    UNION ALL SELECT 'broken', 'TYPE_MISMATCH', 'INT', 'DOUBLE', NULL""")
+def conformance_integers(spark, sf_dir):
+    """Values out of an INT's range, or with a fraction, as text and as doubles."""
+    key = F.col("o_orderkey")
+    text = F.when(key % 3 == 0, "3000000000").when(key % 3 == 1, "1.7").otherwise("12.0")
+    number = F.when(key % 3 == 0, 3e9).when(key % 3 == 1, 2.7).otherwise(12.0)
+    orders = table(spark, sf_dir, "orders").select(text.alias("whole"), number.alias("broken"))
+    return conformance(orders, [DeclaredColumn("whole", "INT"), DeclaredColumn("broken", "INT")], mode="partial")

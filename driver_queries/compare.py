@@ -19,7 +19,7 @@ from driver_queries.registry import (
 from tallymark.functions.canonical import comparison_scales, normalise
 from tallymark.operators.keys import keys_in, keys_not_in
 from tallymark.plans.reconcile import prepare, recon_counts, reconcile, slim_pairs
-from tallymark.plans.report import diff_by_column, diff_by_type, summarize, top_columns
+from tallymark.plans.report import diff_by_column, records_by_type, summarize, top_columns
 from tallymark.sources.servers import union_servers
 
 _COUNTS_SQL = f"""WITH s AS (SELECT * FROM orders), t AS ({TARGET_SQL}), j AS (
@@ -123,7 +123,7 @@ def recon_self_pass(spark, sf_dir):
 
 @query(f"SELECT diff_type, count(DISTINCT primary_key_value) AS record_count FROM ({ORDERS_DIFF_SQL}) d GROUP BY diff_type")
 def recon_diff_by_type(spark, sf_dir):
-    return diff_by_type(_orders_result(spark, sf_dir).diff)
+    return records_by_type(_orders_result(spark, sf_dir))
 
 
 @query(f"SELECT column_name, count(*) AS diff_count FROM ({ORDERS_DIFF_SQL}) d GROUP BY column_name")
@@ -273,3 +273,28 @@ def recon_dates_promoted(spark, sf_dir):
         F.when(F.col("o_orderkey") % 10 == 0, day + F.expr("INTERVAL 1 HOUR")).otherwise(day).alias("d"),
     )
     return reconcile(source, target, ["o_orderkey"], temporal="promote").diff
+
+
+_FORCED_SQL = """
+WITH s AS (SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN 'abc' ELSE o_custkey::VARCHAR || '.0' END AS v FROM orders),
+     t AS (SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 AND o_orderkey % 2 = 0 THEN 'xyz' WHEN o_orderkey % 5 = 0 THEN ' abc '
+                                   WHEN o_orderkey % 7 = 0 THEN (o_custkey + 1)::VARCHAR ELSE ' ' || o_custkey END AS v FROM orders)
+SELECT count(*) AS differing FROM s JOIN t USING (o_orderkey)
+WHERE coalesce(TRY_CAST(trim(replace(s.v, '.0', '')) AS BIGINT)::VARCHAR, trim(s.v))
+   <> coalesce(TRY_CAST(trim(t.v) AS BIGINT)::VARCHAR, trim(t.v))
+"""
+
+
+@query(_FORCED_SQL)
+def recon_forced_types(spark, sf_dir):
+    """Text compared as whole numbers; what is no number on either side is compared as it is."""
+    orders, key = table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    number = F.col("o_custkey").cast("string")
+    source = orders.select(key, F.when(key % 5 == 0, "abc").otherwise(F.concat(number, F.lit(".0"))).alias("v"))
+    target = orders.select(
+        key,
+        F.when((key % 5 == 0) & (key % 2 == 0), "xyz").when(key % 5 == 0, " abc ")
+        .when(key % 7 == 0, (F.col("o_custkey") + 1).cast("string")).otherwise(F.concat(F.lit(" "), number)).alias("v"),
+    )
+    result = reconcile(source, target, ["o_orderkey"], force_types={"v": "bigint"})
+    return spark.createDataFrame([(result.counts.mismatched_rows,)], "differing bigint")

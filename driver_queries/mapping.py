@@ -42,7 +42,8 @@ def map_cast_round(spark, sf_dir):
 
 
 @query("""SELECT o_orderkey, TRUE AS yes, FALSE AS no, CAST(NULL AS INTEGER) AS id, CAST(NULL AS DECIMAL(12,2)) AS nothing,
-    'ETL_VALIDATION' AS batch, 'a b' AS quoted, 42 AS whole, CAST(1.5 AS DOUBLE) AS part, 'EUR' AS word FROM orders""")
+    'ETL_VALIDATION' AS batch, 'a b' AS quoted, 42 AS whole, CAST(1.5 AS DOUBLE) AS part, 'EUR' AS word,
+    'IDENTITY' AS quoted_word, 'IDENTITY CARD' AS two_words, '007' AS zeros, 7 AS typed, '1e5' AS exponent FROM orders""")
 def map_constants(spark, sf_dir):
     return _rules(table(spark, sf_dir, "orders"), "o_orderkey", {
         "yes": R.constant("TRUE"),
@@ -54,6 +55,11 @@ def map_constants(spark, sf_dir):
         "whole": R.constant("42"),
         "part": R.constant("1.5"),
         "word": R.constant("EUR"),
+        "quoted_word": R.constant("'IDENTITY'"),
+        "two_words": R.constant("IDENTITY CARD"),
+        "zeros": R.constant("007"),
+        "typed": R.constant("007", "int"),
+        "exponent": R.constant("1e5"),
     })
 
 
@@ -194,20 +200,20 @@ def null_fill(spark, sf_dir):
 
 
 @query(r"""SELECT doc_id,
-    lpad(trim(regexp_replace(regexp_replace(replace(text, '. ', ' | '), '[ \t\n\x0B\f\r]+', ' ', 'g'), '[0-9]+', '#', 'g')), 64, '~') AS text,
-    lower(lang) AS lang, rtrim(ltrim('  ' || upper(source) || '  ')) AS source, n_chars FROM documents""")
+    trim(regexp_replace(regexp_replace(replace(text, '. ', ' | '), '[ \t\n\x0B\f\r]+', ' ', 'g'), '[0-9]+', '#', 'g')) AS text,
+    lpad(lower(lang), 5, '~') AS lang, rtrim(ltrim('  ' || upper(source) || '  ')) AS source, n_chars FROM documents""")
 def global_text_rules(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").withColumn("source", F.concat(F.lit("  "), "source", F.lit("  ")))
     return apply_mapping(documents, TableMap(
         [
             ColumnMap("doc_id", "doc_id", dtype="BIGINT", key=True),
             ColumnMap("text", "text", dtype="TEXT"),
-            ColumnMap("lang", "lang", dtype="CHAR(2)"),
+            ColumnMap("lang", "lang", dtype="CHAR(5)"),
             ColumnMap("source", "source", dtype="VARCHAR(40)"),
             ColumnMap("n_chars", "n_chars", dtype="BIGINT"),
         ],
         [
-            GlobalRule(7, "LPAD", (64, "~"), "col:te*"),
+            GlobalRule(7, "LPAD", (5, "~"), "col:la*"),
             GlobalRule(1, "REPLACE", (". ", " | "), "col:text"),
             GlobalRule(2, "STRIP_WHITESPACE", (), "dtype:VARCHAR"),
             GlobalRule(3, "REGEX_REPLACE", ("[0-9]+", "#"), "exclude:lang,source"),
@@ -291,3 +297,14 @@ def conform_order(spark, sf_dir):
 def partial_columns(spark, sf_dir):
     """One column asked for: its key and the column its rule reads come along."""
     return apply_mapping(table(spark, sf_dir, "orders"), select_partial(order_map(), ["is_open"]))
+
+
+@query("""SELECT o_orderkey, o_custkey AS whole, CASE WHEN o_orderkey % 2 = 0 THEN NULL ELSE 0 - o_custkey END AS mixed FROM orders""")
+def map_cast_text(spark, sf_dir):
+    """Text with a fraction is cut to a whole number, other text is NULL."""
+    number = F.col("o_custkey").cast("string")
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.concat(number, F.lit(".75")).alias("a"),
+        F.when(F.col("o_orderkey") % 2 == 0, "1.5.2").otherwise(F.concat(F.lit(" -"), number, F.lit(". "))).alias("b"),
+    )
+    return _rules(orders, "o_orderkey", {"whole": R.cast("bigint", "a"), "mixed": R.cast("bigint", "b")})

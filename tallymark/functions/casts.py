@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _EDGE = r"[\x00-\x20\x7F]*"
-_WHOLE = rf"^{_EDGE}[-+]?[0-9]+{_EDGE}$"
+_WHOLE = rf"^{_EDGE}[-+]?[0-9]+(?:\.[0-9]*)?{_EDGE}$"
+_FRACTION = rf"\.[0-9]*{_EDGE}$"
 _NUMBER = rf"^{_EDGE}[-+]?(?:\p{{Nd}}|\.\p{{Nd}}|[iI][nN][fF]|[nN][aA][nN])"
 _BOOLEAN = rf"^{_EDGE}(?i:t|true|y|yes|1|f|false|n|no|0){_EDGE}$"
 
@@ -20,10 +21,17 @@ _INTEGRAL_BITS = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType:
 
 
 def safe_cast(c: Column, to: str | T.DataType) -> Column:
-    """``c`` as type ``to``; a value that does not fit becomes NULL, whatever the session's ANSI setting."""
+    """``c`` as type ``to``; a value that does not fit becomes NULL, whatever the session's ANSI setting.
+
+    Text with a fraction is cut to a whole number where ``to`` is one: ``'1.5'``
+    gives 1, as a double of 1.5 does.
+    """
     kind = T.DataType.fromDDL(to) if isinstance(to, str) else to
     tests = []
+    cast = c.try_cast(kind)
     if type(kind) in _INTEGRAL_BITS:
+        whole = F.regexp_replace(c.cast("string"), _FRACTION, "").try_cast(kind)
+        cast = F.when(F.typeof(c) == "string", whole).otherwise(cast)
         bound = 2.0 ** (_INTEGRAL_BITS[type(kind)] - 1)
         tests = [_if_text(c, _WHOLE), _if_floating(c, lambda d: (d >= -bound - 1) & (d <= bound))]
     elif isinstance(kind, T.DecimalType):
@@ -33,7 +41,6 @@ def safe_cast(c: Column, to: str | T.DataType) -> Column:
         tests = [_if_text(c, _NUMBER)]
     elif isinstance(kind, T.BooleanType):
         tests = [_if_text(c, _BOOLEAN)]
-    cast = c.try_cast(kind)
     if not tests:
         return cast
     passes = tests[0] if len(tests) == 1 else tests[0] & tests[1]

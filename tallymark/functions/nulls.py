@@ -3,15 +3,21 @@
 from __future__ import annotations
 
 import re
+from datetime import date
 from decimal import Decimal, InvalidOperation
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BooleanType,
+    ByteType,
     DataType,
     DateType,
+    DecimalType,
+    IntegerType,
+    LongType,
     NumericType,
+    ShortType,
     StringType,
     TimestampNTZType,
     TimestampType,
@@ -61,18 +67,39 @@ def fill(c: Column, dtype: DataType, handling: str, name: str) -> Column:
 
 
 def _check_filler(filler: str, dtype: DataType, name: str) -> None:
+    if not literal_fits(filler, dtype):
+        raise ValueError(f"{name}: cannot fill a {dtype.simpleString()} column with {filler!r}")
+
+
+# Bits of the whole-number types.
+_BITS = {ByteType: 8, ShortType: 16, IntegerType: 32, LongType: 64}
+
+
+def literal_fits(text: str, dtype: DataType) -> bool:
+    """Whether a literal can be cast to a type without an error or a loss."""
+    text = text.strip()
     if isinstance(dtype, StringType):
-        return
-    if isinstance(dtype, NumericType):
+        return True
+    if isinstance(dtype, BooleanType):
+        return text.lower() in ("true", "false", "0", "1")
+    if isinstance(dtype, (DateType, TimestampType, TimestampNTZType)):
+        day = re.match(r"(\d{4})-(\d{1,2})-(\d{1,2})(?:$|[T ])", text)
         try:
-            if Decimal(filler.strip()).is_finite():
-                return
-        except InvalidOperation:
-            pass
-    elif isinstance(dtype, BooleanType):
-        if filler.strip().lower() in ("true", "false", "0", "1"):
-            return
-    elif isinstance(dtype, (DateType, TimestampType, TimestampNTZType)):
-        if re.match(r"\d{4}-\d{1,2}-\d{1,2}", filler.strip()):
-            return
-    raise ValueError(f"{name}: cannot fill a {dtype.simpleString()} column with {filler!r}")
+            return day is not None and date(*map(int, day.groups())) is not None
+        except ValueError:
+            return False
+    if not isinstance(dtype, NumericType):
+        return False
+    try:
+        number = Decimal(text)
+    except InvalidOperation:
+        return False
+    if not number.is_finite():
+        return False
+    if type(dtype) in _BITS:
+        bound = 1 << (_BITS[type(dtype)] - 1)
+        return number == number.to_integral_value() and -bound <= number < bound
+    if isinstance(dtype, DecimalType):
+        shifted = number.scaleb(dtype.scale)
+        return shifted == shifted.to_integral_value() and abs(shifted) < Decimal(10) ** dtype.precision
+    return True

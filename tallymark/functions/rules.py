@@ -8,6 +8,7 @@ Python scalar is a literal, and ``ref("x")`` or ``VAL_REF`` is a column.
 from __future__ import annotations
 
 import operator
+import re
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
@@ -276,39 +277,43 @@ def constant(value, type_name: str | None = None) -> Rule:
     """A literal column, or one of the named constants.
 
     Named: CURRENT_TIMESTAMP, CURRENT_DATE, TRUE, FALSE, NULL, IDENTITY (a
-    NULL int) and SYS_BATCH_ID. Quoted text is itself, a number text is a
-    number, and other text is text. An untyped NULL needs ``type_name``.
+    NULL int) and SYS_BATCH_ID. Quoted text is itself, whatever it says. Other
+    text is cast to ``type_name``; without one a number that is written as
+    numbers print (no leading zeros, no exponent) is a number, and the rest is
+    text. An untyped NULL needs ``type_name``.
     """
 
     def build(_this: str) -> Column:
-        c = _constant_column(value)
+        c = _constant_column(value, type_name)
         return c.cast(type_name) if type_name else c
 
     return Rule(build, (), is_constant=True)
 
 
-def _constant_column(value) -> Column:
+# Words that stand for a value of their own.
+_NAMED_CONSTANTS = {
+    "CURRENT_TIMESTAMP": F.current_timestamp,
+    "CURRENT_DATE": F.current_date,
+    "TRUE": lambda: F.lit(True),
+    "FALSE": lambda: F.lit(False),
+    "NULL": lambda: F.lit(None),
+    "NONE": lambda: F.lit(None),
+    "SYS_BATCH_ID": lambda: F.lit(BATCH_ID),
+    "IDENTITY": lambda: F.lit(None).cast("int"),
+}
+_ARGUMENTS = re.compile(r"\(\s*(?:-?\d+\s*,\s*-?\d+\s*)?\)$")
+_QUOTED = re.compile(r"'(.*)'", re.DOTALL)
+_PRINTED_NUMBER = re.compile(r"[-+]?(?:0|[1-9]\d{0,17})(\.\d+)?")
+
+
+def _constant_column(value, type_name: str | None) -> Column:
     if not isinstance(value, str):
         return F.lit(value)
     text = value.strip()
-    word = text.upper()
-    if word in ("CURRENT_TIMESTAMP", "CURRENT_TIMESTAMP()"):
-        return F.current_timestamp()
-    if word in ("CURRENT_DATE", "CURRENT_DATE()"):
-        return F.current_date()
-    if word in ("TRUE", "FALSE"):
-        return F.lit(word == "TRUE")
-    if word in ("NULL", "NONE"):
-        return F.lit(None)
-    if "IDENTITY" in word:
-        return F.lit(None).cast("int")
-    if word == "SYS_BATCH_ID":
-        return F.lit(BATCH_ID)
-    if len(text) >= 2 and text[0] == text[-1] == "'":
-        return F.lit(text[1:-1])
-    for number in (int, float):
-        try:
-            return F.lit(number(text))
-        except ValueError:
-            continue
+    if quoted := _QUOTED.fullmatch(text):
+        return F.lit(quoted[1])
+    if named := _NAMED_CONSTANTS.get(_ARGUMENTS.sub("", text.upper())):
+        return named()
+    if not type_name and (number := _PRINTED_NUMBER.fullmatch(text)):
+        return F.lit(float(text) if number[1] else int(text))
     return F.lit(text)

@@ -7,11 +7,16 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import DataType, DecimalType, DoubleType, FloatType, IntegralType, StringType, StructType
 
 from tallymark.functions.casts import safe_cast
 from tallymark.functions.names import col, find
-from tallymark.functions.types import agrees_with_spark, declared_type_to_spark, spark_type_to_declared
+from tallymark.functions.types import (
+    agrees_with_spark,
+    declared_type_to_spark,
+    declared_value_type,
+    spark_type_to_declared,
+)
 from tallymark.spec import DeclaredColumn
 
 
@@ -144,7 +149,8 @@ def conformance(df: DataFrame, declared: Sequence[DeclaredColumn], mode: str = "
     """Where a table departs from its declaration.
 
     The schema's issues (see :func:`schema_issues`) come with no row count.
-    Rows are counted in one pass: BAD_VALUE does not fit the declared type,
+    Rows are counted in one pass: BAD_VALUE does not fit the declared type (out
+    of its range, or with a fraction that it cannot hold),
     TOO_LONG exceeds the declared length, NULL_VALUE is a NULL in a column
     declared to have none.
     """
@@ -165,7 +171,7 @@ def conformance(df: DataFrame, declared: Sequence[DeclaredColumn], mode: str = "
         spark_type, length = declared_type_to_spark(d.dtype)
         c = col(f.name)
         if spark_type != f.dataType and not isinstance(spark_type, StringType):
-            count(d, "BAD_VALUE", actual, c.isNotNull() & safe_cast(c, spark_type).isNull())
+            count(d, "BAD_VALUE", actual, c.isNotNull() & ~_holds(c, f.dataType, declared_value_type(d.dtype)))
         if length is not None:
             count(d, "TOO_LONG", actual, F.char_length(c.cast("string")) > length)
         if not d.nullable:
@@ -185,5 +191,20 @@ def conformance(df: DataFrame, declared: Sequence[DeclaredColumn], mode: str = "
     return _rows(found, structs).filter("bad_rows is null or bad_rows > 0")
 
 
+def _holds(c: Column, own: DataType, wanted: DataType) -> Column:
+    """Whether a value can be cast to ``wanted`` without loss: in range, and no fraction cut off."""
+    cast = safe_cast(c, wanted)
+    fits = cast.isNotNull()
+    if not isinstance(wanted, (IntegralType, DecimalType)):
+        return fits
+    if isinstance(own, (DoubleType, FloatType)):
+        # a double holds decimals only nearly
+        return fits & F.coalesce(F.abs(cast.cast("double") - c) < 1e-6, F.lit(False))
+    if isinstance(own, (StringType, DecimalType)):
+        exact = safe_cast(c, "decimal(38,18)") if isinstance(own, StringType) else c
+        return fits & F.coalesce(cast == exact, F.lit(False))
+    return fits
+
+
 def _rows(one_row: DataFrame, structs: Sequence[Column]) -> DataFrame:
     return one_row.select(F.explode(F.array(*structs)).alias("r")).select("r.*")

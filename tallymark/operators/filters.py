@@ -8,11 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType
 
+from tallymark.functions.casts import safe_cast
 from tallymark.functions.names import col, find
 
-# Longer value lists become a joined table.
-INLINE_VALUES = 1000
-
 
 def where(df: DataFrame, condition: str | Column | None) -> DataFrame:
     """Filter by a Spark SQL condition or a Column; nothing to do for ``None`` or ``""``."""
@@ -75,8 +73,9 @@ def pk_filter(
 ) -> DataFrame:
     """Rows by primary key: ``full`` all, ``range`` between two values, ``set`` one of ``values``.
 
-    ``values`` may be a DataFrame with the key columns. It is semi-joined, so
-    its size does not matter: Spark broadcasts it only if it is small.
+    ``values`` are semi-joined, however many there are: Spark broadcasts them
+    only if they are small. A list lies on the driver; hand large sets over as a
+    DataFrame with the key columns.
     """
     keys = [find(df.columns, k, "key") for k in ([keys] if isinstance(keys, str) else keys)]
     if mode == "full":
@@ -100,12 +99,14 @@ def pk_filter(
         # each key once: one that the table repeats very often is folded before it moves
         wanted = values.select(*[col(find(values.columns, k, "key table")).alias(k) for k in keys]).distinct()
         return df.join(wanted, keys, "left_semi")
-    values = list(values)
-    if len(keys) == 1 and len(values) <= INLINE_VALUES:
-        return df.filter(col(keys[0]).isin(values))
-    rows = [v if isinstance(v, (tuple, list)) else (v,) for v in values]
-    schema = df.select(*[col(k) for k in keys]).schema
-    return df.join(df.sparkSession.createDataFrame(rows, schema), keys, "left_semi")
+    # each value takes its key's type; one that does not fit matches nothing
+    rows = [tuple(v) if isinstance(v, (tuple, list)) else (v,) for v in values]
+    as_text = [tuple(None if v is None else str(v) for v in row) for row in rows]
+    schema = ", ".join(f"k{i} string" for i in range(len(keys)))
+    wanted = df.sparkSession.createDataFrame(as_text, schema).select(
+        *[safe_cast(F.col(f"k{i}"), df.schema[k].dataType).alias(k) for i, k in enumerate(keys)]
+    )
+    return df.join(wanted.distinct(), keys, "left_semi")
 
 
 def preview(df: DataFrame, rows: int = 5) -> DataFrame:

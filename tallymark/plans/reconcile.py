@@ -12,9 +12,9 @@ Three methods give the same result:
     Two anti joins find missing and extra keys, an inner join the rest.
 
 Each method first writes its *outcome* to a scratch table: one row per record
-that differs, and a single counter row per partition for all that match. It is
-as large as the differences are, and both the counts and the difference rows
-come from it.
+that differs. It is as large as the differences are, and the difference rows
+come from it. All rows are counted by status as they pass on the way there, so
+one job gives counts and outcome.
 """
 
 from __future__ import annotations
@@ -23,11 +23,12 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import asdict, dataclass, replace
 from functools import cached_property, reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType, TimestampNTZType
+from pyspark.sql.types import DataType, LongType, StructField, StructType, TimestampNTZType
 
 from tallymark.functions.canonical import (
+    canonical_text,
     comparable,
     comparison_scales,
     comparison_text,
@@ -41,7 +42,7 @@ from tallymark.operators.joins import null_safe_join
 from tallymark.operators.keys import keys_in, keys_not_in
 from tallymark.operators.rownumber import HOT_KEY_ROWS, number_within_keys
 from tallymark.sources.files import DIFF_COLUMNS, DIFF_SCHEMA
-from tallymark.sources.scratch import stash
+from tallymark.sources.scratch import release, stash
 from tallymark.sources.servers import SERVER_COLUMN
 
 METHODS = ("hash", "full", "anti")
@@ -64,12 +65,8 @@ DEFAULT_EXCLUDED = ("load_ts", "batch_id")
 MATCH = "MATCH"
 DUPLICATE = "DUPLICATE_KEY"
 
-# Up to this many differing whole-number keys are written into the filter of the scan.
-INLINE_KEYS = 1000
-
 _ORDINAL = "_tm_ordinal"
 _STATUS = "_tm_status"
-_ROWS = "_tm_rows"
 _CELLS = "_tm_cells"
 _SERVER = "_tm_server"
 _CELLS_TYPE = "array<struct<column_name:string,expected_value:string,actual_value:string>>"
@@ -135,12 +132,13 @@ class Sides:
 
 @dataclass(frozen=True)
 class ReconResult:
-    """The outcome of a comparison. ``diff`` is built when first asked for."""
+    """The outcome of a comparison: one row per differing key. ``diff`` is written when first asked for."""
 
     sides: Sides
     method: str
     counts: ReconCounts
     outcome: DataFrame
+    snapshot: bool = False
 
     @property
     def passed(self) -> bool:
@@ -148,7 +146,19 @@ class ReconResult:
 
     @cached_property
     def diff(self) -> DataFrame:
-        """One row per missing or extra record and per differing cell."""
+        """One row per missing or extra record and per differing cell, as a scratch table: every reader sees the same
+        rows, and the tables are not read again."""
+        return empty_diff(self.outcome.sparkSession) if self.passed else stash(self.diff_plan(), "diff")
+
+    def release(self) -> None:
+        """Delete the scratch tables of this comparison; ``outcome`` and ``diff`` cannot be read afterwards."""
+        written = [self.__dict__["diff"]] if "diff" in self.__dict__ else []
+        copies = [self.sides.source, self.sides.target] if self.snapshot else []
+        for table in (self.outcome, *written, *copies):
+            release(table)
+
+    def diff_plan(self) -> DataFrame:
+        """The plan of ``diff``. Building it runs no job, and it does not depend on how many rows differ."""
         if self.passed:
             return empty_diff(self.outcome.sparkSession)
         if self.method == "hash":
@@ -185,7 +195,8 @@ def reconcile(
     compared columns.
 
     ``temporal``: ``text`` keeps a date and a timestamp apart, ``promote``
-    compares them as timestamps. ``force_types`` casts columns of both sides first.
+    compares them as timestamps. ``force_types`` casts columns of both sides first
+    and compares their text; a value that cannot be cast is compared as it is.
 
     ``snapshot`` writes both sides to scratch tables first. Use it where reading
     twice is dear or might give different rows: a live database, a long mapping.
@@ -196,8 +207,13 @@ def reconcile(
     if snapshot:
         sides = replace(sides, source=stash(sides.source, "source"), target=stash(sides.target, "target"))
     sides = _settle_duplicates(sides, on_duplicate, check=method != "hash", hot_key_rows=hot_key_rows)
-    outcome = stash({"hash": _hash_outcome, "full": _full_outcome, "anti": _anti_outcome}[method](sides), "outcome")
-    return ReconResult(sides, method, _read_counts(sides, outcome), outcome)
+    rows = {"hash": _hash_outcome, "full": _full_outcome, "anti": _anti_outcome}[method](sides)
+    counted = Observation("counts")
+    # counted while the rows are written, in the stage that follows the comparison's own shuffle
+    statuses = (MATCH, MISSING, EXTRA, MISMATCH, DUPLICATE)
+    observed = rows.observe(counted, *[F.count_if(col(_STATUS) == s).alias(s) for s in statuses])
+    outcome = stash(observed.filter(~col(_STATUS).isin(MATCH, DUPLICATE)), "outcome")
+    return ReconResult(sides, method, _counts(sides, counted.get), outcome, snapshot)
 
 
 def recon_counts(
@@ -253,7 +269,7 @@ def prepare(
         find(source.columns, c, "source")
         find(target.columns, c, "target")
     forced = {c.lower(): t for c, t in (force_types or {}).items()}
-    source, target = _cast(source, forced), _cast(target, forced)
+    source, target = _force(source, forced), _force(target, forced)
     named = [*keys, *columns]
     if temporal == "promote":
         promoted = {c: TimestampNTZType() for c in dates_facing_timestamps(source.schema, target.schema, named)}
@@ -276,6 +292,18 @@ def common_columns(source: DataFrame, target: DataFrame, keys: Iterable[str], ex
     return sorted({c.lower() for c in source.columns} & {c.lower() for c in target.columns} - left_out)
 
 
+def _force(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
+    """Columns as the text of a forced type. A value that cannot be cast keeps its own text, so that it can never equal
+    another by becoming NULL."""
+    chosen = {}
+    for name, wanted in types.items():
+        if name in df.columns:
+            kind = DataType.fromDDL(wanted) if isinstance(wanted, str) else wanted
+            text = canonical_text(safe_cast(col(name), kind), kind, None)
+            chosen[name] = F.coalesce(text, F.trim(col(name).cast("string")))
+    return df.withColumns(chosen) if chosen else df
+
+
 def _cast(df: DataFrame, types: Mapping) -> DataFrame:
     chosen = {c: safe_cast(col(c), t) for c, t in types.items() if c in df.columns}
     return df.withColumns(chosen) if chosen else df
@@ -290,12 +318,23 @@ def _settle_duplicates(sides: Sides, on_duplicate: str, check: bool, hot_key_row
         return sides
     if on_duplicate != "ordinal":
         raise ValueError(f"on_duplicate must be 'error' or 'ordinal', not {on_duplicate!r}")
-    # kept, so that the order is settled once for the counts and the details
-    numbered = [
-        stash(number_within_keys(side, sides.keys, sides.columns, _ORDINAL, hot_key_rows), "numbered")
-        for side in (sides.source, sides.target)
-    ]
-    return replace(sides, source=numbered[0], target=numbered[1])
+    # keys that occur once on either side need no number; equal rows of two servers are ordered by server
+    repeated = stash(
+        reduce(DataFrame.unionByName, [
+            side.groupBy(*[col(k) for k in sides.keys]).agg(F.count(F.lit(1)).alias("_tm_n")).filter(col("_tm_n") > 1)
+            .select(*[col(k) for k in sides.keys])
+            for side in (sides.source, sides.target)
+        ]).distinct(),
+        "repeated-keys",
+    )
+
+    def numbered(side: DataFrame) -> DataFrame:
+        order = [*sides.columns, *([SERVER_COLUMN] if SERVER_COLUMN in side.columns else [])]
+        once = keys_not_in(side, repeated, sides.keys).withColumn(_ORDINAL, F.lit(1).cast("bigint"))
+        again = number_within_keys(keys_in(side, repeated, sides.keys), sides.keys, order, _ORDINAL, hot_key_rows)
+        return once.unionByName(again.withColumn(_ORDINAL, col(_ORDINAL).cast("bigint")))
+
+    return replace(sides, source=numbered(sides.source), target=numbered(sides.target))
 
 
 def _refuse(duplicates: int, keys: Sequence[str]) -> None:
@@ -339,10 +378,7 @@ def _slim_status() -> Column:
 
 
 def _hash_outcome(sides: Sides) -> DataFrame:
-    pairs = slim_pairs(sides).withColumn(_STATUS, _slim_status())
-    differs = ~col(_STATUS).isin(MATCH, DUPLICATE)
-    folded = pairs.select(_STATUS, *[F.when(differs, col(k)).alias(k) for k in sides.pairing])
-    return folded.groupBy(_STATUS, *[col(k) for k in sides.pairing]).agg(F.count(F.lit(1)).alias(_ROWS))
+    return slim_pairs(sides).select(_slim_status().alias(_STATUS), *[col(k) for k in sides.pairing])
 
 
 def _hash_diff(sides: Sides, outcome: DataFrame, counts: ReconCounts) -> DataFrame:
@@ -358,28 +394,15 @@ def _hash_diff(sides: Sides, outcome: DataFrame, counts: ReconCounts) -> DataFra
         parts.append(_whole_row(missing, MISSING, sides.key_text(), F.lit(UNKNOWN_SERVER)))
     if counts.missing_rows and sides.has_server:
         tagged = sides.source.select(*[col(k) for k in pairing], col(SERVER_COLUMN))
-        missing = _having_keys(tagged, outcome.filter(col(_STATUS) == MISSING), pairing, counts.missing_rows)
+        missing = keys_in(tagged, outcome.filter(col(_STATUS) == MISSING), pairing)
         parts.append(_whole_row(missing, MISSING, sides.key_text(), _server(SERVER_COLUMN, True)))
     if counts.mismatched_rows:
         changed = outcome.filter(col(_STATUS) == MISMATCH).select(*[col(k) for k in pairing])
-        source, target = (
-            _having_keys(side, changed, pairing, counts.mismatched_rows) for side in (sides.source, sides.target)
-        )
+        source, target = (keys_in(side, changed, pairing) for side in (sides.source, sides.target))
         parts.append(cell_diff(null_safe_join(source, target, pairing, "inner"), sides))
     return reduce(DataFrame.unionByName, parts)
 
 
-def _having_keys(side: DataFrame, wanted: DataFrame, pairing: Sequence[str], count: int) -> DataFrame:
-    """The rows of a side whose key is in ``wanted``, which has ``count`` rows. A few whole numbers
-    become a filter, which skips the row groups of a sorted table; other keys are semi-joined."""
-    if count <= INLINE_KEYS and len(pairing) == 1 and isinstance(side.schema[pairing[0]].dataType, LongType):
-        key = col(pairing[0])
-        values = [r[0] for r in wanted.select(key).collect()]
-        known = key.isin([v for v in values if v is not None])
-        return side.filter(known | key.isNull() if None in values else known)
-    return keys_in(side, wanted, pairing)
-
-
 # -- full and anti ------------------------------------------------------------------
 
 
@@ -396,17 +419,17 @@ def _full_outcome(sides: Sides) -> DataFrame:
         .otherwise(MATCH)
     )
     keys = {k: F.when(in_source, col(f"src_{k}")).otherwise(col(f"tgt_{k}")) for k in sides.pairing}
-    return _fold(joined, sides, status, keys)
+    return _statuses(joined, sides, status, keys)
 
 
 def _anti_outcome(sides: Sides) -> DataFrame:
     both = null_safe_join(sides.source, sides.target, sides.pairing, "inner")
     status = F.when(_any_differs(sides.columns), MISMATCH).otherwise(MATCH)
-    folded = _fold(both, sides, status, {k: col(f"src_{k}") for k in sides.pairing})
+    paired = _statuses(both, sides, status, {k: col(f"src_{k}") for k in sides.pairing})
     missing = keys_not_in(sides.source, sides.target, sides.pairing)
     extra = keys_not_in(sides.target, sides.source, sides.pairing)
     return (
-        folded.unionByName(_lone_rows(missing, sides, MISSING, _server(SERVER_COLUMN, sides.has_server)))
+        paired.unionByName(_lone_rows(missing, sides, MISSING, _server(SERVER_COLUMN, sides.has_server)))
         .unionByName(_lone_rows(extra, sides, EXTRA, F.lit(NO_SERVER)))
     )
 
@@ -417,26 +440,18 @@ def _lone_rows(rows: DataFrame, sides: Sides, status: str, server: Column) -> Da
         *[col(k) for k in sides.pairing],
         server.alias(_SERVER),
         F.lit(None).cast(_CELLS_TYPE).alias(_CELLS),
-        F.lit(1).cast("bigint").alias(_ROWS),
     )
 
 
-def _fold(joined: DataFrame, sides: Sides, status: Column, keys: Mapping[str, Column]) -> DataFrame:
-    """Matching rows become one counter per partition; all others keep their key, which is theirs
-    alone, their server and their differing cells."""
-    differs = col(_STATUS) != MATCH
-    rows = joined.select(
-        status.alias(_STATUS),
-        *[c.alias(k) for k, c in keys.items()],
-        _joined_server(sides.has_server).alias(_SERVER),
-        _differing_cells(sides).alias(_CELLS),
-    ).select(
+def _statuses(joined: DataFrame, sides: Sides, status: Column, keys: Mapping[str, Column]) -> DataFrame:
+    """The status of each pair of rows with its key, its server and its differing cells."""
+    rows = joined.withColumn(_STATUS, status)
+    return rows.select(
         _STATUS,
-        *[F.when(differs, col(k)).alias(k) for k in keys],
-        F.when(col(_STATUS) == EXTRA, NO_SERVER).when(differs, col(_SERVER)).alias(_SERVER),
-        F.when(col(_STATUS) == MISMATCH, col(_CELLS)).alias(_CELLS),
+        *[c.alias(k) for k, c in keys.items()],
+        F.when(col(_STATUS) == EXTRA, NO_SERVER).otherwise(_joined_server(sides.has_server)).alias(_SERVER),
+        F.when(col(_STATUS) == MISMATCH, _differing_cells(sides)).alias(_CELLS),
     )
-    return rows.groupBy(_STATUS, *[col(k) for k in keys], _SERVER, _CELLS).agg(F.count(F.lit(1)).alias(_ROWS))
 
 
 def _explode_cells(sides: Sides, outcome: DataFrame) -> DataFrame:
@@ -513,10 +528,9 @@ def _whole_row(rows: DataFrame, diff_type: str, text: Column, server: Column) ->
     )
 
 
-def _read_counts(sides: Sides, outcome: DataFrame) -> ReconCounts:
-    per_status = {r[0]: r[1] for r in outcome.groupBy(_STATUS).agg(F.sum(_ROWS)).collect()}
-    _refuse(per_status.get(DUPLICATE, 0), sides.keys)
-    matched, missing, extra, mismatched = (per_status.get(s, 0) for s in (MATCH, MISSING, EXTRA, MISMATCH))
+def _counts(sides: Sides, per_status: Mapping[str, int]) -> ReconCounts:
+    _refuse(per_status[DUPLICATE], sides.keys)
+    matched, missing, extra, mismatched = (per_status[s] for s in (MATCH, MISSING, EXTRA, MISMATCH))
     both = matched + mismatched
     return ReconCounts(both + missing, both + extra, matched, missing, extra, mismatched)
 

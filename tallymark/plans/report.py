@@ -7,18 +7,28 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.plans.reconcile import ReconCounts, ReconResult, check_diff_columns, reconcile
+from tallymark.plans.reconcile import EXTRA, MISMATCH, MISSING, ReconCounts, ReconResult, check_diff_columns, reconcile
 from tallymark.sources.files import write_csv
 
-# Exit codes without and with differences.
+# Exit codes without and with differences, and for a run that a check or a server stopped.
 EXIT_OK = 0
+EXIT_ISSUES = 2
 EXIT_DIFFERENCES = 3
 
 
 def diff_by_type(diff: DataFrame) -> DataFrame:
-    """How many records differ in each way."""
+    """How many key texts differ in each way, in a difference table that may have been read back. Records of one key
+    text count once; :func:`records_by_type` counts records."""
     check_diff_columns(diff)
-    return diff.groupBy("diff_type").agg(F.countDistinct("primary_key_value").alias("record_count"))
+    return diff.groupBy("diff_type").agg(F.countDistinct("primary_key_value").alias("distinct_keys"))
+
+
+def records_by_type(result: ReconResult) -> DataFrame:
+    """How many records differ in each way."""
+    counts = result.counts
+    found = {MISSING: counts.missing_rows, EXTRA: counts.extra_rows, MISMATCH: counts.mismatched_rows}
+    rows = [(kind, n) for kind, n in found.items() if n]
+    return result.outcome.sparkSession.createDataFrame(rows, "diff_type string, record_count bigint")
 
 
 def diff_by_column(diff: DataFrame) -> DataFrame:

@@ -5,13 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallymark.operators.checks import conformance
+from tallymark.functions.names import col
+from tallymark.operators.checks import NullsFound, conformance
 from tallymark.operators.filters import date_window, pk_filter
 from tallymark.operators.mapping import apply_mapping, conform_columns, select_partial
 from tallymark.plans.reconcile import DEFAULT_EXCLUDED, ReconResult, reconcile
-from tallymark.plans.report import exit_code, write_report
+from tallymark.plans.report import EXIT_ISSUES, exit_code, write_report
 from tallymark.sources.servers import SERVER_COLUMN, load_servers, server_disagreements, union_servers
 from tallymark.spec import DeclaredColumn, ServerSource, TableMap
 
@@ -24,7 +27,9 @@ class ValidationJob:
     table. ``declared`` describes it in full, ``source_declared`` the columns that
     each server's extract must have. ``date_range`` and ``key_filter`` are the arguments of
     :func:`date_window` and :func:`pk_filter` by name; they apply to both sides,
-    under the target's column names.
+    under the target's column names. ``on_issue="fail"`` makes departures from
+    the declarations decide the exit code. ``null_check`` is that of
+    :func:`apply_mapping`; ``count`` is one job for all servers.
     """
 
     servers: Sequence[ServerSource]
@@ -39,34 +44,73 @@ class ValidationJob:
     date_range: Mapping[str, object] = field(default_factory=dict)
     key_filter: Mapping[str, object] = field(default_factory=dict)
     null_check: str = "count"
+    on_issue: str = "report"
     report_path: str | None = None
     options: Mapping[str, object] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
 class ValidationOutcome:
-    """The comparison, what departs from the declarations, and the exit code."""
+    """The comparison (None if no server could be read), what departs from the declarations, why servers failed, and
+    the exit code: 0 only if nothing differs, every server was read, and no check that counts found anything."""
 
-    result: ReconResult
+    result: ReconResult | None
     conformance: DataFrame | None
     source_conformance: Mapping[str, DataFrame]
+    failures: Mapping[str, str]
     exit_code: int
 
 
 def mapped_source(loaded: Mapping[str, DataFrame], job: ValidationJob) -> DataFrame:
     """All servers' rows in the target's shape, tagged with their server."""
     maps = {n: select_partial(job.maps[n], job.partial) if job.partial else job.maps[n] for n in loaded}
-    mapped = {n: apply_mapping(df, maps[n], job.null_check) for n, df in loaded.items()}
+    per_server = "off" if job.null_check == "count" else job.null_check
+    mapped = {n: apply_mapping(df, maps[n], per_server) for n, df in loaded.items()}
     problems = server_disagreements(mapped, {n: m.keys for n, m in maps.items()})
     if problems:
         raise ValueError("servers disagree: " + "; ".join(problems))
-    return _filtered(union_servers(mapped), job)
+    united = union_servers(mapped)
+    if job.null_check == "count":
+        _require_no_nulls(united, {n: m.required for n, m in maps.items()})
+    return _filtered(united, job)
+
+
+def _require_no_nulls(united: DataFrame, required: Mapping[str, Sequence[str]]) -> None:
+    """One count for each server and each column that one of them requires."""
+    names = sorted({c for columns in required.values() for c in columns})
+    if not names:
+        return
+    counts = united.groupBy(SERVER_COLUMN).agg(*[F.count_if(col(c).isNull()).alias(c) for c in names])
+    found = {
+        f"{r[SERVER_COLUMN]}.{c}": r[c]
+        for r in counts.collect() for c in required[r[SERVER_COLUMN]] if r[c]
+    }
+    if found:
+        raise NullsFound(found)
+
+
+def _load(spark: SparkSession, job: ValidationJob) -> tuple[dict[str, DataFrame], dict[str, str]]:
+    """The servers that can be read, and why the others cannot."""
+    names = [s.name for s in job.servers]
+    if len(set(names)) != len(names):
+        raise ValueError(f"a server is listed twice: {names}")
+    loaded, failures = {}, {}
+    for server in job.servers:
+        try:
+            loaded |= load_servers(spark, [server])
+        except (PySparkException, ValueError) as problem:
+            failures[server.name] = str(problem).splitlines()[0]
+    return loaded, failures
 
 
 def run_validation(spark: SparkSession, job: ValidationJob) -> ValidationOutcome:
     """Compare what the servers should have produced with what the target holds."""
-    loaded = load_servers(spark, job.servers)
-    source_issues = {n: conformance(loaded[n], d, "partial") for n, d in job.source_declared.items()}
+    if job.on_issue not in ("report", "fail"):
+        raise ValueError(f"on_issue must be 'report' or 'fail', not {job.on_issue!r}")
+    loaded, failures = _load(spark, job)
+    if not loaded:
+        return ValidationOutcome(None, None, {}, failures, EXIT_ISSUES)
+    source_issues = {n: conformance(loaded[n], d, "partial") for n, d in job.source_declared.items() if n in loaded}
     source = mapped_source(loaded, job)
     target = job.target(spark)
     issues = conformance(target, job.declared) if job.declared else None
@@ -78,7 +122,10 @@ def run_validation(spark: SparkSession, job: ValidationJob) -> ValidationOutcome
     result = reconcile(source, target, job.keys, job.columns, job.exclude, **options)
     if job.report_path:
         write_report(result.diff, job.report_path)
-    return ValidationOutcome(result, issues, source_issues, exit_code(result.counts))
+    checks = [*source_issues.values(), *([] if issues is None else [issues])]
+    stopped = failures or (job.on_issue == "fail" and any(not c.isEmpty() for c in checks))
+    code = EXIT_ISSUES if stopped else exit_code(result.counts)
+    return ValidationOutcome(result, issues, source_issues, failures, code)
 
 
 def _filtered(df: DataFrame, job: ValidationJob) -> DataFrame:

@@ -83,14 +83,16 @@ def read_csv(
     schema: StructType | None = None,
     null_token: str = NULL_TOKEN,
     infer: bool = False,
-    multi_line: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Read CSV with its schema, so that ``00123`` stays text where the schema says text.
 
     Without ``schema`` the one beside the folder is used. Columns are found by
-    the header, and those the schema does not list are left out. ``infer=True``
-    guesses the types instead, for files nobody described. ``multi_line=False``
-    lets Spark split large files, where no value holds a line break.
+    the header; those the schema does not list are left out, and one that it
+    lists and the file lacks is an error. ``infer=True`` guesses the types
+    instead, for files nobody described. Large files are split over tasks;
+    files of others whose values hold line breaks need ``multi_line=True``,
+    which reads each file in one task.
     """
     reader = spark.read.options(**_CSV_OPTIONS).options(
         nullValue=null_token, emptyValue="", multiLine=str(multi_line).lower()
@@ -103,11 +105,12 @@ def read_csv(
     names = {c.lower(): c for c in raw.columns}
     if not names:
         return spark.createDataFrame([], schema)
+    absent = [f.name for f in schema.fields if f.name.lower() not in names]
+    if absent:
+        raise ValueError(f"{path} lacks column(s) {absent}; it has {raw.columns}")
     own_files = null_token == NULL_TOKEN
     out = []
     for f in schema.fields:
-        if f.name.lower() not in names:
-            continue
         c = col(names[f.name.lower()])
         if isinstance(f.dataType, StringType):
             out.append((_unescape(c) if own_files else c).alias(f.name))
@@ -121,13 +124,20 @@ def _mapped(field: StructField, fn) -> Column:
     return fn(c).alias(field.name) if isinstance(field.dataType, StringType) else c
 
 
+# How text is written, so that a record is one line and no text reads as the NULL token.
+_ESCAPES = (("\\", "\\s"), ("\n", "\\n"), ("\r", "\\r"))
+
+
 def _escape(c: Column) -> Column:
-    # text that begins with a backslash gets one more, so it cannot read as the NULL token
-    return F.when(c.startswith("\\"), F.concat(F.lit("\\"), c)).otherwise(c)
+    for plain, written in _ESCAPES:
+        c = F.replace(c, F.lit(plain), F.lit(written))
+    return c
 
 
 def _unescape(c: Column) -> Column:
-    return F.when(c.startswith("\\\\"), F.substring(c, 2, 2147483647)).otherwise(c)
+    for plain, written in reversed(_ESCAPES):
+        c = F.replace(c, F.lit(written), F.lit(plain))
+    return c
 
 
 def read_diff(spark: SparkSession, path: str) -> DataFrame:

@@ -81,3 +81,10 @@ def partition_bounds(df: DataFrame, name: str) -> DataFrame:
     """Smallest and greatest value of a column, to partition a scan by."""
     c = col(find(df.columns, name, "partition column"))
     return df.agg(F.min(c).alias("lower_bound"), F.max(c).alias("upper_bound"))
+
+
+def scan_partition(df: DataFrame, name: str, count: int) -> tuple | None:
+    """What :func:`read_jdbc` needs to split a scan of ``df`` by a column: its name, its bounds, which are read now,
+    and the number of partitions. None for an empty table or a column that holds only NULL: one scan will do."""
+    lower, upper = partition_bounds(df, name).first()
+    return None if lower is None else (find(df.columns, name, "partition column"), lower, upper, count)

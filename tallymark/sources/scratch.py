@@ -8,6 +8,7 @@ join against it is broadcast only when it is small.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import cache
@@ -21,7 +22,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path under the folder that ``spark.checkpoint.dir`` names."""
     base = spark.conf.get(DIR_SETTING, None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.conf.get("spark.master", "")):
             raise RuntimeError(f"set {DIR_SETTING} to a folder that all executors share")
         base = _local_folder()
     return f"{base.rstrip('/')}/tallymark/{label}-{uuid.uuid4().hex}"
@@ -39,3 +40,15 @@ def stash(df: DataFrame, label: str = "stash") -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(df: DataFrame) -> None:
+    """Delete the scratch tables that ``df`` reads. It cannot be read afterwards."""
+    spark = df.sparkSession
+    base = spark.conf.get(DIR_SETTING, None) or _local_folder()
+    mark = f"{base.rstrip('/').split('://')[-1].removeprefix('file:')}/tallymark/"
+    folders = {f.rsplit("/", 1)[0] for f in df.inputFiles() if mark in f}
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in folders:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)

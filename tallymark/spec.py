@@ -6,7 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StructType
 
 from tallymark.functions import rules
 
@@ -113,8 +113,11 @@ class TableMap:
                 if m.kind != "constant" and effective_handling(m) == "error"]
 
     @property
-    def forced_types(self) -> dict[str, str]:
-        return {m.target: m.force_dtype for m in self.kept if m.force_dtype}
+    def forced_types(self) -> dict[str, DataType]:
+        """Spark's types of the columns that declare a type to be compared as."""
+        from tallymark.functions.types import declared_value_type
+
+        return {m.target: declared_value_type(m.force_dtype) for m in self.kept if m.force_dtype}
 
 
 @dataclass(frozen=True)

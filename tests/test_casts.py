@@ -19,6 +19,7 @@ NUMBERS = [
 ]
 TYPES = ["tinyint", "smallint", "int", "bigint", "float", "double", "decimal(3,1)", "decimal(38,6)", "boolean", "date",
          "timestamp", "string"]
+WHOLE = TYPES[:4]
 
 
 @pytest.mark.parametrize(("values", "own"), [(TEXTS, "string"), (NUMBERS, "double"), (NUMBERS, "float")])
@@ -31,7 +32,11 @@ def test_same_as_try_cast(spark, values, own):
         try:
             for t in kinds:
                 got = df.select("c", safe_cast(F.col("c"), t).cast("string"))
-                want = df.select("c", F.col("c").try_cast(t).cast("string"))
+                plain = F.col("c")
+                if own == "string" and t in WHOLE:
+                    # text is cut at its decimal point, as a cast without ANSI rules does
+                    plain = F.regexp_replace("c", r"(?<=[0-9])\.[0-9]*(?=[\x00-\x20\x7F]*$)", "")
+                want = df.select("c", plain.try_cast(t).cast("string"))
                 assert list(map(str, rows(got))) == list(map(str, rows(want))), t
         finally:
             spark.conf.set("spark.sql.ansi.enabled", "true")

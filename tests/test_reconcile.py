@@ -1,3 +1,5 @@
+from pathlib import Path
+
 """The comparison as a whole: the three methods, duplicates, NULL keys, servers, reports."""
 
 import random
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 from driver_queries.registry import orders_target, table
 from tallymark.operators.checks import key_uniqueness
 from tallymark.plans.reconcile import METHODS, DuplicateKeys, common_columns, recon_counts, reconcile
-from tallymark.plans.report import compare_and_report, diff_by_column, diff_by_type, exit_code, summarize
+from tallymark.plans.report import compare_and_report, diff_by_column, diff_by_type, exit_code, records_by_type, summarize
 from tallymark.sources.files import DIFF_COLUMNS, read_diff
 from tests.conftest import rows
 
@@ -227,6 +229,7 @@ def test_report(spark, tmp_path):
     result = compare_and_report(s, t, ["k"], str(tmp_path / "report"))
     assert rows(read_diff(spark, str(tmp_path / "report"))) == rows(result.diff)
     assert dict(map(tuple, diff_by_type(result.diff).collect())) == {"MISSING_IN_TARGET": 1, "VALUE_MISMATCH": 2}
+    assert dict(map(tuple, records_by_type(result).collect())) == {"MISSING_IN_TARGET": 1, "VALUE_MISMATCH": 2}
     assert [tuple(r) for r in diff_by_column(result.diff).collect()] == [("w", 2), ("<ENTIRE_ROW>", 1), ("v", 1)]
     empty = compare_and_report(s, s, ["k"], str(tmp_path / "empty"))
     assert empty.passed and rows(read_diff(spark, str(tmp_path / "empty"))) == []
@@ -250,11 +253,45 @@ def test_bad_arguments(spark):
         reconcile(s.toDF("k", "K"), s, ["k"])
 
 
-def test_few_and_many_differences_read_alike(spark, sf_dir, monkeypatch):
-    """Keys written into the filter and keys joined give the same rows, a NULL key too."""
+def test_a_null_key_is_looked_up_like_any_other(spark):
     s = spark.createDataFrame([(None, "a", "n"), (1, "b", "n"), (2, "c", "s"), (4, "e", "s")],
                               "k int, v string, _source_server string")
     t = spark.createDataFrame([(None, "x"), (1, "y"), (3, "d"), (4, "e")], "k bigint, v string")
-    few = rows(reconcile(s, t, ["k"]).diff)
-    monkeypatch.setattr("tallymark.plans.reconcile.INLINE_KEYS", 0)
-    assert rows(reconcile(s, t, ["k"]).diff) == few and len(few) == 4
+    assert len(rows(reconcile(s, t, ["k"]).diff)) == 4
+
+
+def test_forced_types_never_turn_a_difference_into_a_match(spark):
+    s = spark.createDataFrame([(1, "abc"), (2, "1"), (3, "x"), (4, None)], "k int, v string")
+    t = spark.createDataFrame([(1, "xyz"), (2, " 01"), (3, "x"), (4, "y")], "k int, v string")
+    result = reconcile(s, t, ["k"], force_types={"v": "int"})
+    assert (result.counts.matched_rows, result.counts.mismatched_rows) == (2, 2)
+
+
+def test_a_missing_row_is_blamed_on_the_last_server(spark):
+    s = spark.createDataFrame([(1, "a", "s1"), (1, "a", "s0")], "k int, v string, _source_server string")
+    t = spark.createDataFrame([(1, "a")], "k int, v string")
+    for source in (s, s.orderBy("_source_server")):
+        found = reconcile(source, t, ["k"], on_duplicate="ordinal").diff.collect()
+        assert [r["source_server"] for r in found] == ["s1"]
+
+
+def test_counts_equal_the_written_rows_and_release_deletes_them(spark, sf_dir):
+    from driver_queries.registry import orders_target, table
+
+    for method in ("hash", "full", "anti"):
+        result = reconcile(table(spark, sf_dir, "orders"), orders_target(spark, sf_dir), ["o_orderkey"], method=method)
+        written = {r[0]: r[1] for r in result.outcome.groupBy("_tm_status").count().collect()}
+        assert written == {
+            "MISSING_IN_TARGET": result.counts.missing_rows, "EXTRA_IN_TARGET": result.counts.extra_rows,
+            "VALUE_MISMATCH": result.counts.mismatched_rows,
+        }
+        assert result.diff.count() > 0
+        files = [f.removeprefix("file://").removeprefix("file:") for f in (*result.outcome.inputFiles(), *result.diff.inputFiles())]
+        result.release()
+        assert files and not any(Path(f).exists() for f in files)
+
+
+def test_records_of_like_key_texts_are_told_apart(spark):
+    s = spark.createDataFrame([("a|b", "c", 1), ("a", "b|c", 1)], "k string, l string, v int")
+    result = reconcile(s, s.limit(0), ["k", "l"])
+    assert records_by_type(result).first()["record_count"] == 2

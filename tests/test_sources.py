@@ -40,7 +40,9 @@ def test_csv_keeps_types(spark, tmp_path):
 
 def test_csv_with_a_given_schema(spark, tmp_path):
     (tmp_path / "in.csv").write_text("Code,n,junk\n00123,5,a\n,x,b\n")
-    schema = T.StructType().add("code", "string").add("N", "integer").add("absent", "string")
+    schema = T.StructType().add("code", "string").add("N", "integer")
+    with pytest.raises(ValueError, match="absent"):
+        read_csv(spark, str(tmp_path / "in.csv"), T.StructType().add("absent", "string"), null_token="")
     df = read_csv(spark, str(tmp_path / "in.csv"), schema, null_token="")
     assert df.columns == ["code", "N"] and rows(df) == [("00123", 5), (None, None)]
     guessed = read_csv(spark, str(tmp_path / "in.csv"), null_token="", infer=True, multi_line=False)
@@ -188,3 +190,22 @@ def test_validation_run(spark, tmp_path):
     uneven = {**maps, "south": TableMap([ColumnMap("ID", "nr", key=True)])}
     with pytest.raises(ValueError, match="disagree"):
         run_validation(spark, replace(job, maps=uneven))
+
+
+def test_a_large_csv_file_is_split(spark, tmp_path):
+    write_csv(spark.range(0, 40_000, 1, 1).selectExpr("id", "concat('line\\n', id) t"), str(tmp_path / "t"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        back = read_csv(spark, str(tmp_path / "t"))
+        assert len(list((tmp_path / "t").glob("part-*.csv"))) == 1 and back.rdd.getNumPartitions() > 3
+        assert back.filter("t = concat('line\\n', id)").count() == 40_000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_partition_from_bounds(spark):
+    from tallymark.sources.jdbc import scan_partition
+
+    assert scan_partition(spark.range(3, 10), "ID", 4) == ("id", 3, 9, 4)
+    assert scan_partition(spark.range(0), "id", 4) is None
+    assert scan_partition(spark.sql("select cast(null as bigint) id"), "id", 4) is None
