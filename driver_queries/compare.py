@@ -298,3 +298,24 @@ def recon_forced_types(spark, sf_dir):
     )
     result = reconcile(source, target, ["o_orderkey"], force_types={"v": "bigint"})
     return spark.createDataFrame([(result.counts.mismatched_rows,)], "differing bigint")
+
+
+@query("""SELECT count(*) AS matched_rows, count(*) FILTER (WHERE o_orderkey % 9 = 0) AS mismatched_rows FROM orders""")
+def recon_decimal_widths(spark, sf_dir):
+    """DECIMAL(12,2) against DECIMAL(18,2), and a DECIMAL(20,3) against a whole number; twice, with and without differences."""
+    orders, key = table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    price, customer = F.col("o_totalprice"), F.col("o_custkey")
+    source = orders.select(key, price.cast("decimal(12,2)").alias("p"), customer.cast("decimal(20,3)").alias("c"))
+    same = orders.select(key, price.cast("decimal(18,2)").alias("p"), customer.alias("c"))
+    other = same.withColumn("p", F.when(key % 9 == 0, F.col("p") + F.lit(1).cast("decimal(2,0)")).otherwise(F.col("p")).cast("decimal(18,2)"))
+    equal, unequal = (reconcile(source, target, ["o_orderkey"]).counts for target in (same, other))
+    return spark.createDataFrame([(equal.matched_rows, unequal.mismatched_rows)], "matched_rows bigint, mismatched_rows bigint")
+
+
+@query("SELECT 's1' AS source_server, 'MISSING_IN_TARGET' AS diff_type, count(*) AS n FROM orders")
+def recon_ordinal_servers(spark, sf_dir):
+    """The same rows from two servers, and once in the target: the later server's are missing."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    source = union_servers({"s1": orders, "s0": orders})
+    diff = reconcile(source, orders, ["o_orderkey"], on_duplicate="ordinal").diff
+    return diff.groupBy("source_server", "diff_type").agg(F.count(F.lit(1)).alias("n"))

@@ -20,7 +20,7 @@ from driver_queries.registry import (
 )
 from tallymark.operators.mapping import apply_mapping
 from tallymark.plans.reconcile import reconcile
-from tallymark.plans.report import write_report
+from tallymark.plans.report import compare_and_report, write_report
 from tallymark.plans.validation import ValidationJob, run_validation
 from tallymark.sources.files import read_csv, read_diff, write_csv
 from tallymark.sources.scratch import scratch_path
@@ -54,6 +54,14 @@ def report_roundtrip(spark, sf_dir):
     return read_diff(spark, path)
 
 
+@query(ORDERS_DIFF_SQL)
+def validation_report(spark, sf_dir):
+    """Compared and reported in one call, and the report read back."""
+    path = scratch_path(spark, "report")
+    compare_and_report(table(spark, sf_dir, "orders"), orders_target(spark, sf_dir), ["o_orderkey"], path)
+    return read_diff(spark, path)
+
+
 @query("""SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
     's' || CAST(o_orderkey % 3 AS VARCHAR) AS _source_server FROM orders WHERE o_totalprice > 50000""")
 def load_servers_csv(spark, sf_dir):

@@ -88,11 +88,27 @@ def comparable(c: Column, own: T.DataType, other: T.DataType, scale: int | None)
     if isinstance(own, _FLOATING) and isinstance(other, _FLOATING):
         # adding 0.0 turns -0.0 into 0.0
         return F.round(c.cast("double"), DOUBLE_SCALE) + F.lit(0.0)
+    wider = _wider_decimal(own, other)
+    if wider is not None:
+        return c.cast(wider)
     if own == other and isinstance(own, (T.BooleanType, T.DateType, T.DecimalType, *_TIMES)):
         return c
     return canonical_text(c, own, scale)
 
 
+def _wider_decimal(own: T.DataType, other: T.DataType) -> T.DecimalType | None:
+    """The decimal type that holds both decimals, or a decimal and a whole number, if there is one."""
+    if not any(isinstance(t, T.DecimalType) for t in (own, other)):
+        return None
+    if not all(isinstance(t, (T.DecimalType, *_INTEGRAL)) for t in (own, other)):
+        return None
+    # the widest whole number has 19 digits
+    pair = [t if isinstance(t, T.DecimalType) else T.DecimalType(19, 0) for t in (own, other)]
+    scale = max(t.scale for t in pair)
+    precision = scale + max(t.precision - t.scale for t in pair)
+    return T.DecimalType(precision, scale) if precision <= 38 else None
+
+
 def comparison_text(c: Column, dtype: T.DataType, scale: int | None) -> Column:
     """The canonical text of a :func:`comparable`."""
     return c if isinstance(dtype, T.StringType) else canonical_text(c, dtype, scale)

@@ -187,6 +187,12 @@ def test_validation_run(spark, tmp_path):
     partial = run_validation(spark, replace(job, partial=["name"], date_range={}, key_filter={
         "keys": "ID", "mode": "set", "values": [1, 2]}, report_path=None))
     assert partial.exit_code == 0 and partial.result.counts.matched_rows == 2
+    assert run_validation(spark, replace(job, on_issue="fail")).exit_code == 2
+    lost = run_validation(spark, replace(job, servers=[*extracts, replace(extracts[0], name="west", path=str(tmp_path / "none"))]))
+    assert lost.exit_code == 2 and set(lost.failures) == {"west"} and lost.result.counts.source_rows == 3
+    forced = {**maps, "north": replace(maps["north"], columns=[
+        replace(c, force_dtype="NUMBER(10,2)") if c.target == "NAME" else c for c in maps["north"].columns])}
+    assert run_validation(spark, replace(job, maps=forced)).result.counts == outcome.result.counts
     uneven = {**maps, "south": TableMap([ColumnMap("ID", "nr", key=True)])}
     with pytest.raises(ValueError, match="disagree"):
         run_validation(spark, replace(job, maps=uneven))
