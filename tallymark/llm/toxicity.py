@@ -104,7 +104,9 @@ class Restorer:
             return [(c, 0.0)]
         arcs = [(letter, self.STANDS_FOR) for letter in LOOKALIKES.get(c, "")]
         if not c.isdigit():
-            arcs.append(("", self.LEFT_OUT / 2 if last else self.LEFT_OUT))
+            # a sign that looks like a letter is seldom mere decoration
+            cost = self.LEFT_OUT / 2 if last else self.LEFT_OUT * (2 if arcs else 1)
+            arcs.append(("", cost))
         return arcs or [("", self.UNREAD)]
 
     def lattice(self, token: str) -> list[list[tuple[str, float]]]:
