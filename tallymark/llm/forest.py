@@ -264,7 +264,8 @@ def link(
         members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter(col("size") > 1).withColumnRenamed("key", "of_key"),
         "forest-prefixes",
     )
-    together = stash(members.join(shared, col("key") == col("of_key")).select("key", "size", "node"), "forest-members")
+    # merge joins at every size: what is shuffled then grows as the input does, and nothing large is broadcast
+    together = stash(members.join(shared.hint("merge"), col("key") == col("of_key")).select("key", "size", "node"), "forest-members")
     signs = signed.select(col("node").alias("of_node"), "signs")
     candidates = together.join(signs, col("node") == col("of_node")).select("key", "size", "node", "signs")
     least = settings.threshold - settings.slack
@@ -280,7 +281,7 @@ def link(
         .select(col("copy_of").alias("of_id"), "component", "size", col("node").alias("wanted_node"), "copies")
     )
     wanted = stash(wanted, "forest-wanted")
-    sourced = source.join(wanted, col("doc_id").eqNullSafe(col("of_id"))).select(
+    sourced = source.join(wanted.hint("merge"), col("doc_id").eqNullSafe(col("of_id"))).select(
         "component", "size", "wanted_node", "copies", "text"
     )
 
