@@ -45,22 +45,25 @@ class Archives:
 
 
 def _facts(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
-    payload = F.coalesce(col(html_col).cast("string"), F.lit(""))
-    return pages.select(
+    return pages.select(*_fact_columns(F.coalesce(col(html_col).cast("string"), F.lit("")), id_col, url_col))
+
+
+def _fact_columns(payload: Column, id_col: str, url_col: str) -> list[Column]:
+    return [
         col(id_col).cast("bigint").alias("page_id"),
         col(url_col).cast("string").alias("url"),
         F.octet_length(payload).cast("bigint").alias("payload_bytes"),
-        F.sha1(payload).alias("payload_digest"),
-    )
+        F.unhex(F.sha1(payload)).alias("digest"),
+    ]
 
 
 def _keepers(facts: DataFrame) -> DataFrame:
     """Digest and largest id of payloads that occur more than once. Counts are folded before they move."""
     large = facts.filter(col("payload_bytes") >= DEDUPLICATE_BYTES)
-    grouped = large.groupBy("payload_digest").agg(F.max("page_id").alias("keeper"), F.count(F.lit(1)).alias("n"))
+    grouped = large.groupBy("digest").agg(F.max("page_id").alias("keeper"), F.count(F.lit(1)).alias("n"))
     return stash(
         grouped.filter((col("n") > 1) & col("keeper").isNotNull()).select(
-            col("payload_digest").alias("kept_digest"), "keeper"
+            col("digest").alias("kept_digest"), "keeper"
         ),
         "warc-keepers",
     )
@@ -68,7 +71,7 @@ def _keepers(facts: DataFrame) -> DataFrame:
 
 def _typed(facts: DataFrame, keepers: DataFrame) -> DataFrame:
     joined = facts.join(
-        keepers, (col("payload_digest") == col("kept_digest")) & (col("payload_bytes") >= DEDUPLICATE_BYTES), "left"
+        keepers, (col("digest") == col("kept_digest")) & (col("payload_bytes") >= DEDUPLICATE_BYTES), "left"
     )
     revisits = col("keeper").isNotNull() & ~col("page_id").eqNullSafe(col("keeper"))
     return joined.withColumns({
@@ -87,13 +90,13 @@ def _header(date: str) -> Column:
         F.lit("WARC/1.1\r\nWARC-Type: "), col("record_type"),
         F.lit(f"\r\nWARC-Record-ID: <{RECORD_ID}"), page,
         F.lit(f">\r\nWARC-Date: {date}\r\nWARC-Target-URI: "), address,
-        F.lit("\r\nWARC-Payload-Digest: sha1:"), col("payload_digest"),
-        F.lit("\r\nWARC-Payload-Length: "), col("payload_bytes").cast("string"),
+        F.lit("\r\nWARC-Payload-Digest: sha1:"), F.lower(F.hex("digest")),
         F.when(
             revisit,
             F.concat(
                 F.lit(f"\r\nWARC-Profile: {REVISIT_PROFILE}\r\nWARC-Refers-To: <{RECORD_ID}"),
-                col("refers_to").cast("string"), F.lit(">"),
+                col("refers_to").cast("string"), F.lit(">\r\nWARC-Payload-Length: "),
+                col("payload_bytes").cast("string"),
             ),
         ).otherwise(F.lit("")),
         F.lit("\r\nContent-Type: application/http; msgtype=response\r\nContent-Length: "),
@@ -119,13 +122,14 @@ def write_archives(
     empty table gives no archive and an empty index.
     """
     spark = pages.sparkSession
-    facts = stash(_facts(pages, id_col, url_col, html_col), "warc-facts")
+    # read again for each use: a copy of the facts would cost more than to compute them
+    facts = _facts(pages, id_col, url_col, html_col)
     keepers = _keepers(facts)
     total = facts.agg(F.sum("payload_bytes")).first()[0] or 0
     # a few archives for each core, so that tasks are even
     count = max(4 * spark.sparkContext.defaultParallelism, -(-total // archive_bytes))
-    archive = F.pmod(F.xxhash64("page_id", "url"), F.lit(count))
-    order = ["page_id", "url", "payload_digest"]
+    placed_by = {"archive": F.pmod(F.xxhash64("page_id", "url"), F.lit(count)), "tie": F.xxhash64("digest")}
+    order = ["page_id", "url", "tie"]
     length = (
         F.octet_length(_header(date)) + F.when(col("record_type") == "revisit", 0).otherwise(col("payload_bytes"))
         + len(RECORD_END)
@@ -133,18 +137,16 @@ def write_archives(
     before = Window.partitionBy("archive").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     index = stash(
         _typed(facts, keepers)
-        .withColumns({"archive": archive, "length": length})
-        .withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0))),
+        .withColumns({**placed_by, "length": length})
+        .withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)))
+        .drop("tie"),
         "warc-index",
     )
+    index = index.withColumn("digest", F.lower(F.hex("digest"))).withColumnRenamed("digest", "payload_digest")
     path = scratch_path(spark, "warc")
     payload = F.coalesce(col(html_col).cast("string"), F.lit(""))
-    source = pages.select(
-        col(id_col).cast("bigint").alias("page_id"), col(url_col).cast("string").alias("url"),
-        payload.alias("payload"), F.octet_length(payload).cast("bigint").alias("payload_bytes"),
-        F.sha1(payload).alias("payload_digest"),
-    )
-    records = _typed(source, keepers).withColumn("archive", archive).select(
+    source = pages.select(*_fact_columns(payload, id_col, url_col), payload.alias("payload"))
+    records = _typed(source, keepers).withColumns(placed_by).select(
         "archive", *order,
         F.concat(_header(date), F.when(col("record_type") == "revisit", F.lit("")).otherwise(col("payload"))).alias("value"),
     )
@@ -238,9 +240,9 @@ def _parse(record: memoryview, path: str, offset: int) -> tuple:
     kind = fields["WARC-Type"]
     name = fields["WARC-Record-ID"][1 + len(RECORD_ID) : -1]
     refers = fields.get("WARC-Refers-To")
-    size = int(fields["WARC-Payload-Length"])
+    size = len(body) if kind == "response" else int(fields["WARC-Payload-Length"])
     if kind == "response":
-        if hashlib.sha1(body).hexdigest() != digest or len(body) != size:
+        if hashlib.sha1(body).hexdigest() != digest:
             raise ValueError(f"damaged payload at {path}:{offset}")
     return (
         int(name) if name else None, fields["WARC-Target-URI"], kind,
