@@ -3,14 +3,14 @@
 Counts of words and word pairs are quantised to a logarithmic scale, and an
 n-gram of level q is put into a Bloom filter q times, once for each level up to
 its own. A reader probes levels upwards until one is missing; the last that was
-there gives the count. So a few bits hold an n-gram with its frequency, and the
-filter is small enough to be broadcast: its bits are bounded by a parameter, and
-where the corpus has more n-grams than they can hold, the rarest levels stay out
-for all n-grams alike.
+there gives the count. So a few bits hold an n-gram with its frequency. The bits
+grow with the n-grams of the corpus, and no level stays out.
 
-The filter consists of slices by the n-gram's hash. One task adds up the counts
+The filter is a table of slices by the n-gram's hash. One task adds up the counts
 of a slice and sets its bits; counts travel as packed arrays, added up in each
-task before.
+task before. To be scored, texts are put together to chunks; the distinct n-grams
+of a chunk go to their slices by a shuffle, and the levels found there come back
+to the chunk by another.
 
 The base score needs every word's exact count. Words that make up at least
 1 / 2**20 of the training tokens are broadcast (there are at most 2**20), the
@@ -41,7 +41,9 @@ _WORD = np.uint64(0xD1342543DE82EF95)
 _LEVEL = np.uint64(0xAF251AF3B0F025B5)
 _KEPT_HASHES = 500_000
 _FLUSH_TOKENS = 2_000_000
-_COUNT_BITS = 16
+#: Low bits of a packed n-gram that hold its count; the slice number and the other bits tell n-grams apart. In a slice
+#: of 8 million n-grams, one in 130,000 meets another with the same bits, far less than the filter's own errors.
+_COUNT_BITS = 24
 #: Training tokens whose n-grams one slice of the filter holds.
 SLICE_TOKENS = 4_000_000
 
@@ -55,8 +57,6 @@ class LmSettings:
     #: bits for each insertion, and probes for each
     bits_each: int = 10
     probes: int = 4
-    #: size of the whole filter at most, in bits
-    max_bits: int = 1 << 28
     #: weight of the pair model beside the word model
     pair_weight: float = 0.25
     #: words with this share of the training tokens are broadcast with their exact counts
@@ -94,6 +94,22 @@ def word_grams(tokens: np.ndarray) -> np.ndarray:
     return mix64(tokens ^ _WORD)
 
 
+def _pack(numbers: np.ndarray) -> bytes:
+    """Numbers for the shuffle: byte by byte, the high bytes of all together, compressed."""
+    planes = np.ascontiguousarray(numbers.view(np.uint8).reshape(len(numbers), -1).T).tobytes()
+    return len(planes).to_bytes(8, "little") + pa.compress(planes, "zstd", asbytes=True)
+
+
+def _unpack(packed: bytes, kind: type) -> np.ndarray:
+    planes = pa.decompress(packed[8:], int.from_bytes(packed[:8], "little"), "zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def _steps(ordered: np.ndarray) -> np.ndarray:
+    """The first of ascending numbers, then how much each adds to the one before."""
+    return np.diff(ordered, prepend=np.uint64(0))
+
+
 # -- the filter -----------------------------------------------------------------------------
 
 
@@ -110,9 +126,14 @@ class FrequencyFilter:
 
     def counts(self, hashes: np.ndarray) -> np.ndarray:
         """Estimated counts: 0 where the lowest level is missing, else the middle of the last level found."""
+        level = self.levels(hashes)
+        return np.where(level > 0, level_count(level, self.settings.step), 0.0)
+
+    def levels(self, hashes: np.ndarray) -> np.ndarray:
+        """The last level found, 0 where the lowest is missing."""
         level = np.zeros(len(hashes), np.int64)
         if not len(self.bits) or not len(hashes):
-            return level.astype(np.float64)
+            return level
         part = (hashes >> np.uint64(self.shift)).astype(np.int64) if self.shift < 64 else np.zeros(len(hashes), np.int64)
         at = np.flatnonzero(self.sizes[part] > 0)
         j = self.lowest
@@ -125,7 +146,7 @@ class FrequencyFilter:
                 at, first, step = at[there], first[there], step[there]
             level[at] = j
             j += 1
-        return np.where(level > 0, level_count(level, self.settings.step), 0.0)
+        return level
 
 
 def _positions(hashes: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
@@ -188,9 +209,14 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
         yield chunk
 
 
-def build_filter(training: DataFrame, tokens: int, settings: LmSettings = LmSettings()) -> FrequencyFilter:
-    """Count words and pairs of the training texts and put them into a filter."""
-    digits = max(0, (max(1, tokens) // SLICE_TOKENS).bit_length())
+def slice_digits(tokens: int) -> int:
+    """Leading bits of a hash that number its slice."""
+    return max(0, (max(1, tokens) // SLICE_TOKENS).bit_length())
+
+
+def build_filter(training: DataFrame, tokens: int, settings: LmSettings = LmSettings()) -> DataFrame:
+    """Rows (part, bits): words and pairs of the training texts, counted and put into the slices of a filter."""
+    digits = slice_digits(tokens)
     shift = 64 - digits
     low = np.uint64(_COUNT_BITS)
     most = (1 << _COUNT_BITS) - 1
@@ -211,12 +237,12 @@ def build_filter(training: DataFrame, tokens: int, settings: LmSettings = LmSett
             edges = np.flatnonzero(np.diff(part)) + 1
             numbers = part[np.concatenate([[0], edges])] if len(part) else []
             yield pa.record_batch(
-                [pa.array(numbers, pa.int64()), pa.array([p.tobytes() for p in np.split(packed, edges)], pa.binary())],
+                [pa.array(numbers, pa.int64()), pa.array([_pack(_steps(p)) for p in np.split(packed, edges)], pa.binary())],
                 names=["part", "packed"],
             )
 
     def add(key: tuple, tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packed = np.concatenate([np.frombuffer(p, np.uint64) for b in tables for p in b.column("packed").to_pylist()])
+        packed = np.concatenate([np.cumsum(_unpack(p, np.uint64)) for b in tables for p in b.column("packed").to_pylist()])
         packed = np.sort(packed)
         hashes = packed >> low
         firsts = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
@@ -227,39 +253,11 @@ def build_filter(training: DataFrame, tokens: int, settings: LmSettings = LmSett
         whole = (hashes[firsts][kept] << low) >> np.uint64(digits)
         if digits:
             whole |= part << np.uint64(shift)
-        levels = count_level(n[kept], settings.step)
-        yield pa.record_batch(
-            [
-                pa.array([key[0].as_py()], pa.int64()), pa.array([whole.tobytes()], pa.binary()),
-                pa.array([levels.astype(np.uint8).tobytes()], pa.binary()),
-                pa.array([np.bincount(levels, minlength=1).tolist()], pa.list_(pa.int64())),
-            ],
-            names=["part", "hashes", "levels", "held"],
-        )
+        bits = set_bits(whole, count_level(n[kept], settings.step), 1, settings)
+        yield pa.record_batch([pa.array([key[0].as_py()], pa.int64()), pa.array([bits], pa.binary())], names=["part", "bits"])
 
     packed = training.mapInArrow(count, "part bigint, packed binary")
-    added = packed.groupBy("part").applyInArrow(add, "part bigint, hashes binary, levels binary, held array<bigint>")
-    slices_ = stash(added, "lm-slices")
-    held = slices_.select(F.posexplode("held").alias("level", "n")).groupBy("level").agg(F.sum("n").alias("n")).collect()
-    by_level = {r["level"]: r["n"] for r in held if r["level"] > 0}
-    lowest = 1
-    while sum(n * max(0, q - lowest + 1) for q, n in by_level.items()) * settings.bits_each > settings.max_bits:
-        lowest += 1
-
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = [
-                set_bits(np.frombuffer(h, np.uint64), np.frombuffer(q, np.uint8).astype(np.int64), lowest, settings)
-                for h, q in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())
-            ]
-            yield pa.record_batch([batch.column(0), pa.array(made, pa.binary())], names=["part", "bits"])
-
-    built = slices_.select("part", "hashes", "levels").mapInArrow(build, "part bigint, bits binary")
-    rows = {r["part"]: bytes(r["bits"]) for r in built.collect()}
-    parts = [rows.get(p, b"") for p in range(1 << digits)]
-    sizes = np.array([8 * len(p) for p in parts], np.int64)
-    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
-    return FrequencyFilter(np.frombuffer(b"".join(parts), np.uint8), starts, sizes, shift, lowest, settings)
+    return stash(packed.groupBy("part").applyInArrow(add, "part bigint, bits binary"), "lm-filter")
 
 
 def cut_hash(hashes: np.ndarray, digits: int) -> np.ndarray:
@@ -273,15 +271,15 @@ def cut_hash(hashes: np.ndarray, digits: int) -> np.ndarray:
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """The filter, the counts of frequent words (sorted hashes), the other words' table, and the totals."""
+    """The filter's slices, the counts of frequent words (sorted hashes), the other words' table, and the totals."""
 
-    filter: FrequencyFilter
+    slices: DataFrame
     head: np.ndarray
     head_counts: np.ndarray
     tail: DataFrame
     tokens: int
     types: int
-    digits: int
+    settings: LmSettings
 
 
 def train(training: DataFrame, settings: LmSettings = LmSettings()) -> LanguageModel:
@@ -294,14 +292,118 @@ def train(training: DataFrame, settings: LmSettings = LmSettings()) -> LanguageM
     head = counts.filter(col("n") >= bound).orderBy("word").toPandas()
     hashes = head["word"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(hashes)
-    digits = max(0, (max(1, tokens) // SLICE_TOKENS).bit_length())
     return LanguageModel(
         build_filter(source, tokens, settings), hashes[order], head["n"].to_numpy(np.int64)[order],
-        counts.filter(col("n") < bound), tokens, types, digits,
+        counts.filter(col("n") < bound), tokens, types, settings,
     )
 
 
+@dataclass(frozen=True)
+class _Grams:
+    """Distinct words and pairs of some texts: their hashes as the filter holds them, and where each token's are."""
+
+    hashes: np.ndarray  # sorted, so that those of a slice lie together
+    single: np.ndarray  # of each token's word
+    both: np.ndarray  # of each token after the one before it
+    end: int  # of the end of a text
+
+    @classmethod
+    def of(cls, distinct: np.ndarray, inverse: np.ndarray, lengths: np.ndarray, digits: int) -> _Grams:
+        flat = distinct[inverse]
+        before = np.concatenate([[_START], flat[:-1]])
+        before[np.cumsum(lengths)[:-1]] = _START
+        pairs = mix64(before * _PAIR + flat)
+        grams = cut_hash(np.concatenate([pairs, word_grams(distinct), word_grams(np.array([_END]))]), digits)
+        hashes, at = np.unique(grams, return_inverse=True)
+        n = len(flat)
+        return cls(hashes, at[n:-1][inverse], at[:n], int(at[-1]))
+
+
 _SCORED = "row bigint, word bigint, id bigint, held_out boolean, n_tokens bigint, n_known bigint, base double, score double"
+#: What goes to the slices and comes back: bits of the filter (kind 0), hashes or levels (1), a chunk of texts (2).
+_ROUTED = (
+    "part bigint, kind int, chunk bigint, packed binary, distinct binary, lengths array<bigint>, ids array<bigint>,"
+    " held array<boolean>"
+)
+_ROUTED_KINDS = pa.schema(
+    [
+        ("part", pa.int64()), ("kind", pa.int32()), ("chunk", pa.int64()), ("packed", pa.binary()), ("distinct", pa.binary()),
+        ("lengths", pa.list_(pa.int64())), ("ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())),
+    ]
+)
+
+
+def _routed(rows: list[tuple]) -> pa.RecordBatch:
+    filled = [(*r, *[None] * (len(_ROUTED_KINDS) - len(r))) for r in rows]
+    return pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*filled), _ROUTED_KINDS)], schema=_ROUTED_KINDS)
+
+
+def _ask(docs: DataFrame, digits: int) -> DataFrame:
+    """Chunks of texts, and the hashes that each asks of each slice."""
+    parts = 1 << digits
+    gone = np.uint64(max(0, _COUNT_BITS - digits))
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk = TaskContext.get().partitionId() << 40
+        tokens, ids, held, size = [], [], [], 0
+
+        def full() -> Iterator[pa.RecordBatch]:
+            distinct, inverse = np.unique(np.concatenate(tokens), return_inverse=True)
+            lengths = np.array([len(t) for t in tokens])
+            hashes = _Grams.of(distinct, inverse, lengths, digits).hashes
+            own = int(mix64(np.array([chunk], np.uint64))[0]) % parts
+            yield _routed(
+                [(own, 2, chunk, _pack(inverse.astype(np.uint32)), _pack(_steps(distinct)), lengths.tolist(), ids, held)]
+            )
+            numbers = (hashes >> np.uint64(64 - digits)).astype(np.int64) if digits else np.zeros(len(hashes), np.int64)
+            edges = np.flatnonzero(np.diff(numbers)) + 1
+            asked = zip(numbers[np.concatenate([[0], edges])].tolist(), np.split(hashes, edges))
+            yield _routed([(part, 1, chunk, _pack(_steps(h >> gone))) for part, h in asked])
+
+        for batch in slices(batches, 256):
+            for i, out, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts(batch.column(2))):
+                tokens.append(token_hashes(text))
+                ids.append(i)
+                held.append(out)
+                size += len(tokens[-1])
+                if size >= _FLUSH_TOKENS:
+                    yield from full()
+                    chunk += len(tokens)
+                    tokens, ids, held, size = [], [], [], 0
+        if tokens:
+            yield from full()
+
+    return docs.mapInArrow(ask, _ROUTED)
+
+
+def _answer(asked: DataFrame, filter_slices: DataFrame, digits: int, settings: LmSettings) -> DataFrame:
+    """The same rows, with levels in place of hashes. Each slice meets what is asked of it; nothing is broadcast."""
+    nothing = [F.lit(None).cast(t).alias(n) for n, t in (c.rsplit(" ", 1) for c in _ROUTED.split(", ")[4:])]
+    held = filter_slices.select(
+        "part", F.lit(0).alias("kind"), F.lit(None).cast("bigint").alias("chunk"), col("bits").alias("packed"), *nothing
+    )
+
+    gone = np.uint64(max(0, _COUNT_BITS - digits))
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, table = None, None
+        for batch in slices(batches, 64):
+            out = []
+            for r in batch.to_pylist():
+                if r["kind"] == 0:
+                    bits = np.frombuffer(r["packed"], np.uint8)
+                    part, table = r["part"], FrequencyFilter(bits, np.array([0]), np.array([8 * len(bits)]), 64, 1, settings)
+                elif r["kind"] == 2:
+                    out.append(tuple(r.values()))
+                else:
+                    hashes = np.cumsum(_unpack(r["packed"], np.uint64)) << gone
+                    # a slice that holds nothing has no row
+                    levels = table.levels(hashes) if part == r["part"] else np.zeros(len(hashes), np.int64)
+                    out.append((r["part"], 1, r["chunk"], _pack(levels.astype(np.uint8))))
+            if out:
+                yield _routed(out)
+
+    return held.unionByName(asked).repartition("part").sortWithinPartitions("part", "kind").mapInArrow(answer, _ROUTED)
 
 
 def score(
@@ -316,37 +418,43 @@ def score(
     nothing knows no word.
     """
     sc = docs.sparkSession.sparkContext
-    shared = sc.broadcast((model.filter, model.head, np.log10(model.head_counts + 1.0), model.tokens, model.types, model.digits))
+    digits, settings, total = slice_digits(model.tokens), model.settings, model.tokens + model.types + 1.0
+    shared = sc.broadcast((model.head, np.log10(model.head_counts + 1.0)))
     source = docs.select(
         col(id_col).cast("bigint").alias("id"), held_out.cast("boolean").alias("held_out"), col(text_col).cast("string").alias("text")
     )
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
     names = [c.split(" ")[0] for c in _SCORED.split(", ")]
 
-    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row = TaskContext.get().partitionId() << 40
-        for batch in slices(batches, 256):
-            tokens = [token_hashes(t) for t in texts(batch.column(2))]
-            n = np.array([len(t) for t in tokens])
-            flat = np.concatenate(tokens)
-            owner = np.repeat(np.arange(len(n)), n)
-            distinct, inverse = np.unique(flat, return_inverse=True)
-            base, known, tail = _exact(distinct, inverse, owner, len(n), shared.value)
-            scores = np.bincount(owner, _log_probabilities(tokens, distinct, inverse, shared.value), len(n))
-            rows = row + np.arange(len(n))
-            row += len(n)
-            # a document's own row gets a key that spreads, a row for each rare word its hash
-            yield pa.record_batch(
-                [pa.array(rows), pa.array(mix64(rows.astype(np.uint64)).view(np.int64)), batch.column(0), batch.column(1),
-                 pa.array(n), pa.array(known), pa.array(base), pa.array(scores)],
-                schema=pa.schema(list(zip(names, kinds))),
-            )
-            none = [pa.nulls(len(tail), k) for k in kinds[2:]]
-            yield pa.record_batch(
-                [pa.array(rows[owner[tail]]), pa.array(flat[tail].view(np.int64)), *none], schema=pa.schema(list(zip(names, kinds)))
-            )
+    def finish(key: tuple, tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        answers, texts_ = [], None
+        for batch in tables:
+            for r in batch.to_pylist():
+                if r["kind"] == 2:
+                    texts_ = r
+                else:
+                    answers.append((r["part"], r["packed"]))
+        levels = np.concatenate([_unpack(packed, np.uint8) for _, packed in sorted(answers)]).astype(np.int64)
+        n = np.array(texts_["lengths"])
+        distinct, inverse = np.cumsum(_unpack(texts_["distinct"], np.uint64)), _unpack(texts_["packed"], np.uint32)
+        owner = np.repeat(np.arange(len(n)), n)
+        base, known, tail = _exact(distinct, inverse, owner, len(n), shared.value)
+        logs = _log_probabilities(_Grams.of(distinct, inverse, n, digits), levels, n, total, settings)
+        rows = key[0].as_py() + np.arange(len(n))
+        # a document's own row gets a key that spreads, a row for each rare word its hash
+        yield pa.record_batch(
+            [pa.array(rows), pa.array(mix64(rows.astype(np.uint64)).view(np.int64)), pa.array(texts_["ids"], pa.int64()),
+             pa.array(texts_["held"], pa.bool_()), pa.array(n), pa.array(known), pa.array(base),
+             pa.array(np.bincount(owner, logs, len(n)))],
+            schema=pa.schema(list(zip(names, kinds))),
+        )
+        none = [pa.nulls(len(tail), k) for k in kinds[2:]]
+        yield pa.record_batch(
+            [pa.array(rows[owner[tail]]), pa.array(distinct[inverse[tail]].view(np.int64)), *none],
+            schema=pa.schema(list(zip(names, kinds))),
+        )
 
-    scored = source.mapInArrow(apply, _SCORED)
+    scored = _answer(_ask(source, digits), model.slices, digits, settings).groupBy("chunk").applyInArrow(finish, _SCORED)
     tail = model.tail.select(col("word").alias("known_word"), "n")
     joined = scored.join(tail, col("word") == col("known_word"), "left")
     own = col("n_tokens").isNotNull()
@@ -370,7 +478,7 @@ def _exact(
     distinct: np.ndarray, inverse: np.ndarray, owner: np.ndarray, n: int, model: tuple
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Per document the sum of log10(count + 1) and the number of frequent words; and which tokens are not frequent."""
-    _, head, logs, *_ = model
+    head, logs = model
     if not len(head):
         return np.zeros(n), np.zeros(n, np.int64), np.arange(len(inverse))
     at = np.minimum(np.searchsorted(head, distinct), len(head) - 1)
@@ -380,16 +488,14 @@ def _exact(
     return base, np.bincount(owner[frequent], minlength=n).astype(np.int64), np.flatnonzero(~frequent)
 
 
-def _log_probabilities(tokens: list[np.ndarray], distinct: np.ndarray, inverse: np.ndarray, model: tuple) -> np.ndarray:
+def _log_probabilities(grams: _Grams, levels: np.ndarray, lengths: np.ndarray, total: float, settings: LmSettings) -> np.ndarray:
     """log10 of each token's probability after the token before it."""
-    table, _, _, total, types, digits = model
-    weight = table.settings.pair_weight
-    single = table.counts(cut_hash(word_grams(distinct), digits))[inverse]
-    p = (single + 1.0) / (total + types + 1.0)
-    both = table.counts(cut_hash(np.concatenate([pair_hashes(t) for t in tokens]), digits))
+    weight = settings.pair_weight
+    counts = np.where(levels > 0, level_count(levels, settings.step), 0.0)
+    single, both = counts[grams.single], counts[grams.both]
+    p = (single + 1.0) / total
     before = np.concatenate([[0.0], single[:-1]])
-    starts = np.cumsum([0, *map(len, tokens[:-1])])
-    before[starts] = table.counts(cut_hash(word_grams(np.array([_END])), digits))[0]  # as many starts as ends
+    before[np.cumsum([0, *lengths[:-1]])] = counts[grams.end]  # as many starts as ends
     after = np.minimum(both / np.maximum(before, np.maximum(both, 1.0)), 1.0)
     # a pair model knows nothing after a token that was never seen
     return np.log10(np.where(before > 0, weight * after + (1 - weight) * p, p))

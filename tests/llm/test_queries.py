@@ -230,3 +230,30 @@ def test_pipeline(spark, sf_dir, documents):
         assert bytes(r["token_ids"]) == struct.pack(f"<{len(ids)}I", *ids)
 
 
+def test_the_frequency_filter_grows_with_the_corpus(spark, monkeypatch):
+    """No n-gram stays out: bits follow insertions over many slices, and every pair seen twice is read as such."""
+    import numpy as np
+    from tallymark.llm.registry import ship_package
+
+    ship_package(spark)
+    monkeypatch.setattr(lm, "SLICE_TOKENS", 1 << 10)
+    texts = [f"w{n} v{n} w{n} v{n} x{n}" for n in range(4_000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    held = docs["doc_id"] < 0
+    model = lm.train(docs.select("text"))
+    bits = {r["part"]: r["bits"] for r in model.slices.collect()}
+    # w, v and their pair have level 2; ends have level 21
+    insertions = 3 * 4_000 * 2 + 21
+    assert len(bits) == 32 and 8 * sum(map(len, bits.values())) >= insertions * model.settings.bits_each
+    rows = {r["doc_id"]: r["score"] for r in lm.score(docs, held, model).collect()}
+    total = 24_000 + 12_001 + 1.0
+    p = lambda n: (n + 1) / total
+    pair = lambda both, before, n: 0.25 * both / before + 0.75 * p(n)
+    ends = lm.level_count(lm.count_level(np.array([4_000]), 1.5), 1.5)[0]
+    want = sum(map(math.log10, [
+        pair(0, ends, 2), pair(2, 2, 2), pair(0, 2, 2), pair(2, 2, 2), pair(0, 2, 0), p(ends),
+    ]))
+    near = sum(abs(s - want) < 1e-9 for s in rows.values())
+    assert len(rows) == 4_000 and near > 0.85 * len(rows)
+
+
