@@ -35,6 +35,9 @@ _CLOSING = ".,;:!?)\"'»”’…"
 _OPENING = "(\"'«“‘¡¿"
 _PLAIN = re.compile(r"[^\W\d_]+")
 _TRIPLE = re.compile(r"(.)\1\1")
+_LONG_RUN = re.compile(r"(.)\1{3,}", re.S)
+_NUMBER = re.compile(r"[$€£¥#+-]?\d[\d.,:/-]*%?")
+_LONE = ".,;:-_'\""
 _EDGE_RUN = re.compile(r"^(?:([^\w])\1+)+|(?:([^\w])\2+)+$")
 
 #: Characters of the model: code points below this one, all letters above it being one.
@@ -95,6 +98,13 @@ class Restorer:
     STANDS_FOR = -1.5
     LEFT_OUT = -2.5
     UNREAD = -9.0
+    # log costs of what is no word: a digit of a number, a random string and each of its characters
+    DIGIT = float(np.log(1 / 10))
+    RANDOM = -6.0
+    ANY = float(np.log(1 / 36))
+    # log cost of a word break among lone characters, and gain for each letter of a known word
+    BREAK = -1.5
+    KNOWN = 1.0
 
     def __init__(self, model: CharModel):
         self.model = model
@@ -110,22 +120,23 @@ class Restorer:
         return arcs or [("", self.UNREAD)]
 
     def lattice(self, token: str) -> list[list[tuple[str, float]]]:
-        """For each position the readings and their costs; a run of three or more letters is one position."""
+        """For each position the readings and their costs; a run of three or more is one position."""
         out = []
         i = 0
         while i < len(token):
             j = i
             while j < len(token) and token[j] == token[i]:
                 j += 1
-            if token[i].isalpha() and j - i >= 3:
-                out.append([(token[i], -0.5), (token[i] * 2, -0.7)])
+            if j - i >= 3:
+                arcs = self._arcs(token[i], j == len(token))
+                out.append([(letters * n, cost * n + extra) for letters, cost in arcs for n, extra in ((1, -0.5), (2, -0.7))])
             else:
                 out += [self._arcs(token[i], j == len(token))] * (j - i)
             i = j
         return out
 
-    def viterbi(self, token: str) -> str:
-        """The likeliest reading: states are the last letter written."""
+    def viterbi(self, token: str) -> tuple[str, float]:
+        """The likeliest reading and its log probability: states are the last letter written."""
         log_p = self.model.log_p
         states: dict[int, tuple[float, list]] = {_BOUNDARY: (0.0, None)}
         for arcs in self.lattice(token):
@@ -145,35 +156,101 @@ class Restorer:
         while path is not None:
             path, letters = path
             parts.append(letters)
-        return "".join(reversed(parts))
+        return "".join(reversed(parts)), best[1][0] + float(log_p[best[0], _BOUNDARY])
+
+    def no_word(self, token: str) -> float:
+        """Log probability as a number or a random string."""
+        if _NUMBER.fullmatch(token):
+            return self.DIGIT * len(token)
+        return self.RANDOM + self.ANY * len(token)
 
     def restore(self, token: str) -> str:
-        """A lower-case word without its disguise; empty if it holds too few letters to be a word."""
+        """A lower-case word without its disguise; empty if it is likelier a number or a random string."""
         if _PLAIN.fullmatch(token) and not _TRIPLE.search(token):
             return token
-        core = _EDGE_RUN.sub("", token).rstrip(_CLOSING).lstrip(_OPENING)
+        core = _EDGE_RUN.sub("", _LONG_RUN.sub(r"\1\1\1", token)).rstrip(_CLOSING).lstrip(_OPENING)
         core = _EDGE_RUN.sub("", core)
         if _PLAIN.fullmatch(core) and not _TRIPLE.search(core):
             return core
-        letters = sum(map(str.isalpha, core))
-        if len(core) > 40 or letters < 2 or 2 * letters < len(core):
+        if not any(c.isalpha() or c in LOOKALIKES for c in core):
             return ""
-        return self.viterbi(core)
+        reading, score = self.viterbi(core)
+        letters = sum(map(str.isalpha, core))
+        if letters >= 2 and 2 * letters >= len(core):
+            return reading
+        return reading if score > self.no_word(core) else ""
 
+    def known_in(self, run: str, evidence: dict[str, float], beginnings: frozenset[str]) -> set[str]:
+        """The words and stems of ``evidence`` on the likeliest path through a run of lone characters, each blank of which
+        may be a word break."""
+        log_p = self.model.log_p
+        at: list[dict[int, tuple[float, tuple | None]]] = [{} for _ in range(len(run) + 1)]
+        at[0][_BOUNDARY] = (0.0, None)
+        arcs = [self._arcs(c, i == len(run) - 1) for i, c in enumerate(run)]
+
+        def put(i: int, symbol: int, score: float, path: tuple | None) -> None:
+            if symbol not in at[i] or score > at[i][symbol][0]:
+                at[i][symbol] = (score, path)
+
+        for i in range(len(run)):
+            for last, (score, path) in list(at[i].items()):
+                if last != _BOUNDARY:
+                    put(i, _BOUNDARY, score + float(log_p[last, _BOUNDARY]) + self.BREAK, path)
+            for last, (score, path) in at[i].items():
+                for letter, cost in arcs[i]:
+                    symbol = min(ord(letter), ALPHABET - 1) if letter else last
+                    put(i + 1, symbol, score + cost + (float(log_p[last, symbol]) if letter else 0.0), path)
+            if _BOUNDARY not in at[i]:
+                continue
+            begun, path = at[i][_BOUNDARY]
+            open_ = [(i, "", _BOUNDARY, begun)]
+            while open_:
+                j, word, last, score = open_.pop()
+                for feature in (word + " ", word):
+                    if feature in evidence:
+                        put(j, last, score + self.KNOWN * len(word), (path, feature))
+                for letter, cost in arcs[j] if j < len(run) else ():
+                    if word + letter in beginnings:
+                        symbol = min(ord(letter), ALPHABET - 1) if letter else last
+                        gain = cost + (float(log_p[last, symbol]) if letter else 0.0)
+                        open_.append((j + 1, word + letter, symbol, score + gain))
+        best = max(at[-1].items(), key=lambda s: s[1][0] + float(log_p[s[0], _BOUNDARY]))
+        path, out = best[1][1], set()
+        while path is not None:
+            path, feature = path
+            out.add(feature)
+        return out
 
-def join_spaced(found: list[str]) -> list[str]:
-    """Words, with runs of four or more single characters put together to one more word each."""
-    out, run = list(found), []
+
+def _lone(word: str) -> str:
+    """The one character of a word, points around it aside; empty if it has more."""
+    if len(word) == 1:
+        return word
+    inner = word.strip(_LONE)
+    if len(inner) != 1:
+        inner = word.rstrip(_CLOSING).lstrip(_OPENING)
+    return inner if len(inner) == 1 else ""
+
+
+def spaced_runs(found: list[str]) -> list[str]:
+    """Runs of three or more single characters, each put together."""
+    out, run = [], []
     for word in (*found, ""):
-        if len(word) == 1:
-            run.append(word)
+        c = _lone(word)
+        if c:
+            run.append(c)
             continue
-        if len(run) >= 4:
+        if len(run) >= 3:
             out.append("".join(run))
         run = []
     return out
 
 
+def join_spaced(found: list[str]) -> list[str]:
+    """Words, with runs of single characters put together to one more word each."""
+    return [*found, *spaced_runs(found)]
+
+
 # -- evidence -------------------------------------------------------------------------------------
 
 #: Buckets that words and beginnings are counted in first, and the part of them that one task adds up.
@@ -210,6 +287,7 @@ class Scorer:
         self.model = model
         self.restorer = Restorer(model.chars)
         self.known: dict[str, float] = {}
+        self.beginnings = frozenset(f[:n] for f in model.evidence for n in range(len(f.rstrip(" ")) + 1))
 
     def evidence(self, token: str) -> float:
         got = self.known.get(token)
@@ -221,12 +299,24 @@ class Scorer:
             self.known[token] = got
         return got
 
+    def _spaced(self, runs: set[str]) -> list[float]:
+        """Evidence of the distinct words in runs of lone characters: of those known, else of the run as one word."""
+        known, whole = set(), []
+        for run in runs:
+            inside = self.restorer.known_in(run, self.model.evidence, self.beginnings)
+            known |= inside
+            if not inside:
+                whole.append(self.evidence(run))
+        return [*(self.model.evidence[f] for f in sorted(known)), *sorted(e for e in whole if e)]
+
     def score(self, text: str) -> float:
         found = [w.decode("utf-8", "surrogatepass") for w in words(text.lower())]
         clean = 1.0 - self.model.base
-        for e in map(self.evidence, {*join_spaced(found)}):
+        for e in map(self.evidence, {*found}):
             if e:
                 clean *= 1.0 - e
+        for e in self._spaced({*spaced_runs(found)} - {*found}):
+            clean *= 1.0 - e
         return 1.0 - clean
 
 

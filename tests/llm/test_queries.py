@@ -257,3 +257,20 @@ def test_the_frequency_filter_grows_with_the_corpus(spark, monkeypatch):
     assert len(rows) == 4_000 and near > 0.85 * len(rows)
 
 
+def test_heavily_disguised_and_spaced_words_are_evidence():
+    from tallymark.llm.toxicity import CharModel, Restorer, Scorer, ToxicityModel, bigram_counts, ALPHABET
+
+    plain = "you are an idiot and a loser with pathetic stupid trash talk an asshole has a class of the people in the house " * 50
+    chars = CharModel.from_counts(bigram_counts(plain).reshape(ALPHABET, ALPHABET))
+    restorer = Restorer(chars)
+    disguised = {"1d10t": "idiot", "l053r": "loser", "7r4$h": "trash", "4$$h0l3": "asshole", "idi" + "o" * 80 + "t": "idiot"}
+    assert {w: restorer.restore(w) for w in disguised} == disguised
+    for other in ("2019", "3.14159", "455", "9f86d081884c7d659a2feaa0c55ad015a3bf4f1b2b0b822cd15d6c15b0f00a08", "1" * 5000):
+        assert restorer.restore(other) == ""
+    scorer = Scorer(ToxicityModel({w + " ": 0.9 for w in ("idiot", "loser", "asshole", "trash", "ass")}, 0.1, chars))
+    for text in ("you are a l o s e r", "i. d. i. o. t.", "so a s s", "y o u a r e a l o s e r", "you a 1 d 1 0 t", "what 7r4$h"):
+        assert scorer.score(text) > 0.5, text
+    for text in ("you are a class", "a c l a s s of", "1 2 3 4 5 6 7 8", "room 455 in 2019", "a b c d e f g"):
+        assert scorer.score(text) < 0.5, text
+
+
