@@ -56,7 +56,8 @@ class QualityRules:
     word_slack: float = 2.4
     #: a common word makes up at least this share of its language's words: at most 1 / share words
     common_share: float = 0.005
-    #: a language has at least this share of all words, else it has no reference: at most 1 / share references
+    #: references of languages with at least this share of all words are broadcast, at most 1 / share of them; those of
+    #: the other languages stay a table and are joined
     language_share: float = 0.005
 
 
@@ -71,7 +72,23 @@ class Reference:
 
 @dataclass(frozen=True)
 class References:
+    """Every language's reference: the large languages' by name, the others' as rows (of_lang, total, terms, counts), NULL
+    if there are none."""
+
     by_language: dict[str | None, Reference] = field(default_factory=dict)
+    others: DataFrame | None = None
+
+
+def _reference(terms_: list[bytes], counts: list[int], total: int) -> Reference:
+    """From the counts of classes and common words, common words first by count, then by name."""
+    classes, common = np.zeros(len(CLASSES)), {}
+    for term, n in sorted(zip(terms_, counts), key=lambda t: (-t[1], t[0])):
+        if term.startswith(b" "):
+            classes[int(term)] = n
+        else:
+            common[term] = n
+    shares = np.array([*common.values(), total - sum(common.values())], np.float64)
+    return Reference(classes, dict.fromkeys(common, 0), shares)
 
 
 @cache
@@ -144,30 +161,24 @@ def base_fails(n_words: int, n_repeat: int, rules: QualityRules) -> bool:
     return n_words < rules.min_words or 100 * n_repeat > rules.max_repeat_percent * n_words
 
 
-def distances(
-    text: str, language: str | None, references: References, rules: QualityRules
-) -> tuple[float, float, bool]:
-    """Class and word distance to the own language, or to the nearest if that has no reference, and whether both are
-    within bounds; 0 where the text is too short or there is no reference at all."""
-    own = references.by_language.get(language)
-    candidates = [own] if own is not None else list(references.by_language.values())
-    if not candidates:
+def distances(text: str, own: Reference | None, rules: QualityRules) -> tuple[float, float, bool]:
+    """Class and word distance to the language's reference, and whether both are within bounds; 0 where the text is too
+    short or there is no reference."""
+    if own is None:
         return 0.0, 0.0, True
     by_class = by_word = 0.0
     fits = True
     counts = class_counts(text)
     chars = int(counts.sum() - counts[CLASSES.index("space")])
     if chars >= rules.min_chars:
-        by_class = min(jensen_shannon(counts, r.classes) for r in candidates)
+        by_class = jensen_shannon(counts, own.classes)
         fits = by_class <= rules.max_class_distance + rules.class_slack / chars**0.5
     found = terms(text)
-    if len(found) >= rules.min_terms:
+    # without common words there is no histogram to compare with
+    if len(found) >= rules.min_terms and own.words:
         tally = Counter(found)
-        best = []
-        for r in candidates:
-            have = np.fromiter((tally.get(w, 0) for w in r.words), np.float64, len(r.words))
-            best.append(jensen_shannon(np.append(have, len(found) - have.sum()), r.shares))
-        by_word = min(best)
+        have = np.fromiter((tally.get(w, 0) for w in own.words), np.float64, len(own.words))
+        by_word = jensen_shannon(np.append(have, len(found) - have.sum()), own.shares)
         fits = fits and by_word <= rules.max_word_distance + rules.word_slack / len(found) ** 0.5
     return by_class, by_word, fits
 
@@ -215,29 +226,26 @@ def count_language_terms(docs: DataFrame, rules: QualityRules, text_col: str, la
 def learn_references(
     docs: DataFrame, rules: QualityRules = QualityRules(), text_col: str = "text", lang_col: str = "lang"
 ) -> References:
-    """Count the language references. To the driver come at most 1 / language_share languages with at most
+    """Count the references of all languages. To the driver come at most 1 / language_share of them, with at most
     1 / common_share words each."""
     counted = stash(count_language_terms(docs, rules, text_col, lang_col), "language-terms")
     is_class = F.substring("term", 1, 1) == F.lit(b" ")
-    sums = counted.filter(~is_class).groupBy("lang").agg(F.sum("n").alias("total"))
-    everything = sums.agg(F.sum("total")).first()[0] or 0
-    large = sums.filter(col("total") >= rules.language_share * everything).withColumnRenamed("lang", "of_lang")
-    shared = counted.join(large, col("lang").eqNullSafe(col("of_lang"))).filter(
+    # a language whose learned texts have no terms still has its classes
+    sums = counted.groupBy(col("lang").alias("of_lang")).agg(F.sum(F.when(is_class, 0).otherwise(col("n"))).alias("total"))
+    shared = counted.join(sums, col("lang").eqNullSafe(col("of_lang"))).filter(
         is_class | (col("n") >= rules.common_share * col("total"))
     )
-    found: dict[str | None, tuple[np.ndarray, dict[bytes, int], int]] = {}
-    for r in shared.orderBy("lang", F.desc("n"), "term").collect():
-        classes, common, _ = found.setdefault(r["lang"], (np.zeros(len(CLASSES)), {}, r["total"]))
-        term = bytes(r["term"])
-        if term.startswith(b" "):
-            classes[int(term)] = r["n"]
-        else:
-            common[term] = r["n"]
-    references = {}
-    for language, (classes, common, total) in found.items():
-        shares = np.array([*common.values(), total - sum(common.values())], np.float64)
-        references[language] = Reference(classes, dict.fromkeys(common, 0), shares)
-    return References(references)
+    gathered = shared.groupBy("of_lang", "total").agg(F.collect_list(F.struct("term", "n")).alias("found"))
+    table = stash(
+        gathered.select("of_lang", "total", F.col("found.term").alias("terms"), F.col("found.n").alias("counts")), "language-references"
+    )
+    everything = table.agg(F.sum("total")).first()[0] or 0
+    is_large = col("total") >= max(1, rules.language_share * everything)
+    large = {
+        r["of_lang"]: _reference([bytes(t) for t in r["terms"]], r["counts"], r["total"]) for r in table.filter(is_large).collect()
+    }
+    others = table.filter(~is_large)
+    return References(large, None if others.isEmpty() else others)
 
 
 SCHEMA = (
@@ -255,25 +263,46 @@ def judge(
 ) -> DataFrame:
     """All rows of ``docs`` with base counts, distances and the verdict ``kept``.
 
-    A NULL or empty text has no words and fails. A NULL or unknown language is
-    compared with the nearest reference; without references only the base rules
-    speak. Repeated rows are judged alike. Columns of ``docs`` called like a
-    result column are replaced; an empty table gives an empty result.
+    A NULL or empty text has no words and fails. NULL is a language like the
+    others; for a language without a reference (no text fit to learn from) only
+    the base rules speak. Repeated rows are judged alike. Columns of ``docs``
+    called like a result column are replaced; an empty table gives an empty result.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(references)
+    by_language = docs.sparkSession.sparkContext.broadcast(references.by_language)
     kinds = [pa.int64()] * 5 + [pa.bool_(), pa.float64(), pa.float64(), pa.bool_()]
 
     def start():
+        joined: dict[str | None, Reference] = {}
+
+        def reference(language: str | None, columns: Columns, i: int) -> Reference | None:
+            own = by_language.value.get(language)
+            if own is None and columns and columns[0][i].is_valid:
+                if language not in joined:
+                    joined.clear()  # rows come by language
+                    total, found, counts = (c[i].as_py() for c in columns)
+                    joined[language] = _reference(found, counts, total)
+                own = joined[language]
+            return own
+
         def compute(columns: Columns) -> Columns:
             rows = []
-            for text, language in zip(texts(columns[0]), columns[1].to_pylist()):
+            for i, (text, language) in enumerate(zip(texts(columns[0]), columns[1].to_pylist())):
                 counts = base_counts(text)
                 failed = base_fails(counts[0], counts[4], rules)
-                by_class, by_word, fits = distances(text, language, shared.value, rules)
+                by_class, by_word, fits = distances(text, reference(language, columns[2:], i), rules)
                 rows.append((*counts, failed, by_class, by_word, not failed and fits))
             return [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
 
         return compute
 
-    inputs = [col(text_col).cast("string"), col(lang_col).cast("string")]
-    return with_computed(docs, inputs, SCHEMA, start)
+    text, language = col(text_col).cast("string"), col(lang_col).cast("string")
+    if references.others is None:
+        return with_computed(docs, [text, language], SCHEMA, start)
+    named = [x for x in references.by_language if x is not None]
+    is_large = F.coalesce(language.isin(named), F.lit(None in references.by_language))
+    large = with_computed(docs.filter(is_large), [text, language], SCHEMA, start)
+    others = references.others.toDF("_of_lang", "_total", "_terms", "_counts")
+    small = docs.filter(~is_large).join(others, language.eqNullSafe(col("_of_lang")), "left")
+    inputs = [text, language, col("_total"), col("_terms"), col("_counts")]
+    judged = with_computed(small, inputs, SCHEMA, start).drop("_of_lang", "_total", "_terms", "_counts")
+    return large.unionByName(judged)

@@ -274,3 +274,28 @@ def test_heavily_disguised_and_spaced_words_are_evidence():
         assert scorer.score(text) < 0.5, text
 
 
+def test_small_languages_have_their_reference(spark):
+    """A language far below half a percent of all words is judged by itself, a NULL one too; its odd text is found."""
+    from tallymark.llm import quality
+    from tallymark.llm.registry import ship_package
+
+    ship_package(spark)
+    english = [f"the cat and the dog of house {n} went to the river and saw a tree in the sun " * 3 for n in range(20)]
+    small = "και το σπίτι είναι μεγάλο στη θάλασσα με τον ήλιο που λάμπει για όλους τους ανθρώπους ".split()
+    greek = [" ".join(small[(n * 5 + i) % len(small)] + ("" if i % 9 else str(i + n)) for i in range(70)) for n in range(4)]
+    bulk = [(n, " ".join(f"{english[n % 20]} {m}" for m in range(n, n + 40)), "en") for n in range(300)]
+    odd = " ".join("QX%d" % (i * 7919) for i in range(70))
+    rows = [*bulk, *((1000 + n, t, "el") for n, t in enumerate(greek)), *((2000 + n, t, None) for n, t in enumerate(greek)),
+            *((3000 + n, t, f"l{n}") for n, t in enumerate(greek)), (4000, odd + " #" * 60, "el"), (4001, odd + " #" * 60, "zz")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    rules = quality.QualityRules(max_repeat_percent=100)
+    references = quality.learn_references(docs, rules)
+    assert set(references.by_language) == {"en"} and references.others.count() == 6
+    judged = quality.judge(docs, references, rules)
+    assert judged.columns[:3] == docs.columns and judged.count() == len(rows)
+    kept = {r["doc_id"]: r["kept"] for r in judged.collect()}
+    assert all(kept[k] for k in kept if 1000 <= k < 4000)
+    # an odd text of a small language is judged by it; one of a language without any reference is kept
+    assert not kept[4000] and kept[4001]
+
+
