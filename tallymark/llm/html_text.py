@@ -4,8 +4,10 @@ A page's blocks of text give points to the elements around them: one for being
 there, one for each comma, and up to three for length, less the share of the
 text that lies in links. The parent gets all points, farther ancestors ever
 less. The element with the most points, weighed by its own link density, is the
-article; siblings that score like it, or read like its paragraphs, belong to
-it. Elements whose tag or name says that they are not article text are left out
+article; siblings that score like it, read like its paragraphs or lie between
+such siblings belong to it, and all that is not mostly links where it lies in an
+article or main element. The body of a page may be its article too, without what
+is mostly links. Elements whose tag or name says that they are not article text are left out
 before that.
 """
 
@@ -191,22 +193,37 @@ class _Page:
         if not self.blocks:
             return ""
         self._score()
-        candidates = [i for i, e in enumerate(self.elements) if e.chars and not e.dropped and e.name not in ("p", "html", "body", *_HEADINGS)]
-        if not candidates:
-            return " ".join(b.text for b in self.blocks if b.link_chars < len(b.text))
+        candidates = [i for i, e in enumerate(self.elements) if e.chars and not e.dropped and e.name not in ("p", *_HEADINGS)]
         best = max(candidates, key=lambda i: self.elements[i].score)
         top = self.elements[best]
-        kept = {best}
+        children: dict[int, list[int]] = {}
         for i, e in enumerate(self.elements):
-            if i == best or e.parent != top.parent or not e.chars:
-                continue
-            density = e.link_chars / e.chars
-            alike = e.name == top.name and e.score >= max(5.0, 0.2 * top.score)
-            reads = e.name == "p" and density < 0.25
-            headed = e.name in _HEADINGS and density < 0.25
-            if alike or reads or headed:
-                kept.add(i)
-        beside = kept | ({top.parent} if top.parent >= 0 and self.elements[top.parent].name in ("article", "main") else set())
+            if e.chars:
+                children.setdefault(e.parent, []).append(i)
+
+        def reads(i: int) -> bool:
+            return self.elements[i].link_chars < 0.25 * self.elements[i].chars
+
+        if top.name in ("html", "body"):
+            kept, beside = set(filter(reads, children.get(best, []))), {best}
+        else:
+            siblings = children[top.parent]
+            alike = [
+                i for i in siblings
+                if i == best
+                or self.elements[i].name == top.name and self.elements[i].score >= max(5.0, 0.2 * top.score)
+                or self.elements[i].name in ("p", *_HEADINGS) and reads(i)
+            ]
+            texts_ = [i for i in alike if i == best or self.elements[i].name == top.name]
+            kept = {*alike, *(i for i in siblings if texts_[0] < i < texts_[-1] and reads(i))}
+            beside = set(kept)
+        # all of an article or main element around the best container
+        above = [best, *self._ancestors(best)]
+        around = next((k for k, i in enumerate(above) if k and self.elements[i].name in ("article", "main")), 0)
+        for i in above[1 : around + 1]:
+            beside.add(i)
+            kept.update(filter(reads, children[i]))
+        kept -= set(above[1:])
         return " ".join(
             b.text for b in self.blocks
             if b.element in beside or b.element in kept or any(a in kept for a in self._ancestors(b.element))

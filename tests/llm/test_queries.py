@@ -299,3 +299,19 @@ def test_small_languages_have_their_reference(spark):
     assert not kept[4000] and kept[4001]
 
 
+def test_html_keeps_the_article_under_body_and_all_of_an_article():
+    from tallymark.llm.html_text import main_text
+
+    long = [f"paragraph {n} tells, at some length, of what came to pass in the town that day and of who saw it" for n in range(10)]
+    ps = "".join(f"<p>{t}</p>" for t in long)
+    for small in ("<table><tr><td>x</td></tr></table>", "<div><div><div>x</div></div></div>"):
+        assert main_text(f"<html><body>{ps}{small}</body></html>") == " ".join([*long, "x"])
+    links = "<ul><li><a href=a>one link</a></li><li><a href=b>other link</a></li></ul>"
+    assert main_text(f"<body>loose start {links}{ps}</body>") == " ".join(["loose start", *long])
+    extra = "<blockquote>quoted</blockquote><ul><li>item</li></ul><pre>code</pre><table><tr><td>cell</td></tr></table><figure>shown</figure>"
+    page = f"<article><div>{ps}</div>{extra}<div>{ps}</div><section><p>The end.</p></section></article>"
+    want = " ".join([*long, "quoted item code cell shown", *long, "The end."])
+    assert main_text(f"<body><nav>menu</nav>{page}<div class=footer>foot</div></body>") == want
+    assert main_text("<body>" + page.replace("article>", "div>") + "</body>").startswith(want[: -len(" The end.")])
+
+
