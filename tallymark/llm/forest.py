@@ -1,16 +1,16 @@
-"""Jaccard similarity join over word n-grams with a MinHash LSH forest.
-
-Each tree of the forest sorts the documents by a short sequence of minimum
-hashes. Two documents are candidates where they share a prefix of it in some
-tree; prefixes are shortened from the full depth until a pair at the threshold
-is found with the target recall, and the trie is cut there, as its nodes hold
-all deeper ones. Nodes are checked by signature, which leaves small clusters of
-likely neighbours; every pair inside a cluster is then verified on the whole
-n-gram sets, so a pair that the forest itself missed is found too if others
+"""Jaccard similarity join over word n-grams with MinHash banding.
+
+Two documents are candidates where they share all minimum hashes of a band
+(called a tree here, and its length the prefix). The length is the longest, up
+to ``depth``, at which a pair at the threshold is found with the target recall.
+It follows from the settings alone, so there is no LSH forest: no signatures are
+sorted, and nothing is shortened on the data. Groups of equal bands (nodes) are
+checked by signature, which leaves small clusters of likely neighbours; every pair inside a cluster is then verified on the whole
+n-gram sets, so a pair that the bands missed is found too if others
 link its ends.
 
-Documents with equal n-gram sets are one node from the start. Large nodes of
-the trie and large clusters are cut into blocks, and each pair of blocks is a
+Documents with equal n-gram sets are one node from the start. Large nodes
+and large clusters are cut into blocks, and each pair of blocks is a
 task's group of bounded size that returns counts and a spanning forest of its
 links, never the pairs.
 """
