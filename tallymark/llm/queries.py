@@ -7,7 +7,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark.functions.names import col
-from tallymark.llm import bpe, fingerprint, forest, html_text, lm, mixing, quality, token_counts, toxicity, warc
+from tallymark.llm import (
+    bpe,
+    centroids,
+    fingerprint,
+    forest,
+    html_text,
+    lm,
+    mixing,
+    quality,
+    resampling,
+    suffix_dedup,
+    token_counts,
+    toxicity,
+    warc,
+)
 from tallymark.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 # -- op10: mixing sources to target weights ---------------------------------------------
@@ -233,3 +247,89 @@ def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.link(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+# -- op11: suffix-array dedup ---------------------------------------------------------------------------------
+
+REPEATS_SQL = """
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b,
+         octet_length(encode(coalesce(text, '')))::BIGINT AS n
+  FROM documents),
+windows AS (
+  SELECT r, doc_id, unnest(range(1, n - 48)) AS p,
+         unnest(list_transform(range(1, n - 48), lambda i: b[i:i + 49])) AS w
+  FROM docs WHERE doc_id IS NOT NULL AND n >= 50),
+hits AS (
+  SELECT r, p FROM (SELECT r, doc_id, p, min(doc_id) OVER (PARTITION BY w) AS least FROM windows) WHERE least < doc_id),
+runs AS (
+  SELECT r, p, sum(opens) OVER (PARTITION BY r ORDER BY p) AS g
+  FROM (SELECT r, p, CASE WHEN p - lag(p) OVER (PARTITION BY r ORDER BY p) <= 50 THEN 0 ELSE 1 END AS opens FROM hits)),
+spans AS (SELECT r, g, min(p) AS a, max(p) + 49 AS z FROM runs GROUP BY r, g),
+gaps AS (
+  SELECT r, coalesce(lag(z) OVER (PARTITION BY r ORDER BY a), 0) + 1 AS lo, a - 1 AS hi FROM spans
+  UNION ALL SELECT r, max(z) + 1, NULL FROM spans GROUP BY r),
+kept AS (
+  SELECT r, unhex(string_agg(hex(b[lo:coalesce(hi, n)]), '' ORDER BY lo)) AS k FROM gaps JOIN docs USING (r) GROUP BY r),
+totals AS (SELECT r, sum(z - a + 1)::BIGINT AS n_removed, count(*) AS n_spans FROM spans GROUP BY r)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(coalesce(k, b)) AS kept_sha256
+FROM docs LEFT JOIN totals USING (r) LEFT JOIN kept USING (r)
+"""
+
+
+@query(REPEATS_SQL)
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+# -- op12: centroid clustering ----------------------------------------------------------------------------------
+
+
+def _cluster_sql(rounds: int = 5, clusters: int = 40) -> str:
+    """The same rounds one after another; all values are whole numbers that a double holds exactly."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""
+near{i} AS MATERIALIZED (
+  SELECT r, cluster, distance FROM (
+    SELECT r, cluster, distance, row_number() OVER (PARTITION BY r ORDER BY distance, cluster) AS nth
+    FROM (SELECT r, cluster, list_dot_product(v, v) - 2 * list_dot_product(v, c) + list_dot_product(c, c) AS distance
+          FROM kept, centroids{i}))
+  WHERE nth = 1)""")
+        if i < rounds:
+            steps.append(f"""
+centroids{i + 1} AS MATERIALIZED (
+  SELECT cluster, coalesce(m, c) AS c FROM centroids{i} LEFT JOIN (
+    SELECT cluster, list(floor(total / n) ORDER BY pos) AS m FROM (
+      SELECT cluster, pos, sum(x) AS total, count(*) AS n
+      FROM (SELECT cluster, unnest(range(1, 65)) AS pos, unnest(v) AS x FROM near{i} JOIN kept USING (r))
+      GROUP BY cluster, pos)
+    GROUP BY cluster) USING (cluster))""")
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+centroids0 AS MATERIALIZED (
+  SELECT (row_number() OVER (ORDER BY h, v) - 1)::INT AS cluster, v AS c
+  FROM (SELECT sha256('2:' || vec_id) AS h, v FROM kept ORDER BY h, v LIMIT {clusters})),
+{",".join(steps)}
+SELECT vec_id, cluster, distance::BIGINT AS distance,
+       (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia, (sum(distance) OVER ())::BIGINT AS inertia,
+       sha256(list_aggregate(list_transform(c, lambda x: x::BIGINT), 'string_agg', ',')) AS centroid_sha256
+FROM near{rounds} JOIN kept USING (r) JOIN centroids{rounds} USING (cluster)
+"""
+
+
+@query(_cluster_sql())
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+# -- op13: target-distribution importance resampling --------------------------------------------------------------
+
+
+@query()
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    drawn = resampling.resample(docs, table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
