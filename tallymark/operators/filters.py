@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql.types import DateType, StringType
 
 from tallymark.functions.casts import safe_cast
 from tallymark.functions.names import col, find
+from tallymark.operators.skipping import key_set_bounds, range_filter, skip_to
 
 
 def where(df: DataFrame, condition: str | Column | None) -> DataFrame:
@@ -74,7 +76,9 @@ def pk_filter(
     """Rows by primary key: ``full`` all, ``range`` between two values, ``set`` one of ``values``.
 
     ``values`` are semi-joined, however many there are: Spark broadcasts them
-    only if they are small. A list lies on the driver; hand large sets over as a
+    only if they are small. Their ranges and a Bloom filter of bounded size are
+    applied before that, the ranges in the scan itself; that takes an aggregate
+    over ``values``. A list lies on the driver; hand large sets over as a
     DataFrame with the key columns.
     """
     keys = [find(df.columns, k, "key") for k in ([keys] if isinstance(keys, str) else keys)]
@@ -98,7 +102,7 @@ def pk_filter(
     if isinstance(values, DataFrame):
         # each key once: one that the table repeats very often is folded before it moves
         wanted = values.select(*[col(find(values.columns, k, "key table")).alias(k) for k in keys]).distinct()
-        return df.join(wanted, keys, "left_semi")
+        return _named_by(df, wanted, keys)
     # each value takes its key's type; one that does not fit matches nothing
     rows = [tuple(v) if isinstance(v, (tuple, list)) else (v,) for v in values]
     as_text = [tuple(None if v is None else str(v) for v in row) for row in rows]
@@ -106,7 +110,15 @@ def pk_filter(
     wanted = df.sparkSession.createDataFrame(as_text, schema).select(
         *[safe_cast(F.col(f"k{i}"), df.schema[k].dataType).alias(k) for i, k in enumerate(keys)]
     )
-    return df.join(wanted.distinct(), keys, "left_semi")
+    return _named_by(df, wanted.distinct(), keys)
+
+
+def _named_by(df: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
+    bounds, count = key_set_bounds(wanted, keys)
+    # NULL names nothing here
+    near = skip_to(df, wanted, keys, [replace(b, has_null=False) for b in bounds], count)
+    ranges = range_filter(df, wanted, keys[0])
+    return (near if ranges is None else near.filter(ranges)).join(wanted, list(keys), "left_semi")
 
 
 def preview(df: DataFrame, rows: int = 5) -> DataFrame:

@@ -1,6 +1,6 @@
 """Compare a source table with a target table on their keys.
 
-Three methods give the same result:
+Four methods give the same result:
 
 ``hash``
     Keys and a row hash of both sides are stacked and grouped by key: one
@@ -10,6 +10,9 @@ Three methods give the same result:
     One null-safe full outer join over all compared columns. No hash at all.
 ``anti``
     Two anti joins find missing and extra keys, an inner join the rest.
+``digest``
+    Sums of row hashes by key bucket tell which buckets can differ; only their
+    rows are compared as ``hash`` does. Equal tables move no row at all.
 
 Each method first writes its *outcome* to a scratch table: one row per record
 that differs. It is as large as the differences are, and the difference rows
@@ -41,11 +44,14 @@ from tallymark.functions.names import col, find, lower_names
 from tallymark.operators.joins import null_safe_join
 from tallymark.operators.keys import keys_in, keys_not_in
 from tallymark.operators.rownumber import HOT_KEY_ROWS, number_within_keys
+from tallymark.operators.skipping import KeyBounds, bound_columns, read_bounds, skip_to
+from tallymark.plans.digest import compare_digests
+from tallymark.plans.pairing import ORDINAL, PAIRED, SIDE, Surplus, paired_rows
 from tallymark.sources.files import DIFF_COLUMNS, DIFF_SCHEMA
 from tallymark.sources.scratch import release, stash
 from tallymark.sources.servers import SERVER_COLUMN
 
-METHODS = ("hash", "full", "anti")
+METHODS = ("hash", "full", "anti", "digest")
 
 # Difference types, and the texts that stand for a whole row.
 MISSING = "MISSING_IN_TARGET"
@@ -65,7 +71,7 @@ DEFAULT_EXCLUDED = ("load_ts", "batch_id")
 MATCH = "MATCH"
 DUPLICATE = "DUPLICATE_KEY"
 
-_ORDINAL = "_tm_ordinal"
+_ORDINAL = ORDINAL
 _STATUS = "_tm_status"
 _CELLS = "_tm_cells"
 _SERVER = "_tm_server"
@@ -139,6 +145,7 @@ class ReconResult:
     counts: ReconCounts
     outcome: DataFrame
     snapshot: bool = False
+    bounds: Sequence[KeyBounds] = ()
 
     @property
     def passed(self) -> bool:
@@ -161,8 +168,8 @@ class ReconResult:
         """The plan of ``diff``. Building it runs no job, and it does not depend on how many rows differ."""
         if self.passed:
             return empty_diff(self.outcome.sparkSession)
-        if self.method == "hash":
-            return _hash_diff(self.sides, self.outcome, self.counts)
+        if _CELLS not in self.outcome.columns:
+            return _hash_diff(self.sides, self.outcome, self.counts, self.bounds)
         return _explode_cells(self.sides, self.outcome)
 
     def counts_frame(self) -> DataFrame:
@@ -191,8 +198,12 @@ def reconcile(
     it equals neither ``'null'`` nor ``''``.
 
     ``on_duplicate``: ``error`` raises :class:`DuplicateKeys` if a key repeats on
-    either side; ``ordinal`` pairs repeated keys by their order, taken over all
-    compared columns.
+    either side (method ``digest`` does not look into buckets whose rows are the
+    same on both sides); ``ordinal`` pairs repeated keys by their order, taken
+    over all compared columns; ``cancel`` (methods ``hash`` and ``digest``)
+    matches equal rows first, however they are ordered, and pairs what is left
+    under a key so that the fewest cells differ, or by order past
+    ``pairing.ASSIGN_ROWS`` rows of one key.
 
     ``temporal``: ``text`` keeps a date and a timestamp apart, ``promote``
     compares them as timestamps. ``force_types`` casts columns of both sides first
@@ -206,14 +217,79 @@ def reconcile(
     sides = prepare(source, target, keys, columns, exclude, temporal, force_types)
     if snapshot:
         sides = replace(sides, source=stash(sides.source, "source"), target=stash(sides.target, "target"))
-    sides = _settle_duplicates(sides, on_duplicate, check=method != "hash", hot_key_rows=hot_key_rows)
-    rows = {"hash": _hash_outcome, "full": _full_outcome, "anti": _anti_outcome}[method](sides)
+    if on_duplicate == "cancel" and method not in ("hash", "digest"):
+        raise ValueError(f"on_duplicate='cancel' goes with method 'hash' or 'digest', not {method!r}")
+    if on_duplicate == "cancel":
+        return _cancelled(sides, method, snapshot, hot_key_rows)
+    sides = _settle_duplicates(sides, on_duplicate, check=method in ("full", "anti"), hot_key_rows=hot_key_rows)
+    asked, digest = sides, None
+    if method == "digest":
+        digest = compare_digests(sides.source, sides.target, sides.pairing, sides.columns)
+        asked = _in_question(sides, digest)
+    rows = {"hash": _hash_outcome, "digest": _hash_outcome, "full": _full_outcome, "anti": _anti_outcome}[method](asked)
+    outcome, found = _written(rows, sides.pairing)
+    counts = _counts(sides, found)
+    if digest is not None:
+        counts = replace(
+            counts, source_rows=digest.source_rows, target_rows=digest.target_rows,
+            matched_rows=digest.source_rows - counts.missing_rows - counts.mismatched_rows,
+        )
+    return ReconResult(sides, method, counts, outcome, snapshot, read_bounds(found, sides.pairing))
+
+
+def _in_question(sides: Sides, digest) -> Sides:
+    if digest.unequal is None:
+        return replace(sides, source=sides.source.limit(0), target=sides.target.limit(0))
+    source, target = (digest.rows_in_question(s, sides.pairing) for s in (sides.source, sides.target))
+    return replace(sides, source=source, target=target)
+
+
+def _written(rows: DataFrame, pairing: Sequence[str]) -> tuple[DataFrame, dict]:
+    """The outcome of rows with a status, the number of rows of each status, and the bounds of keys to look up."""
     counted = Observation("counts")
     # counted while the rows are written, in the stage that follows the comparison's own shuffle
     statuses = (MATCH, MISSING, EXTRA, MISMATCH, DUPLICATE)
-    observed = rows.observe(counted, *[F.count_if(col(_STATUS) == s).alias(s) for s in statuses])
+    sought = col(_STATUS).isin(MISSING, MISMATCH)
+    observed = rows.observe(
+        counted, *[F.count_if(col(_STATUS) == s).alias(s) for s in statuses], *bound_columns(rows, pairing, sought)
+    )
     outcome = stash(observed.filter(~col(_STATUS).isin(MATCH, DUPLICATE)), "outcome")
-    return ReconResult(sides, method, _counts(sides, counted.get), outcome, snapshot)
+    return outcome, counted.get
+
+
+def _cancelled(sides: Sides, method: str, snapshot: bool, hot_key_rows: int) -> ReconResult:
+    """Equal rows cancel; the rest is paired within its key. The outcome holds the cells, as that of ``full`` does."""
+    asked, digest = sides, None
+    if method == "digest":
+        digest = compare_digests(sides.source, sides.target, sides.keys, sides.columns)
+        asked = _in_question(sides, digest)
+    surplus = Surplus(asked.source, asked.target, sides.keys, sides.columns)
+    rows = paired_rows(surplus, asked.source, asked.target, hot_key_rows)
+    own = [SERVER_COLUMN, *sides.keys, *sides.columns]
+    paired = rows.filter(PAIRED)
+    left, right = (paired.filter(col(SIDE) == s).select(*[col(c) for c in own], ORDINAL) for s in (0, 1))
+    named = replace(sides, source=left, target=right, has_server=sides.has_server)
+    both = null_safe_join(left, right.drop(SERVER_COLUMN), named.pairing, "inner")
+    lone = rows.filter(~col(PAIRED))
+    server = _server(SERVER_COLUMN, sides.has_server)
+    plain = replace(sides, source=sides.source.drop(ORDINAL))
+    missing = (
+        surplus.rows_of(asked.source, 1, ~surplus.contested).select(*[col(c) for c in [SERVER_COLUMN, *sides.keys]])
+        if sides.has_server else surplus.alone(1)
+    )
+    parts = [
+        _statuses(both, sides, F.lit(MISMATCH), {k: col(f"src_{k}") for k in sides.keys}),
+        _lone_rows(lone.filter(col(SIDE) == 0), plain, MISSING, server),
+        _lone_rows(lone.filter(col(SIDE) == 1), plain, EXTRA, F.lit(NO_SERVER)),
+        _lone_rows(missing, plain, MISSING, server),
+        _lone_rows(surplus.alone(-1), plain, EXTRA, F.lit(NO_SERVER)),
+    ]
+    outcome, found = _written(reduce(DataFrame.unionByName, parts), [])
+    totals = digest or surplus
+    missing_rows, extra_rows, mismatched = (found[s] for s in (MISSING, EXTRA, MISMATCH))
+    matched = totals.source_rows - missing_rows - mismatched
+    counts = ReconCounts(totals.source_rows, totals.target_rows, matched, missing_rows, extra_rows, mismatched)
+    return ReconResult(sides, method, counts, outcome, snapshot)
 
 
 def recon_counts(
@@ -317,7 +393,7 @@ def _settle_duplicates(sides: Sides, on_duplicate: str, check: bool, hot_key_row
             _refuse(pairs.filter(_slim_status() == DUPLICATE).agg(F.count(F.lit(1))).first()[0], sides.keys)
         return sides
     if on_duplicate != "ordinal":
-        raise ValueError(f"on_duplicate must be 'error' or 'ordinal', not {on_duplicate!r}")
+        raise ValueError(f"on_duplicate must be 'error', 'ordinal' or 'cancel', not {on_duplicate!r}")
     # keys that occur once on either side need no number; equal rows of two servers are ordered by server
     repeated = stash(
         reduce(DataFrame.unionByName, [
@@ -381,10 +457,15 @@ def _hash_outcome(sides: Sides) -> DataFrame:
     return slim_pairs(sides).select(_slim_status().alias(_STATUS), *[col(k) for k in sides.pairing])
 
 
-def _hash_diff(sides: Sides, outcome: DataFrame, counts: ReconCounts) -> DataFrame:
-    """Look the differing keys up in the full tables. A small outcome is broadcast: it is a scratch
-    table, so the planner knows its size."""
+def _hash_diff(sides: Sides, outcome: DataFrame, counts: ReconCounts, bounds: Sequence[KeyBounds]) -> DataFrame:
+    """Look the differing keys up in the full tables. Their bounds reach the scans and a Bloom filter tests what these
+    return, before anything is shuffled. A small outcome is broadcast: it is a scratch table, so the planner knows its
+    size."""
     pairing = sides.pairing
+
+    def looked_up(side: DataFrame, wanted: DataFrame, count: int) -> DataFrame:
+        return keys_in(skip_to(side, wanted, pairing, bounds, count), wanted, pairing)
+
     parts = []
     if counts.extra_rows:
         extra = outcome.filter(col(_STATUS) == EXTRA)
@@ -394,11 +475,11 @@ def _hash_diff(sides: Sides, outcome: DataFrame, counts: ReconCounts) -> DataFra
         parts.append(_whole_row(missing, MISSING, sides.key_text(), F.lit(UNKNOWN_SERVER)))
     if counts.missing_rows and sides.has_server:
         tagged = sides.source.select(*[col(k) for k in pairing], col(SERVER_COLUMN))
-        missing = keys_in(tagged, outcome.filter(col(_STATUS) == MISSING), pairing)
+        missing = looked_up(tagged, outcome.filter(col(_STATUS) == MISSING), counts.missing_rows)
         parts.append(_whole_row(missing, MISSING, sides.key_text(), _server(SERVER_COLUMN, True)))
     if counts.mismatched_rows:
         changed = outcome.filter(col(_STATUS) == MISMATCH).select(*[col(k) for k in pairing])
-        source, target = (keys_in(side, changed, pairing) for side in (sides.source, sides.target))
+        source, target = (looked_up(side, changed, counts.mismatched_rows) for side in (sides.source, sides.target))
         parts.append(cell_diff(null_safe_join(source, target, pairing, "inner"), sides))
     return reduce(DataFrame.unionByName, parts)
 
