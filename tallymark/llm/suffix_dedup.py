@@ -41,7 +41,7 @@ from tallymark.sources.scratch import scratch_path, stash
 #: Bytes of text in a chunk, least and most; between them a chunk is a 2000th of all.
 CHUNK_BYTES = (4 << 20, 64 << 20)
 #: Bytes of text whose digits meet in one slice.
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 8 << 20
 #: Bytes of text in a bucket of the table.
 BUCKET_BYTES = 32 << 20
 #: Bytes that are hashed at a time, and suffixes that are sorted at a time.
@@ -53,8 +53,8 @@ HOT_STRETCHES = 4096
 RESULT_SCHEMA = "n_bytes bigint, n_removed bigint, n_spans bigint, spans array<struct<start:bigint,end:bigint>>, kept binary"
 _ENTRY_SCHEMA = "chunk bigint, kind int, slice bigint, data binary"
 
-# the kinds of entries that chunks send
-_DIGIT, _ALIKE, _STRETCH, _OPEN, _WINDOW = 1, 2, 3, 4, 5
+# the kinds of entries that chunks send; a state is sent to oneself
+_DIGIT, _ALIKE, _STRETCH, _OPEN, _WINDOW, _STATE = 1, 2, 3, 4, 5, 6
 
 
 def _odd(count: int, seed: int) -> np.ndarray:
@@ -116,26 +116,33 @@ def gram_width(length: int) -> int:
     return 2 * length // 5
 
 
-def equal_windows(digits: np.ndarray) -> np.ndarray:
-    """Number the rows of ``digits`` by equality with a most-significant-digit radix sort.
+def equal_windows(text: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    """Number the windows at some positions by equality, with a most-significant-digit radix sort.
 
-    Rows are ordered by their first digit; rows that share it with no other are
-    done; the others go on to the next digit within their group. Returns for
-    every row the number of its group.
+    Windows are ordered by their first eight bytes; those that share them with
+    no other are done; the others go on to the next five bytes within their
+    group, until ``length`` bytes are compared. Returns for every window the
+    number of its group.
     """
-    count, depth = digits.shape
-    group = np.zeros(count, np.int64)
-    active, groups = np.arange(count), 1
-    for d in range(depth):
-        order = np.lexsort((digits[active, d], group[active]))
-        active = active[order]
-        digit, old = digits[active, d], group[active]
+    words = np.ndarray((len(text) - 7,), ">u8", text, strides=(1,))
+    group = np.zeros(len(at), np.int64)
+    active, groups = np.arange(len(at)), 0
+    first = np.zeros(len(at), np.uint64)  # group and digit in one number; groups stay below 2 ** 24
+    for offset in [0, *range(8, length, 5)]:
+        # the five bytes from ``offset`` on are the last of the eight that begin before; the last digit may look back
+        digit = words[at[active] + (0 if offset == 0 else min(offset + 5, length) - 8)].astype(np.uint64)
+        if offset:
+            digit = (digit & np.uint64((1 << 40) - 1)) | first[: len(active)]
+        order = np.argsort(digit)
+        active, digit = active[order], digit[order]
         new = np.ones(len(active), bool)
-        new[1:] = (digit[1:] != digit[:-1]) | (old[1:] != old[:-1])
+        new[1:] = digit[1:] != digit[:-1]
         number = np.cumsum(new) - 1
         group[active] = groups + number
-        groups += int(number[-1]) + 1 if len(number) else 0
-        active = active[np.bincount(number)[number] > 1] if len(number) else active
+        groups += int(new.sum())
+        several = np.bincount(number)[number] > 1 if len(number) else new
+        active = active[several]
+        first = np.cumsum(new[several]).astype(np.uint64) << np.uint64(40)
     return group
 
 
@@ -147,7 +154,7 @@ class _Groups:
     """
 
     def __init__(self, keys: list[np.ndarray], ids: np.ndarray):
-        order = np.argsort(keys[0], kind="stable")
+        order = np.argsort(keys[0])
         new = np.ones(len(order), bool)
         if len(order):
             new[1:] = reduce(np.logical_or, (k[order][1:] != k[order][:-1] for k in keys))
@@ -194,30 +201,31 @@ def _entries(kind: int, columns: list[np.ndarray], slices: int) -> list[tuple[in
 
 
 def _answer(kind: int, messages: list[bytes], length: int) -> list[bytes]:
-    """Bits for the entries of each message of one slice.
+    """Bits for the entries of each message of one slice, after their number.
 
     A first digit: another chunk holds it. A digit's stretch, two bits: the
-    chunks do not agree on one; there are very many. A stretch or a window: an
-    earlier document holds it. An open stretch: one such bit for each window.
+    chunks do not agree on one; there are very many. A stretch: an earlier
+    document holds it. An open stretch: one such bit for each window.
     """
-    if kind == _OPEN:
-        return _answer_open(messages, length)
-    width = {_DIGIT: 1, _ALIKE: 3, _STRETCH: 3, _WINDOW: _depth(length) + 2}[kind]
-    parts = [_unpack(m, width) for m in messages]
-    sizes = np.array([len(p[0]) for p in parts])
-    columns = [np.concatenate([p[i] for p in parts]) for i in range(width)]
-    if kind == _DIGIT:
-        bits = _shared(columns[0])
-    elif kind == _ALIKE:
-        groups = _Groups(columns[:1], columns[1])
-        differ = (groups.least != groups.most) | (groups.least == 0)
-        many = np.add.reduceat(columns[2][groups.order], groups.starts) > HOT_STRETCHES
-        bits, sizes = np.stack([differ, many], axis=1)[groups.of].ravel(), 2 * sizes
-    elif kind == _STRETCH:
-        bits = _later(_Groups(columns[:2], columns[2].view(np.int64)), columns[2].view(np.int64))
+    if kind == _STATE:
+        return messages
+    if kind in (_OPEN, _WINDOW):
+        bits, sizes = _answer_open([_unpack_open(m) for m in messages], length)
     else:
-        bits = _later_windows(columns[0], np.stack(columns[1:-1], axis=1), columns[-1].view(np.int64))
-    return [np.packbits(b).tobytes() for b in np.split(bits, np.cumsum(sizes)[:-1])]
+        width = {_DIGIT: 1, _ALIKE: 3, _STRETCH: 3}[kind]
+        parts = [_unpack(m, width) for m in messages]
+        sizes = np.array([len(p[0]) for p in parts])
+        columns = [np.concatenate([p[i] for p in parts]) for i in range(width)]
+        if kind == _DIGIT:
+            bits = _shared(columns[0])
+        elif kind == _ALIKE:
+            groups = _Groups(columns[:1], columns[1])
+            differ = (groups.least != groups.most) | (groups.least == 0)
+            many = np.add.reduceat(columns[2][groups.order], groups.starts) > HOT_STRETCHES
+            bits, sizes = np.stack([differ, many], axis=1)[groups.of].ravel(), 2 * sizes
+        else:
+            bits = _later(_Groups(columns[:2], columns[2].view(np.int64)), columns[2].view(np.int64))
+    return [len(b).to_bytes(8, "little") + np.packbits(b).tobytes() for b in np.split(bits, np.cumsum(sizes)[:-1])]
 
 
 def _pack_open(columns: list[np.ndarray], text: bytes) -> bytes:
@@ -229,36 +237,28 @@ def _unpack_open(data: bytes) -> tuple[list[np.ndarray], bytes]:
     return _unpack(data[8:], 3, rows), data[8 + 24 * rows :]
 
 
-def _answer_open(messages: list[bytes], length: int) -> list[bytes]:
-    parts = [_unpack_open(m) for m in messages]
+def _answer_open(parts: list[tuple[list[np.ndarray], bytes]], length: int) -> tuple[np.ndarray, list[int]]:
     key, ids, counts = (np.concatenate([p[0][i] for p in parts]) for i in range(3))
     counts = counts.astype(np.int64)
     text = np.frombuffer(b"".join(p[1] for p in parts), np.uint8)
     spread = counts + length - 1
-    at = _each(np.cumsum(spread) - spread, counts)
-    later = np.empty(len(at), bool)
-    keys = np.repeat(key, counts)
-    order = np.argsort(keys, kind="stable")
-    ids = np.repeat(ids.view(np.int64), counts)
-    for some in _batches(keys, order):
-        digits = np.stack(list(_words(text, at[some], length)), axis=1)
-        later[some] = _later(_Groups([equal_windows(digits)], ids[some]), ids[some])
-    sizes = [int(p[0][2].sum()) for p in parts]
-    return [np.packbits(b).tobytes() for b in np.split(later, np.cumsum(sizes)[:-1])]
-
-
-def _later_windows(keys: np.ndarray, digits: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    out = np.empty(len(keys), bool)
-    for some in _batches(keys, np.argsort(keys, kind="stable")):
-        out[some] = _later(_Groups([equal_windows(digits[some])], ids[some]), ids[some])
-    return out
-
-
-def _batches(keys: np.ndarray, order: np.ndarray) -> Iterator[np.ndarray]:
-    """The sorted rows in runs of about ``SORT_ROWS`` that part no key."""
+    begin = np.cumsum(spread) - spread
+    offset = np.cumsum(counts) - counts
+    later = np.empty(counts.sum(), bool)
+    for some in _batches(key, np.argsort(key), counts):
+        own = np.repeat(ids[some].view(np.int64), counts[some])
+        groups = _Groups([equal_windows(text, _each(begin[some], counts[some]), length)], own)
+        later[_each(offset[some], counts[some])] = _later(groups, own)
+    return later, [int(p[0][2].sum()) for p in parts]
+
+
+def _batches(keys: np.ndarray, order: np.ndarray, counts: np.ndarray) -> Iterator[np.ndarray]:
+    """The sorted stretches in runs of about ``SORT_ROWS`` windows that part no key."""
+    upto = np.cumsum(counts[order])
     at = 0
     while at < len(order):
-        end = min(len(order), at + SORT_ROWS)
+        end = int(np.searchsorted(upto, (upto[at - 1] if at else 0) + SORT_ROWS, "right"))
+        end = min(len(order), max(end, at + 1))
         end = int(np.searchsorted(keys, keys[order[end - 1]], "right", sorter=order))
         yield order[at:end]
         at = end
@@ -287,8 +287,8 @@ def _later(groups: _Groups, ids: np.ndarray) -> np.ndarray:
 class _Chunk:
     """The documents of a chunk, their stretches, and what the passes so far have said about these."""
 
-    def __init__(self, texts: list[bytes], ids: list[int | None], length: int, slices: int):
-        self.length, self.slices = length, slices
+    def __init__(self, texts: list[bytes], ids: list[int | None], length: int, slices: int, number: int):
+        self.length, self.slices, self.number = length, slices, number
         sizes = np.array([len(t) for t in texts], np.int64)
         self.ends = np.cumsum(sizes)
         self.begins = self.ends - sizes
@@ -298,7 +298,6 @@ class _Chunk:
         self.starts, self.counts, self.key = self._stretches(known)
         self.doc = np.searchsorted(self.ends, self.starts, "right")
         self.id = self.ids[self.doc]
-        self.removed: list[tuple[np.ndarray, np.ndarray]] = []
 
     def _stretches(self, known: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         total, length = len(self.text), self.length
@@ -327,8 +326,10 @@ class _Chunk:
         for name in ("starts", "counts", "key", "doc", "id"):
             setattr(self, name, getattr(self, name)[chosen])
 
-    def ask_digits(self) -> list[tuple[int, int, bytes]]:
+    def find_digits(self) -> None:
         self.groups = _Groups([self.key], self.id)
+
+    def ask_digits(self) -> list[tuple[int, int, bytes]]:
         # 56 bits: a digit that is taken for another costs work, not truth
         return _entries(_DIGIT, [self.key[self.groups.first] & ~np.uint64(255)], self.slices)
 
@@ -336,121 +337,165 @@ class _Chunk:
         shared = bits | (self.groups.least != self.groups.most)
         self._keep(shared[self.groups.of])
 
-    def ask_stretches(self) -> list[tuple[int, int, bytes]]:
+    def find_stretches(self) -> None:
         first = _window_hashes(self.text, self.starts, self.length)
         last = _window_hashes(self.text, self.starts + self.counts - 1, self.length)
-        whole = mix64(first * _STEP[0] + mix64(last + _STEP[1]) + self.counts.astype(np.uint64)) | np.uint64(1)
-        self.groups = _Groups([self.key], whole)
+        self.sum = mix64(first * _STEP[0] + mix64(last + _STEP[1]) + self.counts.astype(np.uint64)) | np.uint64(1)
+        self.groups = _Groups([self.key], self.sum)
+        self.name = mix64(self.key ^ self.sum)
+        self.whole = _Groups([self.name, self.sum], self.id)
+
+    def ask_stretches(self) -> list[tuple[int, int, bytes]]:
         alike = np.where(self.groups.least == self.groups.most, self.groups.least, np.uint64(0))
-        name = mix64(self.key ^ whole)
-        self.whole = _Groups([name, whole], self.id)
         one = self.whole.first
         many = np.bincount(self.groups.of[one], minlength=len(alike)).astype(np.uint64)
         return [
             *_entries(_ALIKE, [self.key[self.groups.first], alike, many], self.slices),
-            *_entries(_STRETCH, [name[one], whole[one], self.whole.least.view(np.uint64)], self.slices),
+            *_entries(_STRETCH, [self.name[one], self.sum[one], self.whole.least.view(np.uint64)], self.slices),
         ]
 
     def hear_stretches(self, differ: np.ndarray, later: np.ndarray) -> None:
         gone = later[self.whole.of] | (self.id > self.whole.least[self.whole.of])
-        self.removed.append((self.starts[gone], self.counts[gone]))
+        self.removed = (self.starts[gone], self.counts[gone])
         differ, many = differ.reshape(-1, 2).T
         still = ~gone & differ[self.groups.of]
         self.hot = (still & many[self.groups.of])[still]
-        self.whole_name = mix64(self.key ^ self.whole.of.astype(np.uint64))[still]
+        self.name = self.name[still]
         self._keep(still)
 
     def ask_windows(self) -> list[tuple[int, int, bytes]]:
-        return [*self._ask_open(), *self._ask_hot()]
-
-    def _ask_open(self) -> list[tuple[int, int, bytes]]:
-        mine = np.flatnonzero(~self.hot)
-        # equal stretches of one document are sent once
-        self.open = _Groups([self.key[mine], self.whole_name[mine]], self.id[mine])
-        one = mine[self.open.first]
-        homes = _slice_of(self.key[one], self.slices)
+        """Open stretches under their first digit; hot ones window by window, each under a hash of its own. Where they
+        lie goes along, so that the last pass need not find them again."""
+        cold, hot = np.flatnonzero(~self.hot), np.flatnonzero(self.hot)
+        at, at_id = _each(self.starts[hot], self.counts[hot]), np.repeat(self.id[hot], self.counts[hot])
+        sent, places = [], []
+        for kind, key, name, starts, counts, ids in (
+            (_OPEN, self.key[cold], self.name[cold], self.starts[cold], self.counts[cold], self.id[cold]),
+            (_WINDOW, home := _window_hashes(self.text, at, self.length), home, at, np.ones(len(at), np.int64), at_id),
+        ):
+            # equal ones of one document are sent once
+            same = _Groups([name, key, counts.astype(np.uint64)], ids)
+            order = np.argsort(key[same.first])
+            one, rank = same.first[order], np.argsort(order)
+            sent += self._stretch_entries(kind, key[one], same.least[order], starts[one], counts[one])
+            begin = np.cumsum(counts[one]) - counts[one]
+            places.append((starts, counts, begin[rank[same.of]], ids > same.least[same.of]))
+        state = _pack_state([_merged(*self.removed), *places])
+        return [*sent, (_STATE, int(self.number), state)]
+
+    def _stretch_entries(
+        self, kind: int, key: np.ndarray, ids: np.ndarray, starts: np.ndarray, counts: np.ndarray
+    ) -> list[tuple[int, int, bytes]]:
+        homes = _slice_of(key, self.slices)
         cuts = np.flatnonzero(np.r_[True, homes[1:] != homes[:-1]]) if len(homes) else homes
         sent = []
         for a, b in zip(cuts, [*cuts[1:], len(homes)]):
-            some = one[a:b]
-            columns = [self.key[some], self.id[some].view(np.uint64), self.counts[some].astype(np.uint64)]
-            bytes_at = _each(self.starts[some], self.counts[some] + self.length - 1)
-            sent.append((_OPEN, int(homes[a]), _pack_open(columns, self.text[bytes_at].tobytes())))
+            bytes_at = _each(starts[a:b], counts[a:b] + self.length - 1)
+            columns = [key[a:b], ids[a:b].view(np.uint64), counts[a:b].astype(np.uint64)]
+            sent.append((kind, int(homes[a]), _pack_open(columns, self.text[bytes_at].tobytes())))
         return sent
 
-    def _ask_hot(self) -> list[tuple[int, int, bytes]]:
-        self.at = _each(self.starts[self.hot], self.counts[self.hot])
-        self.at_id = np.repeat(self.id[self.hot], self.counts[self.hot])
-        home = _window_hashes(self.text, self.at, self.length)
-        words = list(_words(self.text, self.at, self.length))
-        self.windows = _Groups([home, *words], self.at_id)
-        one = self.windows.first
-        return _entries(
-            _WINDOW, [home[one], *(w[one] for w in words), self.windows.least.view(np.uint64)], self.slices
-        )
-
-    def hear_windows(self, opened: np.ndarray, later: np.ndarray) -> None:
-        gone = later[self.windows.of] | (self.at_id > self.windows.least[self.windows.of])
-        self.removed.append((self.at[gone], np.ones(gone.sum(), np.int64)))
-        mine = np.flatnonzero(~self.hot)
-        sizes = self.counts[mine[self.open.first]]
-        begin = (np.cumsum(sizes) - sizes)[self.open.of]
-        gone = opened[_each(begin, self.counts[mine])]
-        at = _each(self.starts[mine], self.counts[mine])[gone]
-        self.removed.append((at, np.ones(len(at), np.int64)))
-
-    def results(self) -> list[pa.Array]:
-        change = np.zeros(len(self.text) + 1, np.int32)
-        for starts, counts in self.removed:
-            np.add.at(change, starts, 1)
-            np.add.at(change, starts + counts + self.length - 1, -1)
-        gone = np.cumsum(change)[:-1] > 0
-        n_removed, spans, kept = [], [], []
-        for begin, end in zip(self.begins, self.ends):
-            own = gone[begin:end]
-            edges = np.flatnonzero(np.diff(np.r_[False, own, False].astype(np.int8)))
-            spans.append([{"start": int(a), "end": int(b)} for a, b in zip(edges[::2], edges[1::2])])
-            n_removed.append(int(own.sum()))
-            kept.append(self.text[begin:end][~own].tobytes())
-        kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        return [
-            pa.array(self.ends - self.begins, pa.int64()), pa.array(n_removed, pa.int64()),
-            pa.array([len(s) for s in spans], pa.int64()), pa.array(spans, kind), pa.array(kept, pa.binary()),
-        ]
-
-
-def _replay(chunk: _Chunk, answers: pa.Table, passes: int) -> list[tuple[int, int, bytes]]:
-    """Go through the passes that have their answers; what the next one asks."""
-    by_slice: dict[int, list[tuple[int, bytes]]] = {}
-    for kind, home, data in zip(*(answers[c].to_pylist() for c in ("kind", "slice", "data"))):
-        by_slice.setdefault(kind, []).append((home, data))
-
-    def bits(kind: int, asked: list[tuple[int, int, bytes]]) -> np.ndarray:
-        sizes = {home: _bit_count(kind, data, chunk.length) for k, home, data in asked if k == kind}
-        parts = [np.unpackbits(np.frombuffer(d, np.uint8), count=sizes[h]) for h, d in sorted(by_slice.get(kind, []))]
-        return np.concatenate(parts).astype(bool) if parts else np.zeros(0, bool)
 
-    asked = chunk.ask_digits()
-    if passes > 0:
-        chunk.hear_digits(bits(_DIGIT, asked))
-        asked = chunk.ask_stretches()
-    if passes > 1:
-        chunk.hear_stretches(bits(_ALIKE, asked), bits(_STRETCH, asked))
-        asked = chunk.ask_windows()
-    if passes > 2:
-        chunk.hear_windows(bits(_OPEN, asked), bits(_WINDOW, asked))
-    return asked
-
-
-def _bit_count(kind: int, data: bytes, length: int) -> int:
-    if kind == _OPEN:
-        return int(_unpack_open(data)[0][2].sum())
-    per_bit = {_DIGIT: 8, _ALIKE: 12, _STRETCH: 24, _WINDOW: 8 * (_depth(length) + 2)}[kind]
-    return len(data) // per_bit
+def _merged(starts: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Stretches that follow each other as one."""
+    order = np.argsort(starts)
+    starts, counts = starts[order], counts[order]
+    new = np.flatnonzero(np.r_[True, starts[1:] != starts[:-1] + counts[:-1]]) if len(starts) else starts
+    return starts[new], np.add.reduceat(counts, new) if len(new) else counts
+
+
+def _pack_state(parts: list[tuple[np.ndarray, ...]]) -> bytes:
+    """Removed stretches, then for open and hot stretches where they lie, where their bits begin, and whether an earlier
+    document of the chunk holds them."""
+    out = []
+    for arrays in parts:
+        out.append(len(arrays[0]).to_bytes(8, "little"))
+        # sorted by place, so that differences are small; bytes in planes
+        order = np.argsort(arrays[0], kind="stable")
+        for i, a in enumerate(arrays):
+            a = a[order].astype(np.int64)
+            out.append((np.diff(a, prepend=0) if i == 0 else a).view(np.uint8).reshape(-1, 8).T.tobytes())
+    return b"".join(out)
+
+
+def _unpack_state(data: bytes) -> list[list[np.ndarray]]:
+    parts, at = [], 0
+    for width in (2, 4, 4):
+        rows = int.from_bytes(data[at : at + 8], "little")
+        at += 8
+        arrays = []
+        for i in range(width):
+            plane = np.frombuffer(data, np.uint8, 8 * rows, at).reshape(8, rows)
+            a = np.ascontiguousarray(plane.T).view(np.int64).ravel()
+            arrays.append(np.cumsum(a) if i == 0 else a)
+            at += 8 * rows
+        parts.append(arrays)
+    return parts
+
+
+def _bits(answers: dict[int, list[bytes]], kind: int) -> np.ndarray:
+    """The answers of one kind in the order of their entries."""
+    parts = [
+        np.unpackbits(np.frombuffer(d, np.uint8, offset=8), count=int.from_bytes(d[:8], "little"))
+        for d in answers.get(kind, [])
+    ]
+    return np.concatenate(parts).astype(bool) if parts else np.zeros(0, bool)
+
+
+def _by_kind(answers: pa.Table) -> dict[int, list[bytes]]:
+    out: dict[int, list[bytes]] = {}
+    for kind, _, data in sorted(zip(*(answers[c].to_pylist() for c in ("kind", "slice", "data")))):
+        out.setdefault(kind, []).append(data)
+    return out
 
 
-def _depth(length: int) -> int:
-    return -(-length // 8)
+def _next_entries(chunk: _Chunk, answers: dict[int, list[bytes]], passes: int) -> list[tuple[int, int, bytes]]:
+    """Go through the passes that have their answers; what the next one asks."""
+    chunk.find_digits()
+    if passes == 0:
+        return chunk.ask_digits()
+    chunk.hear_digits(_bits(answers, _DIGIT))
+    chunk.find_stretches()
+    if passes == 1:
+        return chunk.ask_stretches()
+    chunk.hear_stretches(_bits(answers, _ALIKE), _bits(answers, _STRETCH))
+    return chunk.ask_windows()
+
+
+def _results(texts: list[bytes], answers: dict[int, list[bytes]], length: int) -> list[pa.Array]:
+    """The result columns of a chunk's documents, from the state that its last pass left and the answers to it."""
+    ends = np.cumsum(np.array([len(t) for t in texts], np.int64))
+    begins = ends - np.array([len(t) for t in texts], np.int64)
+    text = np.frombuffer(b"".join(texts), np.uint8)
+    change = np.zeros(len(text) + 1, np.int32)
+    if answers.get(_STATE):
+        (starts, counts), *open_parts = _unpack_state(answers[_STATE][0])
+        spans = [(starts, starts + counts + length - 1)]
+        for kind, (starts, counts, begin, later) in zip((_OPEN, _WINDOW), open_parts):
+            bits = _bits(answers, kind)
+            gone = bits[_each(begin, counts)] | np.repeat(later.astype(bool), counts)
+            at = _each(starts, counts)[gone]
+            spans.append((at, at + length))
+        for a, b in spans:
+            np.add.at(change, a, 1)
+            np.add.at(change, b, -1)
+    gone = np.cumsum(change[:-1]) > 0
+    upto = np.r_[0, np.cumsum(gone)]
+    n_removed = upto[ends] - upto[begins]
+    kept = list(texts)
+    edges = [np.zeros(0, np.int64)] * len(texts)
+    for i in np.flatnonzero(n_removed):
+        own = gone[begins[i] : ends[i]]
+        edges[i] = np.flatnonzero(np.diff(np.r_[False, own, False].astype(np.int8)))
+        kept[i] = text[begins[i] : ends[i]][~own].tobytes()
+    n_spans = np.array([len(e) // 2 for e in edges], np.int64)
+    flat = np.concatenate(edges) if edges else np.zeros(0, np.int64)
+    runs = pa.StructArray.from_arrays([pa.array(flat[::2]), pa.array(flat[1::2])], names=["start", "end"])
+    offsets = pa.array(np.r_[0, np.cumsum(n_spans)].astype(np.int32))
+    return [
+        pa.array(ends - begins), pa.array(n_removed.astype(np.int64)), pa.array(n_spans),
+        pa.ListArray.from_arrays(offsets, runs), pa.array(kept, pa.binary()),
+    ]
 
 
 # -- the job --------------------------------------------------------------------------------------
@@ -501,9 +546,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     table = _bucketed(carried, total, parallel)
     asked = table.select("chunk", "_id", "_text")
 
-    def build(rows: pa.Table) -> _Chunk:
-        return _Chunk(rows["_text"].to_pylist(), rows["_id"].to_pylist(), length, slices)
-
     def entries(chunk: int, asked: list[tuple[int, int, bytes]]) -> pa.Table:
         kinds, homes, data = zip(*asked) if asked else ((), (), ())
         return pa.table({
@@ -513,7 +555,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def ask(passes: int):
         def apply(key: tuple, rows: pa.Table, answers: pa.Table) -> pa.Table:
-            return entries(key[0].as_py(), _replay(build(rows), answers, passes) if rows.num_rows else [])
+            number = key[0].as_py()
+            if not rows.num_rows:
+                return entries(number, [])
+            chunk = _Chunk(rows["_text"].to_pylist(), rows["_id"].to_pylist(), length, slices, number)
+            return entries(number, _next_entries(chunk, _by_kind(answers), passes))
 
         return apply
 
@@ -535,10 +581,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def finish(rows: pa.Table, answers: pa.Table) -> pa.Table:
         if not rows.num_rows:
             return pa.table([pa.array([], f.type) for f in empty], names=out.fieldNames())
-        chunk = build(rows)
-        _replay(chunk, answers, 3)
+        results = _results(rows["_text"].to_pylist(), _by_kind(answers), length)
         text = pa.array([None if n else t for n, t in zip(rows["_none"].to_pylist(), rows["_text"].to_pylist())], pa.binary())
-        return pa.table([*(rows[c] for c in carry), text, *chunk.results()], names=out.fieldNames())
+        return pa.table([*(rows[c] for c in carry), text, *results], names=out.fieldNames())
 
     from pyspark.sql.pandas.types import to_arrow_schema
 

@@ -81,32 +81,34 @@ def test_repeats_equal_brute_force(spark, monkeypatch, alphabet, hot):
 
 def in_process(docs, length=50, chunks=5, slices=3):
     parts = [[d for j, d in enumerate(docs) if (d[0] or 0) % chunks == c] for c in range(chunks)]
-    made = [suffix_dedup._Chunk([(t or "").encode() for _, t in p], [i for i, _ in p], length, slices) for p in parts]
-    for ask, kinds in (("ask_digits", (1,)), ("ask_stretches", (2, 3)), ("ask_windows", (4, 5))):
-        sent = [(c, *m) for c, chunk in enumerate(made) for m in getattr(chunk, ask)()]
-        bits = {}
-        for kind, home in {(k, h) for _, k, h, _ in sent}:
+    answers = [{} for _ in parts]
+    for passes in range(3):
+        sent = []
+        for c, p in enumerate(parts):
+            chunk = suffix_dedup._Chunk([(t or "").encode() for _, t in p], [i for i, _ in p], length, slices, c)
+            sent += [(c, *m) for m in suffix_dedup._next_entries(chunk, answers[c], passes)]
+        for kind, home in sorted({(k, h) for _, k, h, _ in sent}):
             group = [(c, d) for c, k, h, d in sent if (k, h) == (kind, home)]
-            for (c, d), b in zip(group, suffix_dedup._answer(kind, [d for _, d in group], length)):
-                n = suffix_dedup._bit_count(kind, d, length)
-                bits[c, kind, home] = np.unpackbits(np.frombuffer(b, np.uint8), count=n).astype(bool)
-        for c, chunk in enumerate(made):
-            heard = [[bits[x] for x in sorted(bits) if x[:2] == (c, k)] for k in kinds]
-            getattr(chunk, ask.replace("ask", "hear"))(*(np.concatenate(h) if h else np.zeros(0, bool) for h in heard))
+            for (c, _), b in zip(group, suffix_dedup._answer(kind, [d for _, d in group], length)):
+                answers[c].setdefault(kind, []).append(b)
     out = []
-    for part, chunk in zip(parts, made):
-        for (i, _), *r in zip(part, *(a.to_pylist() for a in chunk.results())):
+    for p, heard in zip(parts, answers):
+        results = suffix_dedup._results([(t or "").encode() for _, t in p], heard, length)
+        for (i, _), *r in zip(p, *(a.to_pylist() for a in results)):
             out.append((i, r[0], r[1], [(s["start"], s["end"]) for s in r[3]], r[4]))
     return sorted(out, key=repr)
 
 
 def test_equal_windows_is_equality():
     rng = np.random.default_rng(1)
-    digits = rng.integers(0, 3, (400, 5)).astype(np.uint64)
-    group = suffix_dedup.equal_windows(digits)
-    by_group, by_row = {}, {}
-    for g, row in zip(group.tolist(), map(tuple, digits.tolist())):
-        assert by_group.setdefault(g, row) == row and by_row.setdefault(row, g) == g
+    text = np.frombuffer(bytes(rng.integers(97, 99, 3000).astype(np.uint8)) * 2 + b"b" * 200, np.uint8)
+    for length in (16, 23, 50):
+        at = rng.permutation(len(text) - length + 1)
+        group = suffix_dedup.equal_windows(text, at, length)
+        by_group, by_window = {}, {}
+        for g, p in zip(group.tolist(), at.tolist()):
+            window = text[p : p + length].tobytes()
+            assert by_group.setdefault(g, window) == window and by_window.setdefault(window, g) == g
 
 
 def test_repeats_on_odd_inputs(spark):
