@@ -106,8 +106,8 @@ class Surplus:
 
 
 def _copies(rows: DataFrame, count: Column) -> DataFrame:
-    several = F.when(count > 0, F.sequence(F.lit(1).cast("bigint"), count.cast("bigint")))
-    return rows.withColumn("_tm_copy", F.explode(several)).drop("_tm_copy")
+    counted = rows.withColumn("_tm_copies", count.cast("bigint")).filter(col("_tm_copies") > 0)
+    return counted.withColumn("_tm_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), col("_tm_copies")))).drop("_tm_copy", "_tm_copies")
 
 
 def paired_rows(surplus: Surplus, source: DataFrame, target: DataFrame, hot_key_rows: int) -> DataFrame:
