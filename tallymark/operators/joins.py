@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallymark.functions.names import col, find
 from tallymark.operators.keys import same_keys
-from tallymark.operators.rownumber import number_rows
+from tallymark.operators.rownumber import _IDS, _repeatable, rows_by_identity, table_numbers
 
 _HOW = {"left": "left", "inner": "inner", "right": "right", "full": "full"}
 
@@ -69,16 +69,29 @@ def positional_join(
     """Align tables by position: row n of each, in the order of its own keys.
 
     An inner join on the row number, so the shortest table sets the length.
-    The number itself is kept as ``rn``. ``unique=True`` promises that every
+    Only keys and row identities are sorted and numbered; the rows are joined to
+    the numbers that met. The number itself is kept as ``rn``. ``unique=True`` promises that every
     table's keys are unique (see :func:`number_rows`).
     """
-    result = number_rows(main, main_keys, "rn", unique)
-    for other, keys in others:
-        clash = {c.lower() for c in result.columns} & {c.lower() for c in other.columns}
+    seen = {"rn"}
+    for table, keys in [(main, main_keys), *others]:
+        if not keys:
+            raise ValueError("row numbers need at least one key to order by")
+        clash = seen & {c.lower() for c in table.columns}
         if clash:
             raise ValueError(f"column(s) in more than one table: {sorted(clash)}")
-        result = result.join(number_rows(other, keys, "rn", unique), "rn", "inner")
-    return result
+        seen |= {c.lower() for c in table.columns}
+    tables = [_repeatable(table) for table in (main, *(t for t, _ in others))]
+    found = [table_numbers(t, keys, unique) for t, keys in zip(tables, [main_keys, *(k for _, k in others)])]
+    # numbers meet first, then each table's rows come to them once
+    numbers = [
+        f.numbers.select(col("_tm_rn").alias("rn"), *[col(i).alias(f"{i}_{n}") for i in _IDS]) for n, f in enumerate(found)
+    ]
+    result = reduce(lambda a, b: a.join(b, "rn"), numbers)
+    for n, (table, f) in enumerate(zip(tables, found)):
+        rows = rows_by_identity(table, f.repeats)
+        result = result.join(rows, reduce(Column.__and__, [result[f"{i}_{n}"] == rows[i] for i in _IDS])).drop(*_IDS)
+    return result.select("rn", *[col(c) for t in tables for c in t.columns])
 
 
 def prefixed(df: DataFrame, prefix: str) -> DataFrame:

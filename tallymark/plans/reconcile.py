@@ -43,7 +43,7 @@ from tallymark.functions.casts import safe_cast
 from tallymark.functions.names import col, find, lower_names
 from tallymark.operators.joins import null_safe_join
 from tallymark.operators.keys import keys_in, keys_not_in
-from tallymark.operators.rownumber import HOT_KEY_ROWS, number_within_keys
+from tallymark.operators.rownumber import HOT_KEY_ROWS, number_cold_keys, number_within_keys
 from tallymark.operators.skipping import KeyBounds, bound_columns, read_bounds, skip_to
 from tallymark.plans.digest import compare_digests
 from tallymark.plans.pairing import ORDINAL, PAIRED, SIDE, Surplus, paired_rows
@@ -226,7 +226,11 @@ def reconcile(
     if method == "digest":
         digest = compare_digests(sides.source, sides.target, sides.pairing, sides.columns)
         asked = _in_question(sides, digest)
-    rows = {"hash": _hash_outcome, "digest": _hash_outcome, "full": _full_outcome, "anti": _anti_outcome}[method](asked)
+    outcome_of = {"hash": _hash_outcome, "digest": _hash_outcome, "full": _full_outcome, "anti": _anti_outcome}[method]
+    if on_duplicate == "ordinal" and method == "hash":
+        # numbering has moved the full rows by key already: their cells are compared there, not looked up again
+        outcome_of = _full_outcome
+    rows = outcome_of(asked)
     outcome, found = _written(rows, sides.pairing)
     counts = _counts(sides, found)
     if digest is not None:
@@ -395,19 +399,23 @@ def _settle_duplicates(sides: Sides, on_duplicate: str, check: bool, hot_key_row
     if on_duplicate != "ordinal":
         raise ValueError(f"on_duplicate must be 'error', 'ordinal' or 'cancel', not {on_duplicate!r}")
     # keys that occur once on either side need no number; equal rows of two servers are ordered by server
+    pairs = slim_pairs(replace(sides, columns=[]))
+    most = F.greatest("src_rows", "tgt_rows")
+    widest = Observation("widest")
     repeated = stash(
-        reduce(DataFrame.unionByName, [
-            side.groupBy(*[col(k) for k in sides.keys]).agg(F.count(F.lit(1)).alias("_tm_n")).filter(col("_tm_n") > 1)
-            .select(*[col(k) for k in sides.keys])
-            for side in (sides.source, sides.target)
-        ]).distinct(),
+        pairs.filter(most > 1).observe(widest, F.max(most).alias("most")).select(*[col(k) for k in sides.keys]),
         "repeated-keys",
     )
+    hot = (widest.get["most"] or 0) > hot_key_rows
 
     def numbered(side: DataFrame) -> DataFrame:
         order = [*sides.columns, *([SERVER_COLUMN] if SERVER_COLUMN in side.columns else [])]
         once = keys_not_in(side, repeated, sides.keys).withColumn(_ORDINAL, F.lit(1).cast("bigint"))
-        again = number_within_keys(keys_in(side, repeated, sides.keys), sides.keys, order, _ORDINAL, hot_key_rows)
+        again = keys_in(side, repeated, sides.keys)
+        again = (
+            number_within_keys(again, sides.keys, order, _ORDINAL, hot_key_rows)
+            if hot else number_cold_keys(again, sides.keys, order, _ORDINAL)
+        )
         return once.unionByName(again.withColumn(_ORDINAL, col(_ORDINAL).cast("bigint")))
 
     return replace(sides, source=numbered(sides.source), target=numbered(sides.target))

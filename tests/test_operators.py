@@ -20,7 +20,7 @@ from tallymark.operators.checks import (
 from tallymark.operators.filters import date_window, pk_filter, preview, where
 from tallymark.operators.joins import lookup_join, positional_join
 from tallymark.operators.keys import keys_in, keys_not_in
-from tallymark.operators.rownumber import _placed, number_rows, number_within_keys
+from tallymark.operators.rownumber import _placed, number_rows, number_within_keys, table_numbers
 from tallymark.spec import DeclaredColumn
 from tests.conftest import rows
 
@@ -122,10 +122,38 @@ def test_row_numbers_with_ties_null_and_no_rows(spark):
         number_rows(df, [])
 
 
+def test_row_numbers_write_keys_and_identities_only(spark):
+    """Wide rows are neither sorted nor written; equal rows, NULLs and maps find their numbers again."""
+    df = spark.range(300).select(
+        (F.col("id") % 40).alias("k"), F.when(F.col("id") % 7 > 0, F.lit("x")).alias("v"),
+        F.create_map(F.lit("b"), F.col("id") % 3, F.lit("a"), F.lit(1)).alias("m"),
+    ).unionByName(spark.range(300).select(
+        (F.col("id") % 40).alias("k"), F.when(F.col("id") % 7 > 0, F.lit("x")).alias("v"),
+        F.create_map(F.lit("a"), F.lit(1), F.lit("b"), F.col("id") % 3).alias("m"),
+    ))
+    found = table_numbers(df, ["k"])
+    placed = [f for f in found.numbers.inputFiles() if "/placed-" in f]
+    assert placed and found.repeats
+    schema = spark.read.parquet(placed[0].rsplit("/", 1)[0]).columns
+    assert schema == ["k", "_tm_id_a", "_tm_id_b", "_tm_position"]
+    numbered = number_rows(df, ["k"]).collect()
+    assert sorted(r["rn"] for r in numbered) == list(range(1, 601))
+    assert [r["k"] for r in sorted(numbered, key=lambda r: r["rn"])] == sorted(r["k"] for r in df.collect())
+    text = lambda rs: sorted(repr((r["k"], r["v"], sorted(r["m"].items()))) for r in rs)
+    assert text(numbered) == text(df.collect())
+
+
+def test_row_numbers_of_a_plan_that_is_not_repeatable(spark):
+    df = spark.range(500).select(F.rand().alias("k"))
+    found = number_rows(df, ["k"]).collect()
+    assert [r["k"] for r in sorted(found, key=lambda r: r["rn"])] == sorted(r["k"] for r in found) and len(found) == 500
+
+
 def test_a_hot_key_is_spread_over_partitions(spark):
     """All rows equal: still no partition holds more than its share."""
     df = spark.range(0, 4000, 1, 8).select(F.lit(1).alias("k"))
-    placed = _placed(df, ["k"], False, 8)
+    placed, repeats = _placed(df, ["k"], False, 8)
+    assert repeats
     sizes = [r["count"] for r in placed.groupBy(F.shiftright("_tm_position", 33)).count().collect()]
     assert sum(sizes) == 4000 and max(sizes) < 1500
 
