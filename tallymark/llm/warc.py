@@ -1,31 +1,36 @@
 """WARC archives with an index that comes first.
 
-Record lengths follow from narrow columns, so the index (archive, offset,
-length, URL, digest) is computed and written before any payload moves. The
-archives are then written by Spark's text sink, one per folder, whose line
-separator is the blank line that ends a WARC record. Readers sort the index
-rows they want by archive and offset, join neighbouring records into one range,
-and read only these ranges.
+Each record becomes a gzip member of its own where its page is read, so that
+only compressed records move, once, to the task that writes their archive. The
+task returns what it wrote as index rows (archive, offset, length, URL, digest),
+under a file name of its own: a retried task leaves at most a file that no index
+names. Readers sort the index rows they want by archive and offset, join
+neighbouring records into one range, and read only these ranges.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
+import uuid
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.functions.names import col
+from tallymark.llm.text import slices
+from tallymark.operators.keys import same_keys
 from tallymark.sources.scratch import scratch_path, stash
 
 # The blank line that ends a record, and the profile of a revisit record.
-RECORD_END = "\r\n\r\n"
+RECORD_END = b"\r\n\r\n"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-_HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
+_HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 
 RECORD_ID = "urn:page:"
 #: Payloads from this size on are stored once.
@@ -69,41 +74,64 @@ def _keepers(facts: DataFrame) -> DataFrame:
     )
 
 
-def _typed(facts: DataFrame, keepers: DataFrame) -> DataFrame:
-    joined = facts.join(
-        keepers, (col("digest") == col("kept_digest")) & (col("payload_bytes") >= DEDUPLICATE_BYTES), "left"
-    )
-    revisits = col("keeper").isNotNull() & ~col("page_id").eqNullSafe(col("keeper"))
-    return joined.withColumns({
-        "record_type": F.when(revisits, F.lit("revisit")).otherwise(F.lit("response")),
-        "refers_to": F.when(revisits, col("keeper")),
-    }).drop("kept_digest", "keeper")
-
-
-def _header(date: str) -> Column:
-    """The record's header and HTTP header, as text before the payload."""
-    revisit = col("record_type") == "revisit"
-    page = F.coalesce(col("page_id").cast("string"), F.lit(""))
-    address = F.regexp_replace(F.coalesce(col("url"), F.lit("")), "[\\x00-\\x20]", "%20")
-    http = len(_HTTP.encode())
-    return F.concat(
-        F.lit("WARC/1.1\r\nWARC-Type: "), col("record_type"),
-        F.lit(f"\r\nWARC-Record-ID: <{RECORD_ID}"), page,
-        F.lit(f">\r\nWARC-Date: {date}\r\nWARC-Target-URI: "), address,
-        F.lit("\r\nWARC-Payload-Digest: sha1:"), F.lower(F.hex("digest")),
-        F.when(
-            revisit,
-            F.concat(
-                F.lit(f"\r\nWARC-Profile: {REVISIT_PROFILE}\r\nWARC-Refers-To: <{RECORD_ID}"),
-                col("refers_to").cast("string"), F.lit(">\r\nWARC-Payload-Length: "),
-                col("payload_bytes").cast("string"),
-            ),
-        ).otherwise(F.lit("")),
-        F.lit("\r\nContent-Type: application/http; msgtype=response\r\nContent-Length: "),
-        (F.lit(http) + F.when(revisit, 0).otherwise(col("payload_bytes"))).cast("string"),
-        F.lit(RECORD_END + _HTTP),
+def _revisits(facts: DataFrame, keepers: DataFrame) -> DataFrame:
+    """Id and digest of the rows that revisit another, and the id of that one. Narrow rows only."""
+    met = facts.select("page_id", "digest").join(keepers, col("digest") == col("kept_digest"))
+    return met.filter(~col("page_id").eqNullSafe(col("keeper"))).select(
+        col("page_id").alias("_of"), col("digest").alias("_digest"), col("keeper").alias("refers_to")
+    ).distinct()
+
+
+def _record(page_id: int | None, url: str, digest: str, date: str, payload: bytes | None, size: int, refers: int | None) -> bytes:
+    """A whole record: a response with its payload, or a revisit where ``payload`` is None."""
+    kind = "response" if payload is not None else "revisit"
+    lines = [
+        "WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <{RECORD_ID}{'' if page_id is None else page_id}>",
+        f"WARC-Date: {date}", "WARC-Target-URI: " + re.sub(r"[\x00-\x20]", "%20", url), f"WARC-Payload-Digest: sha1:{digest}",
+    ]
+    if payload is None:
+        lines += [f"WARC-Profile: {REVISIT_PROFILE}", f"WARC-Refers-To: <{RECORD_ID}{refers}>", f"WARC-Payload-Length: {size}"]
+    body = _HTTP + (payload or b"")
+    lines += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(body)}"]
+    return "\r\n".join(lines).encode() + RECORD_END + body + RECORD_END
+
+
+def _member(record: bytes) -> bytes:
+    packer = zlib.compressobj(6, zlib.DEFLATED, 31)
+    return packer.compress(record) + packer.flush()
+
+
+_MEMBERS = "page_id bigint, url string, payload_bytes bigint, digest binary, member binary"
+
+
+def _members(pages: DataFrame, id_col: str, url_col: str, html_col: str, date: str) -> DataFrame:
+    """Every page as the compressed response it would be."""
+    rows = pages.select(
+        col(id_col).cast("bigint").alias("page_id"), col(url_col).cast("string").alias("url"),
+        F.coalesce(col(html_col).cast("string").cast("binary"), F.lit(b"")).alias("payload"),
     )
 
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 256):
+            ids, urls, payloads = (c.to_pylist() for c in batch.columns)
+            digests = [hashlib.sha1(p) for p in payloads]
+            members = [
+                _member(_record(i, u or "", d.hexdigest(), date, p, len(p), None))
+                for i, u, d, p in zip(ids, urls, digests, payloads)
+            ]
+            yield pa.record_batch([
+                batch.column(0), batch.column(1), pa.array([len(p) for p in payloads], pa.int64()),
+                pa.array([d.digest() for d in digests], pa.binary()), pa.array(members, pa.binary()),
+            ], names=["page_id", "url", "payload_bytes", "digest", "member"])
+
+    return rows.mapInArrow(pack, _MEMBERS)
+
+
+_INDEX = (
+    "page_id bigint, url string, archive string, offset bigint, length bigint, payload_bytes bigint, payload_digest string, "
+    "record_type string, refers_to bigint"
+)
+
 
 def write_archives(
     pages: DataFrame,
@@ -113,46 +141,49 @@ def write_archives(
     archive_bytes: int = 256 << 20,
     date: str = "2024-01-01T00:00:00Z",
 ) -> Archives:
-    """Write one record per row and return the archives with their index.
+    """Write one record per row, each a gzip member, and return the archives with their index.
 
     Of rows with equal payloads of at least 1000 bytes the one with the largest
     id is a response and the others revisit it; rows of equal id and payload are
     all responses. A NULL payload is an empty one, a NULL URL an empty one, and
-    a NULL id writes an empty record name. Archives lie in the shared folder; an
-    empty table gives no archive and an empty index.
+    a NULL id writes an empty record name. Archives lie in the shared folder, in
+    files of up to ``archive_bytes``; an empty table gives no archive and an
+    empty index.
     """
     spark = pages.sparkSession
-    # read again for each use: a copy of the facts would cost more than to compute them
+    # digests are computed again for each use: a copy of them would cost more
     facts = _facts(pages, id_col, url_col, html_col)
-    keepers = _keepers(facts)
-    total = facts.agg(F.sum("payload_bytes")).first()[0] or 0
-    # a few archives for each core, so that tasks are even
-    count = max(4 * spark.sparkContext.defaultParallelism, -(-total // archive_bytes))
-    placed_by = {"archive": F.pmod(F.xxhash64("page_id", "url"), F.lit(count)), "tie": F.xxhash64("digest")}
-    order = ["page_id", "url", "tie"]
-    length = (
-        F.octet_length(_header(date)) + F.when(col("record_type") == "revisit", 0).otherwise(col("payload_bytes"))
-        + len(RECORD_END)
-    ).cast("bigint")
-    before = Window.partitionBy("archive").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    index = stash(
-        _typed(facts, keepers)
-        .withColumns({**placed_by, "length": length})
-        .withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)))
-        .drop("tie"),
-        "warc-index",
-    )
-    index = index.withColumn("digest", F.lower(F.hex("digest"))).withColumnRenamed("digest", "payload_digest")
+    revisits = _revisits(facts, _keepers(facts))
     path = scratch_path(spark, "warc")
-    payload = F.coalesce(col(html_col).cast("string"), F.lit(""))
-    source = pages.select(*_fact_columns(payload, id_col, url_col), payload.alias("payload"))
-    records = _typed(source, keepers).withColumns(placed_by).select(
-        "archive", *order,
-        F.concat(_header(date), F.when(col("record_type") == "revisit", F.lit("")).otherwise(col("payload"))).alias("value"),
-    )
-    placed = records.repartition(int(count), "archive").sortWithinPartitions("archive", *order)
-    placed.select("value", "archive").write.partitionBy("archive").option("lineSep", RECORD_END).text(path)
-    return Archives(path, index)
+    members = _members(pages, id_col, url_col, html_col, date)
+    # one shuffle of compressed records, by id and digest: equal payloads do not meet in one task
+    same = same_keys(members, revisits, [("page_id", "_of"), ("digest", "_digest")])
+    placed = members.join(revisits.hint("merge"), same, "left").select(*members.columns, "refers_to")
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        archive, out, offset = None, None, 0
+        for batch in batches:
+            rows = []
+            for page_id, url, size, digest, member, refers in zip(*(c.to_pylist() for c in batch.columns)):
+                if refers is not None:
+                    member = _member(_record(page_id, url or "", digest.hex(), date, None, size, refers))
+                if out is None or offset + len(member) > archive_bytes and offset:
+                    if out is not None:
+                        out.close()
+                    archive, offset = f"{uuid.uuid4().hex}.warc.gz", 0
+                    out = _create(f"{path}/{archive}")
+                out.write(member)
+                kind = "response" if refers is None else "revisit"
+                rows.append((page_id, url, archive, offset, len(member), size, digest.hex(), kind, refers))
+                offset += len(member)
+            kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()]
+            names = [c.split(" ")[0] for c in _INDEX.split(", ")]
+            if rows:
+                yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+        if out is not None:
+            out.close()
+
+    return Archives(path, stash(placed.mapInArrow(write, _INDEX), "warc-index"))
 
 
 RECORD_SCHEMA = (
@@ -170,20 +201,21 @@ def read_records(archives: Archives, selected: DataFrame | None = None, payload:
     """
     spark = archives.index.sparkSession
     chosen = (archives.index if selected is None else selected).select("archive", "offset", "length")
-    if chosen.isEmpty():
+    total = chosen.agg(F.sum("length")).first()[0]
+    if not total:
         return spark.createDataFrame([], RECORD_SCHEMA)
-    files = stash(
-        spark.read.format("binaryFile").load(archives.path).select(
-            col("archive").cast("bigint").alias("of_archive"), "path"
-        ),
-        "warc-files",
-    )
-    wanted = chosen.join(files, col("archive") == col("of_archive")).select("path", "offset", "length")
-    near = wanted.repartition("path", F.floor(col("offset") / (8 * MAX_RANGE))).sortWithinPartitions("path", "offset")
+    # ranges of sorted index rows are of like size, whatever the sizes of the archives; a task reads a few ranges
+    tasks = max(spark.sparkContext.defaultParallelism, -(-total // (4 * MAX_RANGE)))
+    near = chosen.repartitionByRange(int(tasks), "archive", "offset").sortWithinPartitions("archive", "offset")
+    folder = archives.path
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for path, start, data, spans in _ranges(batches):
-            found = [_parse(memoryview(data)[offset - start : offset - start + length], path, offset) for offset, length in spans]
+        for archive, start, data, spans in _ranges(batches, folder):
+            packed = memoryview(data)
+            found = [
+                _parse(zlib.decompress(packed[offset - start : offset - start + length], 31), archive, offset)
+                for offset, length in spans
+            ]
             if not payload:
                 found = [(*r[:-1], None) for r in found]
             kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
@@ -193,7 +225,7 @@ def read_records(archives: Archives, selected: DataFrame | None = None, payload:
     return near.mapInArrow(read, RECORD_SCHEMA)
 
 
-def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, bytes, list[tuple[int, int]]]]:
+def _ranges(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[tuple[str, int, bytes, list[tuple[int, int]]]]:
     """Join sorted records into byte ranges and read them, one open file at a time."""
     path, opened, spans = None, None, []
 
@@ -212,7 +244,7 @@ def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, bytes
             if name != path:
                 if opened is not None:
                     opened.close()
-                path, opened = name, _open(name)
+                path, opened = name, _open(f"{folder}/{name}")
             if (offset, length) not in spans[-1:]:
                 spans.append((offset, length))
     if spans:
@@ -221,19 +253,29 @@ def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, bytes
         opened.close()
 
 
-def _open(path: str):
+def _store(path: str) -> tuple[fs.FileSystem, str]:
     uri = "file://" + path.removeprefix("file:") if path.startswith("file:/") and not path.startswith("file://") else path
-    store, inner = fs.FileSystem.from_uri(uri)
+    return fs.FileSystem.from_uri(uri)
+
+
+def _open(path: str):
+    store, inner = _store(path)
     return store.open_input_file(inner)
 
 
-def _parse(record: memoryview, path: str, offset: int) -> tuple:
-    raw = bytes(record)
+def _create(path: str):
+    store, inner = _store(path)
+    store.create_dir(inner.rsplit("/", 1)[0], recursive=True)
+    # members are compressed one by one, not the file as its name suggests
+    return store.open_output_stream(inner, compression=None)
+
+
+def _parse(raw: bytes, path: str, offset: int) -> tuple:
     head, _, block = raw.partition(b"\r\n\r\n")
     lines = head.decode("utf-8").split("\r\n")
     fields = dict(line.split(": ", 1) if ": " in line else (line.rstrip(":"), "") for line in lines[1:])
     block = block[: int(fields["Content-Length"])]
-    if not lines[0].startswith("WARC/") or not raw.endswith(RECORD_END.encode()):
+    if not lines[0].startswith("WARC/") or not raw.endswith(RECORD_END):
         raise ValueError(f"no record at {path}:{offset}")
     body = block.partition(b"\r\n\r\n")[2]
     digest = fields["WARC-Payload-Digest"].removeprefix("sha1:")
