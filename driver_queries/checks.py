@@ -169,3 +169,24 @@ def conformance_integers(spark, sf_dir):
     number = F.when(key % 3 == 0, 3e9).when(key % 3 == 1, 2.7).otherwise(12.0)
     orders = table(spark, sf_dir, "orders").select(text.alias("whole"), number.alias("broken"))
     return conformance(orders, [DeclaredColumn("whole", "INT"), DeclaredColumn("broken", "INT")], mode="partial")
+
+
+_LONG_TEXT = """'12345678901234567890' || lpad(CAST(o_orderkey AS VARCHAR), 18, '0') || CASE WHEN o_orderkey % 5 = 0 THEN '.5'
+    WHEN o_orderkey % 7 = 0 THEN '1' WHEN o_orderkey % 3 = 0 THEN '.000' ELSE '' END"""
+
+
+@query(f"""WITH t AS (SELECT {_LONG_TEXT} AS n, o_orderkey FROM orders),
+    bad AS (SELECT count(*) FILTER (n LIKE '%.5' OR length(n) = 39) AS wide,
+      count(*) FILTER (o_orderkey % 11 = 0) AS fraction FROM t)
+    SELECT 'n' AS column_name, 'TYPE_MISMATCH' AS issue, 'NUMBER(38,0)' AS declared_type, 'VARCHAR' AS actual_type, NULL::BIGINT AS bad_rows
+    UNION ALL SELECT 'n', 'BAD_VALUE', 'NUMBER(38,0)', 'VARCHAR', wide FROM bad
+    UNION ALL SELECT 'm', 'TYPE_MISMATCH', 'NUMBER(30,8)', 'VARCHAR', NULL
+    UNION ALL SELECT 'm', 'BAD_VALUE', 'NUMBER(30,8)', 'VARCHAR', fraction FROM bad""")
+def conformance_long_numbers(spark, sf_dir):
+    """Text of up to 39 digits, with and without a fraction, declared as numbers."""
+    key = F.col("o_orderkey")
+    digits = F.concat(F.lit("12345678901234567890"), F.lpad(key.cast("string"), 18, "0"))
+    long = F.concat(digits, F.when(key % 5 == 0, ".5").when(key % 7 == 0, "1").when(key % 3 == 0, ".000").otherwise(""))
+    places = F.concat(F.substring(digits, 1, 21), F.lit(".12345678"), F.when(key % 11 == 0, "9").otherwise("00"))
+    rows = table(spark, sf_dir, "orders").select(long.alias("n"), places.alias("m"))
+    return conformance(rows, [DeclaredColumn("n", "NUMBER(38,0)"), DeclaredColumn("m", "NUMBER(30,8)")])

@@ -22,7 +22,7 @@ from tallymark.operators.mapping import apply_mapping
 from tallymark.plans.reconcile import reconcile
 from tallymark.plans.report import compare_and_report, write_report
 from tallymark.plans.validation import ValidationJob, run_validation
-from tallymark.sources.files import read_csv, read_diff, write_csv
+from tallymark.sources.files import KeyRange, read_csv, read_diff, schema_path, write_csv
 from tallymark.sources.scratch import scratch_path
 from tallymark.sources.servers import extract_servers, load_servers, union_servers
 from tallymark.spec import ServerSource
@@ -104,3 +104,29 @@ def validation_run(spark, sf_dir):
         date_range={"mode": "range", "date_from": "1994-01-01", "from_col": "ORDER_DAY"},
     )
     return run_validation(spark, job).result.diff
+
+
+@query("""SELECT c_custkey, 'C:\\new\\red' || '\\' || c_name AS folder, CASE WHEN c_custkey % 5 = 0 THEN '' ELSE '\\N' || c_custkey END AS code,
+    'q"' || c_name || '"' AS quoted FROM customer""")
+def csv_foreign(spark, sf_dir):
+    """CSV that others wrote, with a schema beside it and no manifest: its backslashes are its own."""
+    path = scratch_path(spark, "csv")
+    key = F.col("c_custkey")
+    rows = table(spark, sf_dir, "customer").select(
+        key,
+        F.concat(F.lit("C:\\new\\red\\"), "c_name").alias("folder"),
+        F.when(key % 5 == 0, "").otherwise(F.concat(F.lit("\\N"), key)).alias("code"),
+        F.concat(F.lit('q"'), "c_name", F.lit('"')).alias("quoted"),
+    )
+    rows.write.options(header="true", escape='"', emptyValue='""').csv(path)
+    spark.createDataFrame([(rows.schema.json(),)], "schema string").coalesce(1).write.text(schema_path(path))
+    return read_csv(spark, path)
+
+
+@query("SELECT * FROM orders WHERE o_orderkey BETWEEN 1000 AND 2500")
+def csv_key_range(spark, sf_dir):
+    """A range of keys from a CSV folder: the manifest says which files can hold them."""
+    path = scratch_path(spark, "csv")
+    orders = table(spark, sf_dir, "orders").repartitionByRange(8, "o_orderkey")
+    write_csv(orders, path, ranges=["o_orderkey"])
+    return read_csv(spark, path, verify="rows", key_range=KeyRange("O_ORDERKEY", 1000, 2500))

@@ -73,7 +73,8 @@ def canonical_text(c: Column, dtype: T.DataType, scale: int | None) -> Column:
         return F.coalesce(_strip_zeros(_plain(fixed, places), places), number.cast("string"))
     text = F.trim(c.cast("string"))
     if scale is not None:
-        text = F.regexp_replace(F.regexp_replace(text, r"(\d+\.\d*?)0+$", "$1"), r"\.$", "")
+        # only where a digit and a point precede the zeros: those of a whole number count
+        text = F.when(F.rlike(text, F.lit("[0-9][.][0-9]*$")), _strip_zeros(text, scale or 1)).otherwise(text)
         text = F.when(text == "-0", F.lit("0")).otherwise(text)
     if isinstance(dtype, (T.BooleanType, T.DateType, *_TIMES)):
         return text

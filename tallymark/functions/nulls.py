@@ -23,23 +23,23 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-# Notes that state a default, the first that fits wins.
-NOTE_DEFAULTS = (
-    r"default\s+(?P<v>\S+)\s+if\s+null",
-    r"(?P<v>unspecified)\s+if\s+null",
-    r"default\s+'(?P<v>[^']+)'",
-    r"default\s+(?P<v>\S+)",
-)
+_NOTE_TOKEN = re.compile(r"'[^']+'|[^\s']\S*")
 
 
 def handling_from_notes(notes: str) -> str:
-    """``fill:<v>`` where a free-text note states a default, else ``""``."""
-    for pattern in NOTE_DEFAULTS:
-        hit = re.search(pattern, notes or "", re.IGNORECASE)
-        if hit:
-            value = hit.group("v")
-            return "fill:" + (value.upper() if value.lower() == "unspecified" else value)
-    return ""
+    """``fill:<v>`` where a free-text note states a default, else ``""``.
+
+    A note states one by the word DEFAULT before a value, which may be quoted,
+    or by UNSPECIFIED IF NULL. A value that IF NULL follows comes before others.
+    """
+    words = _NOTE_TOKEN.findall(notes or "")
+    upper = [w.upper() for w in words]
+    stated = [i + 1 for i, w in enumerate(upper[:-1]) if w == "DEFAULT"]
+    conditional = [i for i, pair in enumerate(zip(upper[1:], upper[2:])) if pair == ("IF", "NULL")]
+    for i in conditional:
+        if i in stated or upper[i] == "UNSPECIFIED":
+            return "fill:" + ("UNSPECIFIED" if upper[i] == "UNSPECIFIED" else words[i].strip("'"))
+    return "fill:" + words[stated[0]].strip("'") if stated else ""
 
 
 def effective_handling(column_map) -> str:

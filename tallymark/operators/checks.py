@@ -200,9 +200,17 @@ def _holds(c: Column, own: DataType, wanted: DataType) -> Column:
     if isinstance(own, (DoubleType, FloatType)):
         # a double holds decimals only nearly
         return fits & F.coalesce(F.abs(cast.cast("double") - c) < 1e-6, F.lit(False))
-    if isinstance(own, (StringType, DecimalType)):
-        exact = safe_cast(c, "decimal(38,18)") if isinstance(own, StringType) else c
-        return fits & F.coalesce(cast == exact, F.lit(False))
+    if isinstance(own, StringType):
+        # plain digits are judged by their text, however many there are; other spellings of numbers by their value
+        text = F.trim(c)
+        scale = wanted.scale if isinstance(wanted, DecimalType) else 0
+        fraction = F.regexp_extract(text, "[.]([0-9]*)$", 1)
+        cut_off = F.rtrim(F.substring(fraction, scale + 1, 1 << 20), F.lit("0"))
+        plain = F.rlike(text, F.lit("^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)$"))
+        whole = F.when(plain, cut_off == "").otherwise(F.coalesce(cast == safe_cast(c, "decimal(38,18)"), F.lit(False)))
+        return fits & whole
+    if isinstance(own, DecimalType):
+        return fits & F.coalesce(cast == c, F.lit(False))
     return fits
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from tallymark.functions import rules as R
 from tallymark.plans.validation import ValidationJob, run_validation
-from tallymark.sources.files import read_csv, read_schema, write_csv, write_parquet, read_parquet
+from tallymark.sources.files import ExtractChanged, KeyRange, read_csv, read_parquet, read_schema, write_csv, write_parquet
 from tallymark.sources.jdbc import jdbc_options, partition_bounds, scan_options
 from tallymark.sources.scratch import scratch_path, stash
 from tallymark.sources.servers import extract_servers, load_servers, server_disagreements, union_servers
@@ -215,3 +215,69 @@ def test_partition_from_bounds(spark):
     assert scan_partition(spark.range(3, 10), "ID", 4) == ("id", 3, 9, 4)
     assert scan_partition(spark.range(0), "id", 4) is None
     assert scan_partition(spark.sql("select cast(null as bigint) id"), "id", 4) is None
+
+
+def test_files_of_others_keep_their_backslashes(spark, tmp_path):
+    path = str(tmp_path / "foreign")
+    rows_ = [("C:\\new\\red", 1), ("C:\\src", 2), ("a\\sb", 3)]
+    df = spark.createDataFrame(rows_, "t string, n int")
+    df.write.options(header="true", escape='"').csv(path)
+    assert rows(read_csv(spark, path, df.schema)) == sorted(rows_, key=repr)
+    own = str(tmp_path / "own")
+    write_csv(df, own)
+    assert rows(read_csv(spark, own)) == rows(read_csv(spark, own, null_token="NULL")) == sorted(rows_, key=repr)
+
+
+def test_a_changed_extract_is_refused(spark, tmp_path):
+    path = tmp_path / "extract"
+    write_csv(spark.range(3000).repartition(3), str(path), rows_per_file=500)
+    assert read_csv(spark, str(path), verify="rows").count() == 3000
+    part = sorted(path.glob("part-*.csv"))[0]
+    (path / f".{part.name}.crc").unlink()  # the local file system's own checksum
+    kept = part.read_text()
+    part.unlink()
+    with pytest.raises(ExtractChanged, match="is missing"):
+        read_csv(spark, str(path))
+    assert read_csv(spark, str(path), verify="off").count() < 3000
+    lines = kept.splitlines()
+    part.write_text("\n".join(lines[:-1]) + "\n")
+    with pytest.raises(ExtractChanged, match="another size"):
+        read_csv(spark, str(path))
+    # the same size, another row
+    digit = "9" if lines[-1][-1] != "9" else "8"
+    part.write_text("\n".join([*lines[:-1], lines[-1][:-1] + digit]) + "\n")
+    read_csv(spark, str(path))
+    with pytest.raises(ExtractChanged, match="other rows"):
+        read_csv(spark, str(path), verify="rows")
+    part.write_text(kept)
+    (path / "part-99999.csv").write_text("id\n5\n")
+    with pytest.raises(ExtractChanged, match="is unknown"):
+        read_csv(spark, str(path))
+
+
+def test_ranges_leave_files_unread(spark, tmp_path):
+    path = str(tmp_path / "ranged")
+    data = spark.range(4000).select("id", F.when(F.col("id") % 9 > 0, F.concat(F.lit("n"), "id")).alias("name"))
+    write_csv(data.repartitionByRange(8, "id"), path, ranges=["ID", "name"])
+    some = read_csv(spark, path, key_range=KeyRange("id", 100, 180))
+    assert sorted(r["id"] for r in some.collect()) == list(range(100, 181)) and len(some.inputFiles()) == 1
+    assert len(read_csv(spark, path).inputFiles()) == 8
+    assert read_csv(spark, path, key_range=KeyRange("id", least=3990)).count() == 10
+    assert read_csv(spark, path, key_range=KeyRange("id", 90000)).count() == 0
+    assert read_csv(spark, path, key_range=KeyRange("name", "n17", "n17")).count() == 1
+    # a column without ranges is filtered row by row
+    plain = str(tmp_path / "plain")
+    write_csv(data, plain)
+    assert read_csv(spark, plain, key_range=KeyRange("id", 5, 6)).count() == 2
+
+
+def test_appended_and_empty_extracts(spark, tmp_path):
+    path = str(tmp_path / "more")
+    write_csv(spark.range(5), path)
+    write_csv(spark.range(7), path, mode="append")
+    assert read_csv(spark, path, verify="rows").count() == 12
+    nothing = str(tmp_path / "none")
+    write_csv(spark.range(0), nothing)
+    assert read_csv(spark, nothing, verify="rows").collect() == []
+    with pytest.raises(ValueError, match="verify"):
+        read_csv(spark, path, verify="all")
