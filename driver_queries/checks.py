@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from driver_queries.registry import TARGET_SQL, orders_target, query, table
 from tallymark.operators.aggregates import group_rule
-from tallymark.operators.checks import conformance, key_uniqueness, null_check, row_count_check
+from tallymark.operators.checks import conformance, key_uniqueness, null_check, row_count_check, table_checks
 from tallymark.operators.filters import date_window, pk_filter, preview, where
-from tallymark.sources.jdbc import partition_bounds
+from tallymark.sources.jdbc import partition_bounds, scan_predicates
 from tallymark.sources.scratch import stash
 from tallymark.spec import DeclaredColumn
 
@@ -190,3 +190,46 @@ def conformance_long_numbers(spark, sf_dir):
     places = F.concat(F.substring(digits, 1, 21), F.lit(".12345678"), F.when(key % 11 == 0, "9").otherwise("00"))
     rows = table(spark, sf_dir, "orders").select(long.alias("n"), places.alias("m"))
     return conformance(rows, [DeclaredColumn("n", "NUMBER(38,0)"), DeclaredColumn("m", "NUMBER(30,8)")])
+
+
+@query("SELECT count(*) AS row_count, 8::BIGINT AS scans, true AS balanced, count(*) FILTER (o_orderkey % 20 = 0) AS null_rows FROM orders")
+def scan_predicates_balanced(spark, sf_dir):
+    """A column with gaps, skew and NULLs parted into scans: every row meets one condition, all scans are of like size."""
+    key = F.col("o_orderkey")
+    rows = table(spark, sf_dir, "orders").select(F.when(key % 20 > 0, key * key * key % 1000003).alias("k"))
+    predicates = scan_predicates(rows, "K", 8)
+    met = rows.select("k", F.explode(F.array(*[
+        F.when(F.coalesce(F.expr(p), F.lit(False)), F.lit(i)) for i, p in enumerate(predicates)
+    ])).alias("scan")).filter("scan is not null")
+    sizes = met.groupBy("scan").agg(
+        F.count(F.lit(1)).alias("n"), F.count("k").alias("known"), F.count_if(F.col("k").isNull()).alias("nulls")
+    )
+    return sizes.agg(
+        F.sum("n").alias("row_count"), F.count(F.lit(1)).alias("scans"),
+        (F.max("known") <= 1.1 * F.min("known")).alias("balanced"), F.sum("nulls").alias("null_rows"),
+    )
+
+
+@query(f"""WITH t AS ({TARGET_SQL}), k AS (SELECT o_custkey, count(*) AS n FROM t GROUP BY o_custkey)
+    SELECT 'ROW_COUNT' AS "check", NULL AS column_name, NULL AS detail, count(*)::VARCHAR AS value FROM t
+    UNION ALL SELECT 'NULLS', 'o_orderstatus', NULL, count(*) FILTER (o_orderstatus IS NULL)::VARCHAR FROM t
+    UNION ALL SELECT 'NULLS', 'o_orderkey', NULL, count(*) FILTER (o_orderkey IS NULL)::VARCHAR FROM t
+    UNION ALL SELECT 'KEYS', 'o_custkey', NULL, count(*)::VARCHAR FROM k
+    UNION ALL SELECT 'DUPLICATE_KEYS', 'o_custkey', NULL, count(*) FILTER (n > 1)::VARCHAR FROM k
+    UNION ALL SELECT 'WIDEST_KEY', 'o_custkey', NULL, max(n)::VARCHAR FROM k
+    UNION ALL SELECT 'LEAST', 'o_orderkey', NULL, min(o_orderkey)::VARCHAR FROM t
+    UNION ALL SELECT 'GREATEST', 'o_orderkey', NULL, max(o_orderkey)::VARCHAR FROM t
+    UNION ALL SELECT 'NULL_VALUE', 'o_orderstatus', 'VARCHAR(1) / VARCHAR', count(*) FILTER (o_orderstatus IS NULL)::VARCHAR FROM t
+    UNION ALL SELECT 'TYPE_MISMATCH', 'o_totalprice', 'DECIMAL(7,2) / DOUBLE', NULL
+    UNION ALL SELECT 'BAD_VALUE', 'o_totalprice', 'DECIMAL(7,2) / DOUBLE', count(*) FILTER (abs(o_totalprice) >= 100000)::VARCHAR FROM t
+    UNION ALL SELECT 'TOO_LONG', 'o_orderpriority', 'VARCHAR(15) / VARCHAR', count(*) FILTER (length(o_orderpriority) > 15)::VARCHAR FROM t""")
+def table_checks_fused(spark, sf_dir):
+    """Row count, NULLs, key, bounds and declared types of one table in one scan."""
+    return table_checks(
+        orders_target(spark, sf_dir), required=["o_orderstatus", "O_ORDERKEY"], keys=["o_custkey"], bounds=["o_orderkey"],
+        declared=[
+            DeclaredColumn("o_orderkey", "BIGINT", nullable=False), DeclaredColumn("o_orderstatus", "VARCHAR(1)", nullable=False),
+            DeclaredColumn("o_totalprice", "DECIMAL(7,2)"), DeclaredColumn("o_orderpriority", "VARCHAR(15)"),
+        ],
+        mode="partial",
+    )

@@ -126,3 +126,20 @@ def join_fanout_by_key(spark, sf_dir):
 def join_fanout_summary(spark, sf_dir):
     customer, orders = table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders")
     return fanout_summary(join_fanout(customer, orders, [("c_custkey", "o_custkey")]))
+
+
+@query("""SELECT o_orderkey, CAST(o_custkey AS DECIMAL(21,2)) AS o_custkey, CAST(o_totalprice AS DOUBLE) AS o_totalprice,
+    CASE WHEN o_orderkey % 3 = 1 THEN date_trunc('day', o_orderdate)::TIMESTAMP ELSE o_orderdate END AS o_orderdate,
+    CASE WHEN o_orderkey % 3 = 2 THEN CAST(o_orderkey % 100 AS VARCHAR) ELSE o_orderpriority END AS o_orderpriority,
+    's' || CAST(o_orderkey % 3 AS VARCHAR) AS _source_server FROM orders""")
+def union_servers_widened(spark, sf_dir):
+    """Three servers that type their columns differently: whole, decimal and double numbers, days and times, text."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
+    of = {i: orders.filter(F.col("o_orderkey") % 3 == i) for i in range(3)}
+    return union_servers({
+        "s0": of[0].withColumn("o_custkey", F.col("o_custkey").cast("int")),
+        "s1": of[1].withColumns({
+            "o_custkey": F.col("o_custkey").cast("decimal(12,2)"), "o_orderdate": F.col("o_orderdate").cast("date"),
+        }),
+        "s2": of[2].withColumn("o_orderpriority", (F.col("o_orderkey") % 100).cast("int")),
+    }, widen_types=True)

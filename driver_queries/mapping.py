@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from dataclasses import replace
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from driver_queries.registry import TARGET_SQL, orders_target, query, table
 from tallymark.functions import rules as R
 from tallymark.operators.mapping import apply_column_rules, apply_mapping, conform_columns, select_partial
+from tallymark.operators.rejects import split_rejects
+from tallymark.operators.vectorised import ArrowRule, apply_arrow_rules
 from tallymark.spec import ColumnMap, GlobalRule, LookupJoin, TableMap
 
 
@@ -308,3 +312,62 @@ def map_cast_text(spark, sf_dir):
         F.when(F.col("o_orderkey") % 2 == 0, "1.5.2").otherwise(F.concat(F.lit(" -"), number, F.lit(". "))).alias("b"),
     )
     return _rules(orders, "o_orderkey", {"whole": R.cast("bigint", "a"), "mixed": R.cast("bigint", "b")})
+
+
+_RAW_SQL = """SELECT o_orderkey, CASE WHEN o_orderkey % 9 = 0 THEN 'n/a' WHEN o_orderkey % 10 = 0 THEN NULL ELSE CAST(o_custkey AS VARCHAR) END AS customer,
+    CASE WHEN o_orderkey % 7 = 0 THEN '31.02.1996' ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS day,
+    CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE o_orderstatus END AS status FROM orders"""
+
+
+def _raw_orders(spark, sf_dir):
+    key = F.col("o_orderkey")
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.when(key % 9 == 0, "n/a").when(key % 10 != 0, F.col("o_custkey").cast("string")).alias("customer"),
+        F.when(key % 7 == 0, "31.02.1996").otherwise(F.col("o_orderdate").cast("date").cast("string")).alias("day"),
+        F.when(key % 4 != 0, F.col("o_orderstatus")).alias("status"),
+    )
+
+
+_REJECT_MAP = TableMap([
+    ColumnMap("ORDER_KEY", "o_orderkey", key=True),
+    ColumnMap("CUSTOMER", "customer", R.cast("bigint"), "NUMBER(19,0)", null_handling="error"),
+    ColumnMap("DAY", "day", R.cast("date"), "DATE"),
+    ColumnMap("STATUS", "status", null_handling="fill:N"),
+])
+
+
+@query(f"""WITH r AS ({_RAW_SQL})
+    SELECT CAST(o_orderkey AS VARCHAR) AS "ORDER_KEY", 'CUSTOMER' AS column_name, 'BAD_CAST' AS reason, customer AS raw_text FROM r WHERE customer = 'n/a'
+    UNION ALL SELECT CAST(o_orderkey AS VARCHAR), 'CUSTOMER', 'NULL_VALUE', NULL FROM r WHERE customer IS NULL
+    UNION ALL SELECT CAST(o_orderkey AS VARCHAR), 'DAY', 'BAD_CAST', day FROM r WHERE day = '31.02.1996'""")
+def rejects_table(spark, sf_dir):
+    """Values that a cast loses and NULLs where there may be none, each with its key, column, reason and raw text."""
+    return split_rejects(_raw_orders(spark, sf_dir), _REJECT_MAP).rejects
+
+
+@query(f"""SELECT o_orderkey AS "ORDER_KEY", CAST(customer AS BIGINT) AS "CUSTOMER", CAST(day AS DATE) AS "DAY", coalesce(status, 'N') AS "STATUS"
+    FROM ({_RAW_SQL}) r WHERE customer <> 'n/a' AND day <> '31.02.1996'""")
+def rejects_good(spark, sf_dir):
+    """The rows that go on."""
+    return split_rejects(_raw_orders(spark, sf_dir), _REJECT_MAP).good
+
+
+@query(f"""WITH t AS ({TARGET_SQL}), d AS (
+      SELECT o_orderkey, sum(CAST(digit AS BIGINT))::BIGINT AS digits
+      FROM (SELECT o_orderkey, unnest(string_split(CAST(o_custkey AS VARCHAR), '')) AS digit FROM t) u GROUP BY o_orderkey)
+    SELECT t.o_orderkey, digits, coalesce(o_orderstatus, '?') || ':' || o_orderpriority AS label FROM t JOIN d USING (o_orderkey)""")
+def arrow_rules(spark, sf_dir):
+    """Two rules as Arrow functions, one over numbers and one over text with NULLs, in one stage."""
+    rows = orders_target(spark, sf_dir).select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+
+    def digit_sum(numbers):
+        return pa.array([sum(map(int, str(n))) for n in numbers.to_pylist()], pa.int64())
+
+    def label(status, priority):
+        return pc.binary_join_element_wise(pc.fill_null(status, "?"), priority, ":")
+
+    ruled = apply_arrow_rules(rows, [
+        ArrowRule("digits", ["o_custkey"], "bigint", digit_sum),
+        ArrowRule("label", ["o_orderstatus", "o_orderpriority"], "string", label, nulls="pass"),
+    ])
+    return ruled.select("o_orderkey", "digits", "label")

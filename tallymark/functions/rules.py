@@ -10,7 +10,7 @@ from __future__ import annotations
 import operator
 import re
 from collections.abc import Callable, Iterable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -65,6 +65,7 @@ class Rule:
     build: Callable[[str], Column]
     uses: tuple[str, ...] | None = ()
     is_constant: bool = False
+    is_cast: bool = False
 
     def reads(self, this: str) -> set[str] | None:
         """Lower-case names the rule reads when it maps column ``this``."""
@@ -253,7 +254,7 @@ def ifnull(default, name: str = VAL) -> Rule:
 def cast(type_name: str, name: str = VAL) -> Rule:
     """Cast; a value that does not fit becomes NULL, whatever the session's ANSI setting."""
     spark_type = CAST_TYPES.get(type_name.strip().lower(), type_name)
-    return _of(name, lambda c: safe_cast(c, spark_type))
+    return replace(_of(name, lambda c: safe_cast(c, spark_type)), is_cast=True)
 
 
 def column(name: str = VAL) -> Rule:

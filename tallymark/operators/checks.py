@@ -154,8 +154,26 @@ def conformance(df: DataFrame, declared: Sequence[DeclaredColumn], mode: str = "
     TOO_LONG exceeds the declared length, NULL_VALUE is a NULL in a column
     declared to have none.
     """
-    fields = {f.name.lower(): f for f in df.schema.fields}
-    issues = [(*found, F.lit(None)) for found in schema_issues(df.schema, declared, mode)]
+    issues, counts = _conformance_counts(df.schema, declared, mode)
+    # with nothing to count no row is read
+    found = df.agg(*counts) if counts else df.limit(0).agg(F.count(F.lit(1)))
+    structs = [
+        F.struct(
+            F.lit(name).alias("column_name"),
+            F.lit(issue).alias("issue"),
+            F.lit(wanted).cast("string").alias("declared_type"),
+            F.lit(actual).cast("string").alias("actual_type"),
+            rows.cast("bigint").alias("bad_rows"),
+        )
+        for name, issue, wanted, actual, rows in issues or [("", "", None, None, F.lit(0))]
+    ]
+    return _rows(found, structs).filter("bad_rows is null or bad_rows > 0")
+
+
+def _conformance_counts(schema: StructType, declared: Sequence[DeclaredColumn], mode: str) -> tuple[list[tuple], list[Column]]:
+    """The issues with the column that will hold each one's count, and the aggregates that count them."""
+    fields = {f.name.lower(): f for f in schema.fields}
+    issues = [(*found, F.lit(None)) for found in schema_issues(schema, declared, mode)]
     counts: list[Column] = []
 
     def count(d: DeclaredColumn, issue: str, actual: str, test: Column) -> None:
@@ -176,19 +194,7 @@ def conformance(df: DataFrame, declared: Sequence[DeclaredColumn], mode: str = "
             count(d, "TOO_LONG", actual, F.char_length(c.cast("string")) > length)
         if not d.nullable:
             count(d, "NULL_VALUE", actual, c.isNull())
-    # with nothing to count no row is read
-    found = df.agg(*counts) if counts else df.limit(0).agg(F.count(F.lit(1)))
-    structs = [
-        F.struct(
-            F.lit(name).alias("column_name"),
-            F.lit(issue).alias("issue"),
-            F.lit(wanted).cast("string").alias("declared_type"),
-            F.lit(actual).cast("string").alias("actual_type"),
-            rows.cast("bigint").alias("bad_rows"),
-        )
-        for name, issue, wanted, actual, rows in issues or [("", "", None, None, F.lit(0))]
-    ]
-    return _rows(found, structs).filter("bad_rows is null or bad_rows > 0")
+    return issues, counts
 
 
 def _holds(c: Column, own: DataType, wanted: DataType) -> Column:
@@ -216,3 +222,57 @@ def _holds(c: Column, own: DataType, wanted: DataType) -> Column:
 
 def _rows(one_row: DataFrame, structs: Sequence[Column]) -> DataFrame:
     return one_row.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
+
+
+def table_checks(
+    df: DataFrame,
+    required: Sequence[str] = (),
+    keys: Sequence[str] = (),
+    bounds: Sequence[str] = (),
+    declared: Sequence[DeclaredColumn] = (),
+    mode: str = "full",
+) -> DataFrame:
+    """All checks of one table in one scan: ``check``, ``column_name``, ``detail`` and ``value`` (text, or NULL).
+
+    ROW_COUNT; NULLS of each required column; KEYS, DUPLICATE_KEYS and
+    WIDEST_KEY of the key; LEAST and GREATEST of each of ``bounds``; and the
+    issues of :func:`conformance`. With a key, rows are first folded by it, each
+    with the other checks' partial results, which is the only shuffle of more
+    than one row a task; without one nothing but one row a task moves.
+    """
+    names = [find(df.columns, c, "required column") for c in required]
+    ranged = [find(df.columns, c, "bounds column") for c in bounds]
+    keyed = [find(df.columns, k, "key") for k in keys]
+    issues, counts = _conformance_counts(df.schema, declared, mode) if declared else ([], [])
+    sums = {"rows": F.count(F.lit(1))}
+    sums |= {f"null{i}": F.count_if(col(n).isNull()) for i, n in enumerate(names)}
+    sums |= {f"n{i}": c for i, c in enumerate(counts)}
+    ends = {f"least{i}": (F.min, n) for i, n in enumerate(ranged)} | {f"most{i}": (F.max, n) for i, n in enumerate(ranged)}
+    # a folded column may not be called like a key
+    own = {c: f"_tm_{c}" for c in (*sums, *ends)}
+    first = [*[c.alias(own[k]) for k, c in sums.items()], *[fn(col(n)).alias(own[k]) for k, (fn, n) in ends.items()]]
+    key_aggregates = []
+    if keyed:
+        df = df.groupBy(*[col(k).alias(f"_tm_key{i}") for i, k in enumerate(keyed)]).agg(*first)
+        first = [*[F.coalesce(F.sum(own[k]), F.lit(0)).alias(own[k]) for k in sums], *[fn(own[k]).alias(own[k]) for k, (fn, _) in ends.items()]]
+        key_aggregates = [
+            F.count(F.lit(1)).alias("keys"), F.count_if(col(own["rows"]) > 1).alias("repeated"),
+            F.coalesce(F.max(own["rows"]), F.lit(0)).alias("widest"),
+        ]
+    one = df.agg(*first, *key_aggregates)
+    found = one.select(*[col(own[c]).alias(c) for c in own], *(["keys", "repeated", "widest"] if keyed else []))
+    lines = [("ROW_COUNT", None, None, col("rows"))]
+    lines += [("NULLS", n, None, col(f"null{i}")) for i, n in enumerate(names)]
+    lines += [(c, ",".join(keyed), None, col(v)) for c, v in (("KEYS", "keys"), ("DUPLICATE_KEYS", "repeated"), ("WIDEST_KEY", "widest")) if keyed]
+    lines += [line for i, n in enumerate(ranged) for line in (("LEAST", n, None, col(f"least{i}")), ("GREATEST", n, None, col(f"most{i}")))]
+    lines += [(issue, name, f"{wanted or ''} / {actual or ''}", rows) for name, issue, wanted, actual, rows in issues]
+    optional = {issue for _, issue, *_ in issues}
+    rows = _rows(found, [
+        F.struct(
+            F.lit(check).alias("check"), F.lit(name).cast("string").alias("column_name"), F.lit(detail).cast("string").alias("detail"),
+            value.cast("string").alias("value"),
+        )
+        for check, name, detail, value in lines
+    ])
+    # an issue that no row has is none
+    return rows.filter(~(col("check").isin(*optional) & (col("value").eqNullSafe("0")))) if optional else rows

@@ -6,7 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark.functions.names import col
@@ -29,7 +29,8 @@ class ValidationJob:
     :func:`date_window` and :func:`pk_filter` by name; they apply to both sides,
     under the target's column names. ``on_issue="fail"`` makes departures from
     the declarations decide the exit code. ``null_check`` is that of
-    :func:`apply_mapping`; ``count`` is one job for all servers.
+    :func:`apply_mapping`; ``count`` counts them as the comparison reads the rows,
+    and raises after it.
     """
 
     servers: Sequence[ServerSource]
@@ -61,8 +62,8 @@ class ValidationOutcome:
     exit_code: int
 
 
-def mapped_source(loaded: Mapping[str, DataFrame], job: ValidationJob) -> DataFrame:
-    """All servers' rows in the target's shape, tagged with their server."""
+def mapped_source(loaded: Mapping[str, DataFrame], job: ValidationJob) -> tuple[DataFrame, NullWatch]:
+    """All servers' rows in the target's shape, tagged with their server, and the watch over their NULLs."""
     maps = {n: select_partial(job.maps[n], job.partial) if job.partial else job.maps[n] for n in loaded}
     per_server = "off" if job.null_check == "count" else job.null_check
     mapped = {n: apply_mapping(df, maps[n], per_server) for n, df in loaded.items()}
@@ -70,23 +71,33 @@ def mapped_source(loaded: Mapping[str, DataFrame], job: ValidationJob) -> DataFr
     if problems:
         raise ValueError("servers disagree: " + "; ".join(problems))
     united = union_servers(mapped)
-    if job.null_check == "count":
-        _require_no_nulls(united, {n: m.required for n, m in maps.items()})
-    return _filtered(united, job)
+    watched = NullWatch({n: m.required for n, m in maps.items()} if job.null_check == "count" else {})
+    return _filtered(watched.over(united), job), watched
 
 
-def _require_no_nulls(united: DataFrame, required: Mapping[str, Sequence[str]]) -> None:
-    """One count for each server and each column that one of them requires."""
-    names = sorted({c for columns in required.values() for c in columns})
-    if not names:
-        return
-    counts = united.groupBy(SERVER_COLUMN).agg(*[F.count_if(col(c).isNull()).alias(c) for c in names])
-    found = {
-        f"{r[SERVER_COLUMN]}.{c}": r[c]
-        for r in counts.collect() for c in required[r[SERVER_COLUMN]] if r[c]
-    }
-    if found:
-        raise NullsFound(found)
+class NullWatch:
+    """Counts NULLs in what each server requires while the rows pass on their way into the comparison."""
+
+    def __init__(self, required: Mapping[str, Sequence[str]]):
+        self.asked = [(server, c) for server, columns in required.items() for c in columns]
+        self.observation = Observation("nulls")
+
+    def over(self, united: DataFrame) -> DataFrame:
+        if not self.asked:
+            return united
+        return united.observe(self.observation, *[
+            F.count_if((col(SERVER_COLUMN) == server) & col(c).isNull()).alias(f"n{i}")
+            for i, (server, c) in enumerate(self.asked)
+        ])
+
+    def require_none(self) -> None:
+        """To be called once a job has read all rows."""
+        if not self.asked:
+            return
+        counts = self.observation.get
+        found = {f"{server}.{c}": counts[f"n{i}"] for i, (server, c) in enumerate(self.asked) if counts[f"n{i}"]}
+        if found:
+            raise NullsFound(found)
 
 
 def _load(spark: SparkSession, job: ValidationJob) -> tuple[dict[str, DataFrame], dict[str, str]]:
@@ -111,7 +122,7 @@ def run_validation(spark: SparkSession, job: ValidationJob) -> ValidationOutcome
     if not loaded:
         return ValidationOutcome(None, None, {}, failures, EXIT_ISSUES)
     source_issues = {n: conformance(loaded[n], d, "partial") for n, d in job.source_declared.items() if n in loaded}
-    source = mapped_source(loaded, job)
+    source, nulls = mapped_source(loaded, job)
     target = job.target(spark)
     issues = conformance(target, job.declared) if job.declared else None
     target = _filtered(target, job)
@@ -120,6 +131,11 @@ def run_validation(spark: SparkSession, job: ValidationJob) -> ValidationOutcome
     forced = {c: t for m in job.maps.values() for c, t in m.forced_types.items()}
     options = {"force_types": forced, **job.options}
     result = reconcile(source, target, job.keys, job.columns, job.exclude, **options)
+    try:
+        nulls.require_none()
+    except NullsFound:
+        result.release()
+        raise
     if job.report_path:
         write_report(result.diff, job.report_path)
     checks = [*source_issues.values(), *([] if issues is None else [issues])]

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from datetime import date, datetime
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallymark.functions.names import col, find
 
@@ -71,9 +74,23 @@ def scan_options(
 
 
 def read_jdbc(
-    spark: SparkSession, options: Mapping[str, str], query: str, partition: tuple | None = None
+    spark: SparkSession,
+    options: Mapping[str, str],
+    query: str,
+    partition: tuple | None = None,
+    predicates: Sequence[str] = (),
 ) -> DataFrame:
-    """Run a query in the database. Filters and column choices made on the result are pushed down."""
+    """Run a query in the database. Filters and column choices made on the result are pushed down.
+
+    ``partition`` splits it into scans of equal width, ``predicates`` (see
+    :func:`scan_predicates`) into one scan for each condition.
+    """
+    if predicates and partition is not None:
+        raise ValueError("give a partition or predicates, not both")
+    if predicates:
+        scan = scan_options(options, query)
+        table = f"({scan.pop('query')}) AS scan_query"
+        return spark.read.jdbc(scan.pop("url"), table, predicates=list(predicates), properties=scan)
     return spark.read.format("jdbc").options(**scan_options(options, query, partition)).load()
 
 
@@ -88,3 +105,40 @@ def scan_partition(df: DataFrame, name: str, count: int) -> tuple | None:
     and the number of partitions. None for an empty table or a column that holds only NULL: one scan will do."""
     lower, upper = partition_bounds(df, name).first()
     return None if lower is None else (find(df.columns, name, "partition column"), lower, upper, count)
+
+
+_SKETCHED = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def scan_predicates(df: DataFrame, name: str, count: int, accuracy: int = 10_000) -> list[str]:
+    """SQL conditions that part a scan of ``df`` by a column into up to ``count`` scans of about equally many rows.
+
+    Their bounds come from a quantile sketch, so that gaps and skew in the
+    column do not leave scans empty. A value that alone fills several shares
+    gives fewer scans; NULLs go with the first. Each row meets just one condition.
+    ``accuracy`` bounds the error of a share: one part in so many.
+    """
+    if count < 1:
+        raise ValueError("the number of scans must be at least 1")
+    name = find(df.columns, name, "partition column")
+    kind = df.schema[name].dataType
+    if not isinstance(kind, _SKETCHED):
+        raise ValueError(f"{name}: no quantiles of {kind.simpleString()}")
+    shares = [i / count for i in range(1, count)]
+    row = df.agg(F.percentile_approx(col(name), shares, max(accuracy, 100 * count)).alias("cuts")).first() if shares else None
+    cuts = sorted(set(row["cuts"] or [])) if row else []
+    if not cuts:
+        return ["1 = 1"]
+    ends = [_literal(c) for c in cuts]
+    between = [f"{name} >= {a} AND {name} < {b}" for a, b in zip(ends, ends[1:])]
+    return [f"{name} < {ends[0]} OR {name} IS NULL", *between, f"{name} >= {ends[-1]}"]
+
+
+def _literal(value) -> str:
+    if isinstance(value, (int, float, Decimal)):
+        return str(value)
+    if isinstance(value, datetime):
+        return f"'{value.isoformat(sep=' ')}'"
+    if isinstance(value, date):
+        return f"'{value.isoformat()}'"
+    raise ValueError(f"no literal for {value!r}")

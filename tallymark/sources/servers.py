@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallymark.operators.filters import where
 from tallymark.sources.files import read_csv, write_csv
+from tallymark.sources.widening import widen
 from tallymark.spec import ServerSource
 
 SERVER_COLUMN = "_source_server"
@@ -45,10 +46,12 @@ def tag_server(df: DataFrame, name: str) -> DataFrame:
     return df.withColumn(SERVER_COLUMN, F.lit(name))
 
 
-def union_servers(servers: Mapping[str, DataFrame], strict: bool = False) -> DataFrame:
+def union_servers(servers: Mapping[str, DataFrame], strict: bool = False, widen_types: bool = False) -> DataFrame:
     """Tag each server's rows and unite them by column name; a column one server lacks is NULL.
 
     ``strict=True`` first demands the same column names and types of all.
+    ``widen_types=True`` gives each column the least type that holds all servers'
+    values (see :mod:`tallymark.sources.widening`, which also tells what that loses).
     """
     if not servers:
         raise ValueError("no servers to unite")
@@ -56,6 +59,8 @@ def union_servers(servers: Mapping[str, DataFrame], strict: bool = False) -> Dat
         problems = server_disagreements(servers)
         if problems:
             raise ValueError("servers disagree: " + "; ".join(problems))
+    if widen_types:
+        servers = widen(servers)
     tagged = [tag_server(df, name) for name, df in servers.items()]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
 
