@@ -30,11 +30,14 @@ from tallymark.functions.names import col
 from tallymark.llm.arrow import with_computed
 from tallymark.llm.text import has_word, mix64, slices, texts, windows
 
-#: 16-bit lanes of the exact part and of the likeness part, and words in a run.
+#: 32-bit lanes of the exact part and of the likeness part, and words in a run. A lane of the likeness part is a sum of
+#: signed counts: it would wrap only past two billion runs.
 EXACT_LANES = 64
 NEAR_LANES = 128
 RUN = 3
 _KEPT_HASHES = 500_000
+#: Bytes of text in a range of ids that one task sorts.
+RANGE_BYTES = 16 << 20
 
 Fingerprint = tuple[np.ndarray, np.ndarray, int]
 
@@ -58,23 +61,23 @@ def paragraphs(text: str) -> list[str]:
 
 
 def _sum(counted: dict[str, int]) -> Fingerprint:
-    exact = np.zeros(EXACT_LANES, np.uint16)
+    exact = np.zeros(EXACT_LANES, np.uint32)
     runs, weights = [], []
     known = _hashes()
     for paragraph, n in counted.items():
         raw = paragraph.encode("utf-8", "surrogatepass")
-        exact += np.frombuffer(hashlib.shake_128(raw).digest(2 * EXACT_LANES), "<u2") * np.uint16(n & 0xFFFF)
+        exact += np.frombuffer(hashlib.shake_128(raw).digest(4 * EXACT_LANES), "<u4") * np.uint32(n & 0xFFFFFFFF)
         found = raw.split()
         hashed = np.fromiter(map(known.__getitem__, found), np.uint64, len(found))
         run = windows(hashed, min(RUN, len(hashed)))
         runs.append(run)
         weights.append(np.full(len(run), n, np.int64))
-    near = np.zeros(NEAR_LANES, np.uint16)
+    near = np.zeros(NEAR_LANES, np.uint32)
     if runs:
         mixed = mix64(np.concatenate(runs))
         signs = np.where(mixed >> np.uint64(63), 1, -1) * np.concatenate(weights)
         lanes = (mixed % np.uint64(NEAR_LANES)).astype(np.int64)
-        near = np.bincount(lanes, signs, NEAR_LANES).astype(np.int64).astype(np.uint16)
+        near = np.bincount(lanes, signs, NEAR_LANES).astype(np.int64).astype(np.uint32)
     return exact, near, sum(counted.values())
 
 
@@ -99,22 +102,22 @@ def likeness(a: Fingerprint, b: Fingerprint) -> float:
     """Estimated share of common word runs, 0 to 1: 1 for equal fingerprints, about 0 for texts without a common run."""
     if a[2] == b[2] and np.array_equal(a[0], b[0]):
         return 1.0
-    x, y = a[1].view(np.int16).astype(np.float64), b[1].view(np.int16).astype(np.float64)
+    x, y = a[1].view(np.int32).astype(np.float64), b[1].view(np.int32).astype(np.float64)
     size = float(x @ x + y @ y)
     return min(1.0, max(0.0, 2 * float(x @ y) / size)) if size else 0.0
 
 
 def written(of: Fingerprint) -> str:
     """The fingerprint as text: base64 of its lanes and its count, little-endian."""
-    raw = of[0].astype("<u2").tobytes() + of[1].astype("<u2").tobytes() + of[2].to_bytes(8, "little")
+    raw = of[0].astype("<u4").tobytes() + of[1].astype("<u4").tobytes() + of[2].to_bytes(8, "little")
     return base64.b64encode(raw).decode()
 
 
 def read(text: str) -> Fingerprint:
     raw = base64.b64decode(text)
-    cut, end = 2 * EXACT_LANES, 2 * (EXACT_LANES + NEAR_LANES)
+    cut, end = 4 * EXACT_LANES, 4 * (EXACT_LANES + NEAR_LANES)
     return (
-        np.frombuffer(raw[:cut], "<u2").copy(), np.frombuffer(raw[cut:end], "<u2").copy(),
+        np.frombuffer(raw[:cut], "<u4").copy(), np.frombuffer(raw[cut:end], "<u4").copy(),
         int.from_bytes(raw[end:], "little"),
     )
 
@@ -157,13 +160,14 @@ def compare_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Next is by descending id, NULL last, equal ids by text; after the last
     comes the first, and a table of one row is its own next. The ids are cut
-    into ranges, each sorted in one task; the first row of a range also goes to
+    into ranges of about ``RANGE_BYTES`` of text, each sorted in one task; the first row of a range also goes to
     the range before it. Ids should be whole numbers that identify documents:
     rows of equal id stay in one range. A NULL text is an empty one.
     """
     rows = docs.select(col(id_col).cast("bigint").alias("id"), F.coalesce(col(text_col).cast("string"), F.lit("")).alias("text"))
     spark = docs.sparkSession
-    ranges = 4 * max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ranges = int(max(4 * spark.sparkContext.defaultParallelism, -(-size // RANGE_BYTES)))
     shares = [i / ranges for i in range(1, ranges)]
     cuts = rows.select("id").agg(F.percentile_approx("id", shares, 100 * ranges)).first()[0]
     bounds = np.unique(np.array(cuts or [], np.int64))[::-1].copy()
@@ -200,7 +204,8 @@ def compare_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             )
 
     dealt = rows.mapInArrow(deal, "range bigint, extra byte, id bigint, text string")
-    ordered = dealt.repartition("range").sortWithinPartitions("range", "extra", F.desc_nulls_last("id"), "text")
+    # ranges are numbered from 0 to len(bounds) + 1, and each is a task
+    ordered = dealt.repartitionById(len(bounds) + 2, F.col("range").cast("int")).sortWithinPartitions("range", "extra", F.desc_nulls_last("id"), "text")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [c.split(" ")[0] for c in EDITED_SCHEMA.split(", ")]
