@@ -1,7 +1,7 @@
 """Mixing sources to target weights, in DataFrame operations only.
 
 Every row gets a key that looks random but depends on its id alone. The keys
-range-partition each source into many buckets; as the keys are uniform, the
+range-partition each source into buckets of a few thousand rows; as the keys are uniform, the
 buckets of one source are of like size, so a source that holds a third of all
 rows is spread over many tasks. Bucket totals give each bucket's offset, a
 window inside a bucket gives each row's offset, and a row is taken while its
@@ -21,8 +21,8 @@ from tallymark.sources.scratch import stash
 #: White space that separates words.
 WORD = "[^\\x20\\x09-\\x0D]+"
 
-# Hex digits of the key that name a bucket: 16 ** 3 buckets for each source.
-_BUCKET_DIGITS = 3
+#: Rows that a bucket may hold on average: one window sorts them with the columns they carry.
+BUCKET_ROWS = 4096
 _OWN = ("_mx_src", "_mx_key", "_mx_bucket", "_mx_size")
 
 
@@ -86,13 +86,17 @@ def mix(
     nothing; an empty table gives an empty result. Columns of ``docs`` called
     like a result column are replaced.
     """
+    # hex digits of the key that name a bucket: they follow the table, so that no bucket grows with it
+    digits, rows = 1, docs.count()
+    while rows > BUCKET_ROWS << (4 * digits):
+        digits += 1
     key = F.substring(F.md5(F.concat(F.lit(seed + "|"), F.coalesce(col(id_col).cast("string"), F.lit("")))), 1, 16)
     name = col(source_col).cast("string")
     keyed = docs.withColumns({
         "_mx_size": F.greatest(F.coalesce(size.cast("bigint"), F.lit(0)), F.lit(0)),
         "_mx_src": F.when(name.isNull(), F.lit("z")).otherwise(F.concat(F.lit("s"), name)),
         "_mx_key": key,
-        "_mx_bucket": F.substring(key, 1, _BUCKET_DIGITS),
+        "_mx_bucket": F.substring(key, 1, digits),
     })
     # read twice below; one row per source and bucket
     buckets = stash(
