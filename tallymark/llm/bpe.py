@@ -18,6 +18,7 @@ import struct
 import unicodedata
 from functools import cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -63,14 +64,15 @@ class WordBpe:
         self.end: str = model["end_of_word_suffix"]
         self.ranks = {tuple(m if isinstance(m, list) else m.split(" ")): i for i, m in enumerate(model["merges"])}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.tokens = {i: t for t, i in (*self.ids.items(), *self.special.items())}
+        by_id = {i: t for t, i in (*self.ids.items(), *self.special.items())}
+        self.tokens = np.array([by_id.get(i, "") for i in range(max(by_id) + 1)], object)
         self.special_at = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         for name, members in (("\\p{L}", _members("L")), ("\\p{N}", _members("N")), ("\\s", _WHITE_SPACE)):
             pattern = pattern.replace(name, members)
         self.word = re.compile(pattern)
         self.symbols = _byte_symbols()
-        self.known: dict[str, tuple[bytes, str]] = {}
+        self.known: dict[str, bytes] = {}
 
     # -- one word ---------------------------------------------------------------------
 
@@ -112,11 +114,11 @@ class WordBpe:
                     heapq.heappush(heap, (r, a, parts[a], parts[b]))
         return [p for p in parts if p]
 
-    def _encode_word(self, word: str) -> tuple[bytes, str]:
+    def _encode_word(self, word: str) -> bytes:
         parts = [self.symbols[b] for b in word.encode("utf-8", "surrogatepass")]
         parts[-1] += self.end
         found = self.merge(parts)
-        entry = struct.pack(f"<{len(found)}I", *map(self.ids.__getitem__, found)), " ".join(found)
+        entry = struct.pack(f"<{len(found)}I", *map(self.ids.__getitem__, found))
         if len(self.known) >= KEPT_WORDS:
             self.known.clear()
         self.known[word] = entry
@@ -130,25 +132,21 @@ class WordBpe:
         # capital sigma on its own: str.lower() would write a final sigma at word ends
         return self.word.findall(text.replace("Σ", "σ").lower())
 
-    def encode(self, text: str) -> tuple[bytes, str]:
-        """Token ids as little-endian unsigned 32-bit integers, and the tokens joined by spaces."""
+    def encode(self, text: str) -> bytes:
+        """Token ids as little-endian unsigned 32-bit integers."""
         ids: list[bytes] = []
-        tokens: list[str] = []
         known = self.known
         for piece in self.special_at.split(text) if "<|" in text else (text,):
             if piece in self.special:
                 ids.append(struct.pack("<I", self.special[piece]))
-                tokens.append(piece)
                 continue
             for word in self._words(piece):
-                entry = known.get(word) or self._encode_word(word)
-                ids.append(entry[0])
-                tokens.append(entry[1])
-        return b"".join(ids), " ".join(tokens)
+                ids.append(known.get(word) or self._encode_word(word))
+        return b"".join(ids)
 
     def decode(self, ids: bytes) -> str:
         """The text of ids: their tokens joined by spaces, special tokens included."""
-        return " ".join([self.tokens[i] for (i,) in struct.iter_unpack("<I", ids)])
+        return " ".join(self.tokens[np.frombuffer(ids, "<u4")].tolist())
 
 
 @cache
@@ -171,9 +169,9 @@ def encode_decode(docs: DataFrame, vocabulary: str, text_col: str = "text") -> D
         def compute(columns: Columns) -> Columns:
             done = [bpe.encode(t) for t in texts(columns[0])]
             return [
-                pa.array([len(ids) // 4 for ids, _ in done], pa.int64()),
-                pa.array([ids for ids, _ in done], pa.binary()),
-                pa.array([text for _, text in done], pa.string()),
+                pa.array([len(ids) // 4 for ids in done], pa.int64()), pa.array(done, pa.binary()),
+                # read back from the ids, as a reader of the result would
+                pa.array([bpe.decode(ids) for ids in done], pa.string()),
             ]
 
         return compute
