@@ -6,10 +6,16 @@ trie node and every word below shares them; a word's count is what its last
 node holds. Sorted words visit the trie in depth-first order, so only the path
 from the root to the current node is kept. Counts of words seen before stay in
 a table of bounded size.
+
+Scores are log probabilities. A vocabulary file of merges holds ranks instead,
+in the order of frequency; adding these up would mean nothing. They become
+probabilities by Zipf's law: the piece of rank r has one in proportion to
+1 / (r + 1).
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
 from functools import cache
 
@@ -31,21 +37,35 @@ KEPT_WORDS = 400_000
 _SCORE = ""  # key of a piece's score in its node; no character is empty
 
 
+def log_probabilities(scores: list[float]) -> list[float]:
+    """Scores of a vocabulary's pieces as log probabilities: as they are, or by Zipf's law where they are ranks, which are
+    whole numbers. Equal scores have equal ranks, those of the first."""
+    if not all(s.is_integer() for s in scores):
+        return scores
+    rank: dict[float, int] = {}
+    for i, s in enumerate(sorted(scores, reverse=True)):
+        rank.setdefault(s, i)
+    whole = math.log(math.fsum(1 / (rank[s] + 1) for s in scores))
+    return [-math.log(rank[s] + 1) - whole for s in scores]
+
+
 class UnigramCounter:
     """Pieces and scores of a vocabulary file. A character that no piece covers is written as its UTF-8 bytes."""
 
     def __init__(self, model: str):
         pieces = sentencepiece.SentencePieceProcessor(model_file=model)
         self.root: dict = {}
-        least = 0.0
-        for i in range(pieces.get_piece_size()):
-            if pieces.is_control(i) or pieces.is_unknown(i) or pieces.is_byte(i) or pieces.is_unused(i):
-                continue
+        used = [
+            i for i in range(pieces.get_piece_size())
+            if not (pieces.is_control(i) or pieces.is_unknown(i) or pieces.is_byte(i) or pieces.is_unused(i))
+        ]
+        scores = log_probabilities([pieces.get_score(i) for i in used])
+        least = min([0.0, *scores])
+        for i, score in zip(used, scores):
             node = self.root
             for c in pieces.id_to_piece(i):
                 node = node.setdefault(c, {})
-            node[_SCORE] = pieces.get_score(i)
-            least = min(least, node[_SCORE])
+            node[_SCORE] = score
         self.unknown = least - UNKNOWN_PENALTY
         self.counts: dict[bytes, int] = {}
         self.scores: dict[bytes, float] = {}
