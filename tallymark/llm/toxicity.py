@@ -11,7 +11,7 @@ document's score joins the evidence of its distinct words.
 from __future__ import annotations
 
 import re
-import zlib
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -31,10 +31,18 @@ LOOKALIKES = {
     "0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i",
     "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¥": "y", "*": "aeiou", "#": "h", "%": "o", "&": "e",
 }
+# Letters of other scripts that look like Latin ones, read so in words that also have Latin letters.
+HOMOGLYPHS = str.maketrans({
+    "а": "a", "в": "b", "с": "c", "ԁ": "d", "е": "e", "һ": "h", "і": "i", "ј": "j", "к": "k", "ӏ": "l", "м": "m", "н": "h", "о": "o",
+    "р": "p", "ѕ": "s", "т": "t", "ѵ": "v", "х": "x", "у": "y", "α": "a", "ε": "e", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p",
+    "τ": "t", "υ": "u", "χ": "x",
+})
+_LATIN = re.compile("[a-z]")
 _CLOSING = ".,;:!?)\"'»”’…"
 _OPENING = "(\"'«“‘¡¿"
 _PLAIN = re.compile(r"[^\W\d_]+")
 _TRIPLE = re.compile(r"(.)\1\1")
+_DOUBLE = re.compile(r"([^\W\d_])\1")
 _LONG_RUN = re.compile(r"(.)\1{3,}", re.S)
 _NUMBER = re.compile(r"[$€£¥#+-]?\d[\d.,:/-]*%?")
 _LONE = ".,;:-_'\""
@@ -90,6 +98,18 @@ def bigram_counts(text: str) -> np.ndarray:
 
 # -- restoring ----------------------------------------------------------------------------------
 
+#: A word with so many doubled letters, which make up this share of it, is read as one that may have been stretched.
+STRETCHED, STRETCHED_SHARE = 3, 0.75
+
+
+def fold(token: str) -> str:
+    """A lower-case word without accents, in letters of common width, and without Latin letters' doubles from other scripts."""
+    if token.isascii():
+        return token
+    marks = unicodedata.normalize("NFKD", token)
+    bare = unicodedata.normalize("NFC", "".join(c for c in marks if not unicodedata.combining(c))).lower()
+    return bare.translate(HOMOGLYPHS) if _LATIN.search(bare) else bare
+
 
 class Restorer:
     """Reads disguised words under a character model."""
@@ -120,14 +140,16 @@ class Restorer:
         return arcs or [("", self.UNREAD)]
 
     def lattice(self, token: str) -> list[list[tuple[str, float]]]:
-        """For each position the readings and their costs; a run of three or more is one position."""
+        """For each position the readings and their costs; a run of three or more is one position, and so is a doubled letter
+        of a word with several."""
+        stretched = _is_stretched(token)
         out = []
         i = 0
         while i < len(token):
             j = i
             while j < len(token) and token[j] == token[i]:
                 j += 1
-            if j - i >= 3:
+            if j - i >= 3 or j - i == 2 and stretched and token[i].isalpha():
                 arcs = self._arcs(token[i], j == len(token))
                 out.append([(letters * n, cost * n + extra) for letters, cost in arcs for n, extra in ((1, -0.5), (2, -0.7))])
             else:
@@ -166,11 +188,12 @@ class Restorer:
 
     def restore(self, token: str) -> str:
         """A lower-case word without its disguise; empty if it is likelier a number or a random string."""
-        if _PLAIN.fullmatch(token) and not _TRIPLE.search(token):
+        token = fold(token)
+        if _is_plain(token):
             return token
         core = _EDGE_RUN.sub("", _LONG_RUN.sub(r"\1\1\1", token)).rstrip(_CLOSING).lstrip(_OPENING)
         core = _EDGE_RUN.sub("", core)
-        if _PLAIN.fullmatch(core) and not _TRIPLE.search(core):
+        if _is_plain(core):
             return core
         if not any(c.isalpha() or c in LOOKALIKES for c in core):
             return ""
@@ -222,6 +245,16 @@ class Restorer:
         return out
 
 
+def _is_plain(token: str) -> bool:
+    """Whether a word stands for itself: letters alone, none stretched."""
+    return bool(_PLAIN.fullmatch(token)) and not _TRIPLE.search(token) and not _is_stretched(token)
+
+
+def _is_stretched(token: str) -> bool:
+    doubled = len(_DOUBLE.findall(token))
+    return doubled >= STRETCHED and 2 * doubled >= STRETCHED_SHARE * len(token)
+
+
 def _lone(word: str) -> str:
     """The one character of a word, points around it aside; empty if it has more."""
     if len(word) == 1:
@@ -253,9 +286,6 @@ def join_spaced(found: list[str]) -> list[str]:
 
 # -- evidence -------------------------------------------------------------------------------------
 
-#: Buckets that words and beginnings are counted in first, and the part of them that one task adds up.
-BUCKETS = 1 << 22
-_CHUNK = 1 << 16
 #: Characters of a beginning.
 STEMS = range(3, 9)
 
@@ -267,10 +297,6 @@ def features(word: str) -> list[str]:
     return [word + " ", *(word[:n] for n in STEMS if n < len(word))]
 
 
-def bucket(feature: str) -> int:
-    return zlib.crc32(feature.encode("utf-8", "surrogatepass")) & (BUCKETS - 1)
-
-
 @dataclass(frozen=True)
 class ToxicityModel:
     """Evidence of words (marked by a blank) and stems, the score of a document without any, and the letters."""
@@ -349,8 +375,9 @@ def learn(
     of several labels of one id the largest counts. Near copies teach once: of
     documents that share their least shingle hash, one per label is used. To
     the driver come the labels, bounded by ``max_labels``, the character table,
-    and counts of the words and beginnings that may be evidence, at most
-    ``BUCKETS`` that hold enough toxic documents.
+    and counts of the words and beginnings that enough toxic documents have:
+    no more than a document has on average, divided by ``least_share``. Clean
+    documents are then counted for exactly these.
     """
     sc = docs.sparkSession.sparkContext
     taught = labels.filter(col(label_col).isNotNull() & col(id_col).isNotNull())
@@ -408,62 +435,37 @@ def learn(
     n_toxic = int(toxic[np.isin(ids, teachers)].sum())
     prior = (n_toxic + 1) / (len(teachers) + 10)
     least = max(learning.least_documents, int(learning.least_share * n_toxic))
-    spread = sc.broadcast((teachers, toxic[np.searchsorted(ids, teachers)] if len(ids) else toxic, chars))
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Documents of either label that have a bucket, as tables of parts of the buckets."""
-        own_ids, own_labels, own_chars = spread.value
-        tallies = np.zeros((2, BUCKETS), np.int32)
-        for _, label, had in taught_features(batches, own_ids, own_labels, Restorer(own_chars)):
-            tallies[int(label > 0), list({bucket(f) for f in had})] += 1
-        for part in range(0, BUCKETS, _CHUNK):
-            piece = tallies[:, part : part + _CHUNK]
-            if piece.any():
-                found = np.flatnonzero(piece.any(axis=0)).astype(np.int32)
-                yield pa.record_batch(
-                    [
-                        pa.array([part], pa.int32()), pa.array([found.tobytes()], pa.binary()),
-                        pa.array([np.ascontiguousarray(piece[:, found]).tobytes()], pa.binary()),
-                    ],
-                    names=["part", "found", "n"],
-                )
+    teaching = toxic[np.searchsorted(ids, teachers)] if len(ids) else toxic
+    toxic_of = _document_counts(source, teachers[teaching > 0], chars, None, least)
+    clean_of = _document_counts(source, teachers[teaching <= 0], chars, frozenset(toxic_of), 1)
+    evidence = {
+        f: n / (n + clean_of.get(f, 0) + 1.0) for f, n in toxic_of.items() if f.endswith(" ") or _is_stem(f, toxic_of, learning)
+    }
+    evidence = {f: e for f, e in evidence.items() if e >= learning.least_evidence}
+    return ToxicityModel(evidence, min(0.4, 0.3 * prior), chars)
 
-    def add(key: tuple, tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tallies = np.zeros((2, _CHUNK), np.int64)
-        part = key[0].as_py()
-        for batch in tables:
-            for found, n in zip(batch.column("found").to_pylist(), batch.column("n").to_pylist()):
-                at = np.frombuffer(found, np.int32)
-                tallies[:, at] += np.frombuffer(n, np.int32).reshape(2, -1)
-        clean, bad = tallies
-        good = np.flatnonzero((bad >= least) & (bad / (bad + clean + 1.0) >= learning.least_evidence))
-        yield pa.record_batch(
-            [pa.array(good + part, pa.int64()), pa.array(clean[good], pa.int64())], names=["bucket", "clean"]
-        )
 
-    partial = source.mapInArrow(count, "part int, found binary, n binary")
-    added = partial.groupBy("part").applyInArrow(add, "bucket bigint, clean bigint").toPandas()
-    clean_of = dict(zip(added["bucket"].tolist(), added["clean"].tolist()))
-    candidates = sc.broadcast(frozenset(clean_of))
+def _document_counts(
+    source: DataFrame, ids: np.ndarray, chars: CharModel, wanted: frozenset[str] | None, least: int
+) -> dict[str, int]:
+    """How many of the documents ``ids`` have each feature (of ``wanted``, or any), where at least ``least`` have it."""
+    spark = source.sparkSession
+    shared = spark.sparkContext.broadcast((chars, wanted))
+    # no more rows than labels are learnt from
+    chosen = F.broadcast(spark.createDataFrame([(i,) for i in ids.tolist()], "id bigint"))
 
-    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The words and beginnings of toxic documents that fall into the buckets found."""
-        own_ids, own_labels, own_chars = spread.value
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own_chars, own_wanted = shared.value
         found = Counter()
-        for _, label, had in taught_features(batches, own_ids, own_labels, Restorer(own_chars)):
-            if label > 0:
-                found.update(f for f in had if bucket(f) in candidates.value)
+        for had in document_features(batches, Restorer(own_chars)):
+            found.update(had if own_wanted is None else had & own_wanted)
         yield pa.record_batch(
             [pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], names=["feature", "n"]
         )
 
-    named = source.mapInArrow(name, "feature string, n bigint").groupBy("feature").agg(F.sum("n").alias("n"))
-    toxic_of = {r["feature"]: r["n"] for r in named.filter(col("n") >= least).collect()}
-    evidence = {
-        f: n / (n + clean_of[bucket(f)] + 1.0) for f, n in toxic_of.items() if f.endswith(" ") or _is_stem(f, toxic_of, learning)
-    }
-    evidence = {f: e for f, e in evidence.items() if e >= learning.least_evidence}
-    return ToxicityModel(evidence, min(0.4, 0.3 * prior), chars)
+    partial = source.join(chosen, "id").select("text").mapInArrow(count, "feature string, n bigint")
+    rows = partial.groupBy("feature").agg(F.sum("n").alias("n")).filter(col("n") >= least).collect()
+    return {r["feature"]: r["n"] for r in rows}
 
 
 def _is_stem(beginning: str, toxic_of: dict[str, int], learning: Learning) -> bool:
@@ -474,18 +476,12 @@ def _is_stem(beginning: str, toxic_of: dict[str, int], learning: Learning) -> bo
     return len(longer) >= learning.least_branches and max(longer) <= learning.most_in_branch * toxic_of[beginning]
 
 
-def taught_features(
-    batches: Iterator[pa.RecordBatch], ids: np.ndarray, labels: np.ndarray, restorer: Restorer
-) -> Iterator[tuple[int, int, set[str]]]:
-    """Id, label and distinct features of the documents with one of the sorted ``ids``."""
+def document_features(batches: Iterator[pa.RecordBatch], restorer: Restorer) -> Iterator[set[str]]:
+    """The distinct features of each text."""
     kept: dict[str, list[str]] = {}
     for batch in slices(batches, 256):
-        own = [i if i is not None else -1 for i in batch.column(0).to_pylist()]
-        at = np.searchsorted(ids, own) if len(ids) else []
-        for row, (i, k) in enumerate(zip(own, at)):
-            if k == len(ids) or ids[k] != i:
-                continue
-            found = [w.decode("utf-8", "surrogatepass") for w in words((batch.column(1)[row].as_py() or "").lower())]
+        for text in texts(batch.column(0)):
+            found = [w.decode("utf-8", "surrogatepass") for w in words(text.lower())]
             had: set[str] = set()
             for token in {*join_spaced(found)}:
                 fs = kept.get(token)
@@ -494,7 +490,7 @@ def taught_features(
                         kept.clear()
                     fs = kept[token] = features(restorer.restore(token))
                 had.update(fs)
-            yield i, int(labels[k]), had
+            yield had
 
 
 def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> DataFrame:

@@ -1,8 +1,11 @@
 """The queries of the llm subpackage against SQL, libraries and brute force."""
 
+import base64
+import bisect
 import hashlib
 import html
 import math
+import random
 import re
 import struct
 import zlib
@@ -11,12 +14,14 @@ from collections import Counter, defaultdict
 import public_tokenizers
 import pytest
 import sentencepiece
+import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tallymark.llm import fingerprint, forest, lm
+from tallymark.llm import bpe, fingerprint, forest, lm, mixing
 from tallymark.llm.queries import ORACLES, QUERIES
-from tallymark.llm.token_counts import START, UNKNOWN_PENALTY
+from tallymark.llm.token_counts import START, UNKNOWN_PENALTY, UnigramCounter, log_probabilities
 from tools.check_queries import compare, connect
 
 
@@ -95,6 +100,11 @@ def test_token_counts(spark, sf_dir, documents):
         pieces.id_to_piece(i): pieces.get_score(i) for i in range(pieces.get_piece_size())
         if not (pieces.is_control(i) or pieces.is_unknown(i) or pieces.is_byte(i) or pieces.is_unused(i))
     }
+    # the file holds ranks of merges; a piece of rank r has a probability in proportion to 1 / (r + 1)
+    order = sorted(scores.values(), reverse=True)
+    share = {piece: 1 / (1 + bisect.bisect_left(order, -s, key=lambda x: -x)) for piece, s in scores.items()}
+    total = sum(share.values())
+    scores = {piece: math.log(p / total) for piece, p in share.items()}
     longest, unknown = max(map(len, scores)), min(scores.values()) - UNKNOWN_PENALTY
     cache = {}
 
@@ -315,3 +325,92 @@ def test_html_keeps_the_article_under_body_and_all_of_an_article():
     assert main_text("<body>" + page.replace("article>", "div>") + "</body>").startswith(want[: -len(" The end.")])
 
 
+
+
+# -- fingerprints and BPE against forms of their own ---------------------------------------------------
+
+
+def slow_fingerprint(text):
+    """The definition in whole numbers of Python: sums over paragraphs, modulo 2 ** 32, and a count."""
+    mask = (1 << 64) - 1
+
+    def mix(x):
+        x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & mask
+        x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & mask
+        return x ^ (x >> 31)
+
+    exact, near, count = [0] * 64, [0] * 128, 0
+    for line in text.split("\n"):
+        raw = line.encode("utf-8", "surrogatepass")
+        words = raw.split()
+        if not words:
+            continue
+        count += 1
+        for i, (lane,) in enumerate(struct.iter_unpack("<I", hashlib.shake_128(raw).digest(256))):
+            exact[i] += lane
+        hashes = [xxhash.xxh64_intdigest(w) for w in words]
+        width = min(3, len(words))
+        for i in range(len(words) - width + 1):
+            run = hashes[i]
+            for h in hashes[i + 1 : i + width]:
+                run = mix((run + h) & mask)
+            mixed = mix(run)
+            near[mixed % 128] += 1 if mixed >> 63 else -1
+    lanes = [x % (1 << 32) for x in exact + near]
+    return base64.b64encode(struct.pack("<192IQ", *lanes, count)).decode()
+
+
+def test_fingerprints_equal_their_definition(documents):
+    for text in [*list(documents.values())[:40], "", "one", "a b", "a\n\na\n a ", "x y z w\n" * 70]:
+        assert fingerprint.written(fingerprint.fingerprint(text)) == slow_fingerprint(text)
+
+
+def test_likeness_of_long_repetitive_texts():
+    """Lanes hold the sums of texts with very many equal lines."""
+    line = "the same line of a few words"
+    for n, m in ((30_000, 35_000), (40_000, 40_001), (65_536, 131_072)):
+        a, b = (fingerprint.fingerprint((line + "\n") * k + "an odd line here") for k in (n, m))
+        assert fingerprint.likeness(a, b) > 0.75 and fingerprint.likeness(a, a) == 1.0
+    one, other = (fingerprint.fingerprint("\n".join(["first words"] * k + ["second words"] * (65_536 - k))) for k in (0, 65_536))
+    assert fingerprint.written(one) != fingerprint.written(other) and fingerprint.likeness(one, other) < 0.2
+
+
+def test_bpe_decodes_from_ids_and_long_words_encode_alike():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    own, library = bpe.load(path), Tokenizer.from_file(path)
+    rng = random.Random(8)
+    for n in (1, 5, 255, 256, 257, 400):  # both ways to find the lowest rank
+        text = "".join(rng.choice("abcdetho") for _ in range(n)) + " the end"
+        ids = library.encode(text, add_special_tokens=False).ids
+        packed = own.encode(text)
+        assert packed == struct.pack(f"<{len(ids)}I", *ids) and own.decode(packed) == library.decode(ids, skip_special_tokens=False)
+    assert own.decode(struct.pack("<3I", 300, 5, 77)) == library.decode([300, 5, 77], skip_special_tokens=False)
+
+
+def test_mixing_buckets_follow_the_table(spark, monkeypatch):
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("s").alias("source"), F.lit("a b c").alias("text"))
+    whole = sorted(map(tuple, mixing.mix(docs, F.lit(3)).select("doc_id", "taken").collect()))
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 4)
+    assert sorted(map(tuple, mixing.mix(docs, F.lit(3)).select("doc_id", "taken").collect())) == whole
+
+
+def test_token_counts_are_near_those_of_the_encoder(documents):
+    """Budgets need counts like the vocabulary's own: within a tenth over all texts, and common words are one token."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    counter, own = UnigramCounter(path), sentencepiece.SentencePieceProcessor(model_file=path)
+    found = Counter(w for t in documents.values() for w in t.encode().split())
+    counter.learn(found)
+    ours = sum(counter.counts[w] * n for w, n in found.items())
+    theirs = sum(len(own.encode(w.decode())) * n for w, n in found.items())
+    assert abs(ours - theirs) < 0.1 * theirs
+    common = [b"the", b"running", b"government", b"understanding", b"computer"]
+    counter.learn(common)
+    assert [counter.counts[w] for w in common] == [1] * 5
+    counter.learn([b"internationalization"])
+    assert counter.counts[b"internationalization"] == 2
+
+
+def test_scores_that_are_no_ranks_stay():
+    assert log_probabilities([-1.5, -2.0]) == [-1.5, -2.0]
+    zipf = log_probabilities([0.0, -1.0, -2.0, -2.0])
+    assert sum(map(math.exp, zipf)) == pytest.approx(1) and zipf[0] > zipf[1] > zipf[2] == zipf[3]
