@@ -99,8 +99,8 @@ def write_csv(
         .option("maxRecordsPerFile", rows_per_file)
         .csv(path)
     )
-    over = "overwrite" if mode in ("overwrite", "append") else mode
-    spark.createDataFrame([(df.schema.json(),)], "schema string").coalesce(1).write.mode(over).text(schema_path(path))
+    mode = "overwrite" if mode == "append" else mode  # what lies beside the folder is written anew
+    spark.createDataFrame([(df.schema.json(),)], "schema string").coalesce(1).write.mode(mode).text(schema_path(path))
     stats = _file_stats(spark, path, df.schema, ranged)
     described = _listing(spark, path).join(stats, "file", "left").select(
         "file", "bytes", F.coalesce("rows", F.lit(0)).alias("rows"), F.coalesce("low", F.lit(0)).alias("low"),
@@ -108,7 +108,7 @@ def write_csv(
         "ranges",
     )
     read_back = Observation("read back")
-    described.observe(read_back, F.sum("rows").alias("rows")).write.mode(over).json(manifest_path(path))
+    described.observe(read_back, F.sum("rows").alias("rows")).write.mode(mode).json(manifest_path(path))
     found = read_back.get["rows"] or 0
     if found != watch.get["rows"] + held:
         raise ExtractChanged(f"{path} holds {found} row(s), but {watch.get['rows'] + held} were written")

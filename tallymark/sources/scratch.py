@@ -17,6 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 DIR_SETTING = "spark.checkpoint.dir"
 
+# every path that this process has given out and not deleted
+_given: list[str] = []
+
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path under the folder that ``spark.checkpoint.dir`` names."""
@@ -25,7 +28,9 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         if not re.fullmatch(r"local(\[[^\]]*\])?", spark.conf.get("spark.master", "")):
             raise RuntimeError(f"set {DIR_SETTING} to a folder that all executors share")
         base = _local_folder()
-    return f"{base.rstrip('/')}/tallymark/{label}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/tallymark/{label}-{uuid.uuid4().hex}"
+    _given.append(path)
+    return path
 
 
 @cache
@@ -48,7 +53,22 @@ def release(df: DataFrame) -> None:
     base = spark.conf.get(DIR_SETTING, None) or _local_folder()
     mark = f"{base.rstrip('/').split('://')[-1].removeprefix('file:')}/tallymark/"
     folders = {f.rsplit("/", 1)[0] for f in df.inputFiles() if mark in f}
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     for folder in folders:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
+        _delete(spark, folder)
+
+
+def release_all(spark: SparkSession) -> int:
+    """Delete every scratch folder that this process has written, whichever operator asked for it, and the names of
+    bucketed scratch tables. Results that read them cannot be read afterwards. Returns how many folders there were."""
+    found = 0
+    while _given:
+        found += _delete(spark, _given.pop())
+    for t in spark.catalog.listTables():
+        if re.fullmatch("tallymark_[0-9a-f]{32}", t.name):
+            spark.sql(f"DROP TABLE IF EXISTS `{t.name}`")
+    return found
+
+
+def _delete(spark: SparkSession, folder: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from tallymark.functions import rules as R
 from tallymark.plans.validation import ValidationJob, run_validation
 from tallymark.sources.files import ExtractChanged, KeyRange, read_csv, read_parquet, read_schema, write_csv, write_parquet
+from tallymark.sources import scratch
 from tallymark.sources.jdbc import jdbc_options, partition_bounds, scan_options
 from tallymark.sources.scratch import scratch_path, stash
 from tallymark.sources.servers import extract_servers, load_servers, server_disagreements, union_servers
@@ -281,3 +282,18 @@ def test_appended_and_empty_extracts(spark, tmp_path):
     assert read_csv(spark, nothing, verify="rows").collect() == []
     with pytest.raises(ValueError, match="verify"):
         read_csv(spark, path, verify="all")
+
+
+def test_release_all_leaves_nothing(spark, monkeypatch):
+    """Whatever an operator has written goes, tables of other processes and other tables stay."""
+    monkeypatch.setattr(scratch, "_given", [])
+    kept = stash(spark.range(4), "mine")
+    path = scratch_path(spark, "bucketed")
+    name = "tallymark_" + "0" * 32
+    spark.range(5).write.bucketBy(2, "id").option("path", path).saveAsTable(name)
+    never = scratch_path(spark, "never written")
+    assert kept.count() == 4 and spark.table(name).count() == 5
+    assert scratch.release_all(spark) == 2 and scratch.release_all(spark) == 0
+    assert not [t for t in spark.catalog.listTables() if t.name == name] and never
+    with pytest.raises(Exception):
+        spark.read.parquet(path)
