@@ -438,11 +438,26 @@ def learn(
     teaching = toxic[np.searchsorted(ids, teachers)] if len(ids) else toxic
     toxic_of = _document_counts(source, teachers[teaching > 0], chars, None, least)
     clean_of = _document_counts(source, teachers[teaching <= 0], chars, frozenset(toxic_of), 1)
-    evidence = {
-        f: n / (n + clean_of.get(f, 0) + 1.0) for f, n in toxic_of.items() if f.endswith(" ") or _is_stem(f, toxic_of, learning)
-    }
-    evidence = {f: e for f, e in evidence.items() if e >= learning.least_evidence}
-    return ToxicityModel(evidence, min(0.4, 0.3 * prior), chars)
+    return ToxicityModel(telling(toxic_of, clean_of, learning), min(0.4, 0.3 * prior), chars)
+
+
+def telling(toxic_of: dict[str, int], clean_of: dict[str, int], learning: Learning) -> dict[str, float]:
+    """The evidence: words and stems most of whose documents are toxic.
+
+    A stem is a beginning from which words go on in several ways, counted among
+    such words and beginnings, rather than one word.
+    """
+    share = {f: n / (n + clean_of.get(f, 0) + 1.0) for f, n in toxic_of.items()}
+    share = {f: e for f, e in share.items() if e >= learning.least_evidence}
+    branches: dict[str, list[int]] = {}
+    for f in share:
+        branches.setdefault(f[:-1], []).append(toxic_of[f])
+
+    def is_stem(beginning: str) -> bool:
+        longer = branches.get(beginning, []) if len(beginning) < STEMS[-1] else []
+        return len(longer) >= learning.least_branches and max(longer) <= learning.most_in_branch * toxic_of[beginning]
+
+    return {f: e for f, e in share.items() if f.endswith(" ") or is_stem(f)}
 
 
 def _document_counts(
@@ -468,14 +483,6 @@ def _document_counts(
     return {r["feature"]: r["n"] for r in rows}
 
 
-def _is_stem(beginning: str, toxic_of: dict[str, int], learning: Learning) -> bool:
-    """Whether words go on from a beginning in several ways, rather than being one word."""
-    if len(beginning) == STEMS[-1]:
-        return False
-    longer = [n for f, n in toxic_of.items() if len(f) == len(beginning) + 1 and f.startswith(beginning)]
-    return len(longer) >= learning.least_branches and max(longer) <= learning.most_in_branch * toxic_of[beginning]
-
-
 def document_features(batches: Iterator[pa.RecordBatch], restorer: Restorer) -> Iterator[set[str]]:
     """The distinct features of each text."""
     kept: dict[str, list[str]] = {}

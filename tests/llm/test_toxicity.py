@@ -57,6 +57,12 @@ def test_evidence_equals_brute_force(spark, sf_dir):
         counts[int(label > 0)].update({f for t in {*found} for f in features(restorer.restore(t))})
     enough = max(learning.least_documents, int(learning.least_share * sum(label for _, label in first)))
     bad = {f: n for f, n in counts[1].items() if n >= enough}
-    want = {f: n / (n + counts[0][f] + 1.0) for f, n in bad.items() if f.endswith(" ") or toxicity._is_stem(f, bad, learning)}
-    want = {f: e for f, e in want.items() if e >= learning.least_evidence}
+    share = {f: n / (n + counts[0][f] + 1.0) for f, n in bad.items()}
+    share = {f: e for f, e in share.items() if e >= learning.least_evidence}
+
+    def is_stem(f):
+        longer = [bad[g] for g in share if len(g) == len(f) + 1 and g.startswith(f)]
+        return len(f) < 8 and len(longer) >= learning.least_branches and max(longer) <= learning.most_in_branch * bad[f]
+
+    want = {f: e for f, e in share.items() if f.endswith(" ") or is_stem(f)}
     assert model.evidence == want and len(want) > 5
