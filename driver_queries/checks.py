@@ -195,8 +195,10 @@ def conformance_long_numbers(spark, sf_dir):
 @query("SELECT count(*) AS row_count, 8::BIGINT AS scans, true AS balanced, count(*) FILTER (o_orderkey % 20 = 0) AS null_rows FROM orders")
 def scan_predicates_balanced(spark, sf_dir):
     """A column with gaps, skew and NULLs parted into scans: every row meets one condition, all scans are of like size."""
-    key = F.col("o_orderkey")
-    rows = table(spark, sf_dir, "orders").select(F.when(key % 20 > 0, key * key * key % 1000003).alias("k"))
+    key, modulus = F.col("o_orderkey"), F.lit(1000003).cast("bigint")
+    rest = key % modulus
+    # a cube's remainder, taken at each step: the cube of a key past 2,097,151 is no bigint
+    rows = table(spark, sf_dir, "orders").select(F.when(key % 20 > 0, rest * rest % modulus * rest % modulus).alias("k"))
     predicates = scan_predicates(rows, "K", 8)
     met = rows.select("k", F.explode(F.array(*[
         F.when(F.coalesce(F.expr(p), F.lit(False)), F.lit(i)) for i, p in enumerate(predicates)
