@@ -18,8 +18,10 @@ from driver_queries.registry import (
 )
 from tallymark.functions.canonical import comparison_scales, normalise
 from tallymark.operators.keys import keys_in, keys_not_in
+from tallymark.operators.rownumber import number_within_keys
 from tallymark.plans.reconcile import prepare, recon_counts, reconcile, slim_pairs
 from tallymark.plans.report import diff_by_column, records_by_type, summarize, top_columns
+from tallymark.sources.scratch import stash
 from tallymark.sources.servers import union_servers
 
 _COUNTS_SQL = f"""WITH s AS (SELECT * FROM orders), t AS ({TARGET_SQL}), j AS (
@@ -365,17 +367,13 @@ def _cancel_sides(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_shipdate", "l_discount"
     )
-    first = F.struct(*[F.col(c) for c in lines.columns[1:]])
-    firsts = lines.groupBy("l_orderkey").agg(F.min(first).alias("first"))
-    # one row of each order is its first; equal lines would both be, so that they are numbered by their copies
-    counted = lines.groupBy(*lines.columns).agg(F.count(F.lit(1)).alias("n"))
-    copies = counted.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n").cast("int")))).join(firsts, "l_orderkey")
-    nth = (F.struct(*[F.col(c) for c in lines.columns[1:]]) == F.col("first")) & (F.col("copy") == 1)
-    order = F.col("l_orderkey")
-    target = copies.filter(~(nth & (order % 10 == 5))).withColumn(
-        "l_discount", F.when(nth & (order % 6 == 0), F.col("l_discount") + 1).otherwise(F.col("l_discount"))
+    numbered = number_within_keys(lines, ["l_orderkey"], lines.columns[1:], "nth")
+    order, first = F.col("l_orderkey"), F.col("nth") == 1
+    target = numbered.filter(~(first & (order % 10 == 5))).withColumn(
+        "l_discount", F.when(first & (order % 6 == 0), F.col("l_discount") + 1).otherwise(F.col("l_discount"))
     )
-    return lines, target.select(*lines.columns)
+    # a comparison reads its sides several times, and numbering sorts the whole table
+    return lines, stash(target.select(*lines.columns), "lines")
 
 
 @query(_CANCEL_SQL)

@@ -242,8 +242,6 @@ def reconcile(
 
 
 def _in_question(sides: Sides, digest) -> Sides:
-    if digest.unequal is None:
-        return replace(sides, source=sides.source.limit(0), target=sides.target.limit(0))
     source, target = (digest.rows_in_question(s, sides.pairing) for s in (sides.source, sides.target))
     return replace(sides, source=source, target=target)
 
