@@ -70,7 +70,9 @@ class Surplus:
             F.sum(F.greatest(col(_SURPLUS), none)).alias("src_left"), F.sum(F.greatest(-col(_SURPLUS), none)).alias("tgt_left")
         )
         on = same_keys(rest, sizes, [(k, f"_tm_key_{i}") for i, k in enumerate(keys)])
-        self.table = rest.join(sizes, on).select(*[rest[f"`{c}`"] for c in rest.columns], "src_left", "tgt_left")
+        met = rest.join(sizes, on).select(*[rest[f"`{c}`"] for c in rest.columns], "src_left", "tgt_left")
+        # written, as six readers follow
+        self.table = stash(met, "surplus-by-key")
 
     @property
     def contested(self) -> Column:
@@ -118,17 +120,25 @@ def paired_rows(surplus: Surplus, source: DataFrame, target: DataFrame, hot_key_
     left = surplus.rows_of(source, 1, surplus.contested).withColumn(SIDE, F.lit(0))
     right = surplus.rows_of(target, -1, surplus.contested).withColumn(SIDE, F.lit(1))
     left, right = (r if SERVER_COLUMN in r.columns else r.select("*", tag) for r in (left, right))
-    rows = stash(left.unionByName(right), "contested")
     most = F.greatest("src_left", "tgt_left")
+    sizes = Observation("contested")
+    rows = stash(left.unionByName(right).observe(
+        sizes, F.count_if((most > 1) & (most <= ASSIGN_ROWS)).alias("few"), F.count_if(most > ASSIGN_ROWS).alias("many")
+    ), "contested")
     shape = [*rows.columns, ORDINAL]
-    single = rows.filter(most == 1).withColumn(ORDINAL, F.lit(1).cast("bigint"))
-    few = _least_cost(rows.filter((most > 1) & (most <= ASSIGN_ROWS)), keys, columns, surplus.rows)
-    # a key with very many rows left is paired by order, which number_within_keys spreads over tasks
-    many = number_within_keys(
-        rows.filter(most > ASSIGN_ROWS), [*keys, SIDE], [*columns, SERVER_COLUMN], ORDINAL, hot_key_rows
-    ).withColumn(ORDINAL, col(ORDINAL).cast("bigint"))
-    numbered = single.select(*shape).unionByName(few.select(*shape)).unionByName(many.select(*shape))
-    return stash(numbered.withColumn(PAIRED, col(ORDINAL) <= F.least("src_left", "tgt_left")), "paired")
+    numbered = rows.filter(most == 1).withColumn(ORDINAL, F.lit(1).cast("bigint"))
+    if sizes.get["few"]:
+        few = _least_cost(rows.filter((most > 1) & (most <= ASSIGN_ROWS)), keys, columns, surplus.rows)
+        numbered = numbered.unionByName(few.select(*shape))
+    if sizes.get["many"]:
+        # a key with very many rows left is paired by order, which number_within_keys spreads over tasks
+        many = number_within_keys(
+            rows.filter(most > ASSIGN_ROWS), [*keys, SIDE], [*columns, SERVER_COLUMN], ORDINAL, hot_key_rows
+        ).withColumn(ORDINAL, col(ORDINAL).cast("bigint"))
+        numbered = numbered.unionByName(many.select(*shape))
+    numbered = numbered.withColumn(PAIRED, col(ORDINAL) <= F.least("src_left", "tgt_left"))
+    # with one row left on a side nothing was numbered: the rows are read as they are
+    return stash(numbered, "paired") if sizes.get["few"] or sizes.get["many"] else numbered
 
 
 def _least_cost(rows: DataFrame, keys: Sequence[str], columns: Sequence[str], count: int) -> DataFrame:

@@ -230,6 +230,16 @@ def test_key_sets_of_odd_types(spark):
     assert range_filter(texts, texts, "k") is None
 
 
+def test_what_is_left_over_is_counted_by_key_once(spark):
+    """Six readers follow: each would count and join again."""
+    source = frame(spark, [(1, 1, "a"), (1, 1, "a"), (2, 5, None), (None, 3, "n")])
+    target = frame(spark, [(1, 1, "a"), (1, 2, "a"), (None, 3, "n"), (4, 1, "e")])
+    sides = prepare(source, target, ["k"])
+    left = pairing.Surplus(sides.source, sides.target, sides.keys, sides.columns)
+    assert "Exchange" not in plan(left.table) and "Join" not in plan(left.table)
+    assert rows(left.table.select("k", "src_left", "tgt_left")) == [(1, 1, 1), (1, 1, 1), (2, 1, 0), (4, 0, 1)]
+
+
 def test_the_target_of_the_cancelling_queries_is_numbered_once(spark, sf_dir):
     lines, target = _cancel_sides(spark, sf_dir)
     assert "Exchange" not in plan(target) and "Join" not in plan(target)
