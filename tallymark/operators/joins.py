@@ -98,7 +98,8 @@ def prefixed(df: DataFrame, prefix: str) -> DataFrame:
     return df.select(*[col(c).alias(prefix + c) for c in df.columns])
 
 
-def null_safe_join(source: DataFrame, target: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """Join two sides of a comparison; columns become ``src_…`` and ``tgt_…``."""
+def null_safe_join(source: DataFrame, target: DataFrame, keys: Sequence[str], how: str, few: bool = False) -> DataFrame:
+    """Join two sides of a comparison; columns become ``src_…`` and ``tgt_…``. ``few`` as in :func:`keys_not_in`."""
     left, right = prefixed(source, "src_"), prefixed(target, "tgt_")
+    right = right if few else right.hint("merge")
     return left.join(right, same_keys(left, right, [(f"src_{k}", f"tgt_{k}") for k in keys]), how)

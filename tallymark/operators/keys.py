@@ -15,16 +15,26 @@ def same_keys(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]
     return reduce(Column.__and__, [left[f"`{a}`"].eqNullSafe(right[f"`{b}`"]) for a, b in pairs])
 
 
-def keys_not_in(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``left`` whose key ``right`` lacks (NULL equals NULL)."""
-    return _against_keys(left, right, keys, "left_anti")
+#: Keys up to which Spark may hold a key set in memory as a whole.
+FEW_KEYS = 500_000
 
 
-def keys_in(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``left`` whose key ``right`` has (NULL equals NULL)."""
-    return _against_keys(left, right, keys, "left_semi")
+def keys_not_in(left: DataFrame, right: DataFrame, keys: Sequence[str], few: bool = False) -> DataFrame:
+    """Rows of ``left`` whose key ``right`` lacks (NULL equals NULL).
 
+    Spark takes a table's size from its files, where keys may be packed very
+    tightly, and would broadcast many millions of them. So the tables are sorted
+    and merged, unless ``few`` says that ``right`` has no more than ``FEW_KEYS`` rows.
+    """
+    return _against_keys(left, right, keys, "left_anti", few)
 
-def _against_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+
+def keys_in(left: DataFrame, right: DataFrame, keys: Sequence[str], few: bool = False) -> DataFrame:
+    """Rows of ``left`` whose key ``right`` has (NULL equals NULL); ``few`` as in :func:`keys_not_in`."""
+    return _against_keys(left, right, keys, "left_semi", few)
+
+
+def _against_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, few: bool) -> DataFrame:
     other = right.select(*[col(k).alias(f"_tm_key_{i}") for i, k in enumerate(keys)])
+    other = other if few else other.hint("merge")
     return left.join(other, same_keys(left, other, [(k, f"_tm_key_{i}") for i, k in enumerate(keys)]), how)

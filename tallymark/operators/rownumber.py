@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
 from tallymark.functions.names import col
-from tallymark.operators.keys import keys_in, keys_not_in, same_keys
+from tallymark.operators.keys import FEW_KEYS, keys_in, keys_not_in, same_keys
 from tallymark.sources.scratch import stash
 
 _POSITION = "_tm_position"
@@ -126,8 +126,9 @@ def number_within_keys(
     hot_keys = stash(counted.filter(col("_tm_rows") > hot_key_rows).select(*named), "hot-keys")
     if hot_keys.isEmpty():
         return number_cold_keys(df, keys, order, name)
-    cold = number_cold_keys(keys_not_in(df, hot_keys, keys), keys, order, name)
-    return cold.unionByName(_number_hot(keys_in(df, hot_keys, keys), keys, order, name, partitions))
+    few = hot_keys.count() <= FEW_KEYS
+    cold = number_cold_keys(keys_not_in(df, hot_keys, keys, few), keys, order, name)
+    return cold.unionByName(_number_hot(keys_in(df, hot_keys, keys, few), keys, order, name, partitions))
 
 
 def number_cold_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "rn") -> DataFrame:

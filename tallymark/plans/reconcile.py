@@ -42,7 +42,7 @@ from tallymark.functions.canonical import (
 from tallymark.functions.casts import safe_cast
 from tallymark.functions.names import col, find, lower_names
 from tallymark.operators.joins import null_safe_join
-from tallymark.operators.keys import keys_in, keys_not_in
+from tallymark.operators.keys import FEW_KEYS, keys_in, keys_not_in
 from tallymark.operators.rownumber import HOT_KEY_ROWS, number_cold_keys, number_within_keys
 from tallymark.operators.skipping import KeyBounds, bound_columns, read_bounds, skip_to
 from tallymark.plans.digest import compare_digests
@@ -165,7 +165,8 @@ class ReconResult:
             release(table)
 
     def diff_plan(self) -> DataFrame:
-        """The plan of ``diff``. Building it runs no job, and it does not depend on how many rows differ."""
+        """The plan of ``diff``. Building it runs no job, and it depends on the number of rows that differ only in that
+        more than ``FEW_KEYS`` of them are never broadcast."""
         if self.passed:
             return empty_diff(self.outcome.sparkSession)
         if _CELLS not in self.outcome.columns:
@@ -271,7 +272,7 @@ def _cancelled(sides: Sides, method: str, snapshot: bool, hot_key_rows: int) ->
     paired = rows.filter(PAIRED)
     left, right = (paired.filter(col(SIDE) == s).select(*[col(c) for c in own], ORDINAL) for s in (0, 1))
     named = replace(sides, source=left, target=right, has_server=sides.has_server)
-    both = null_safe_join(left, right.drop(SERVER_COLUMN), named.pairing, "inner")
+    both = null_safe_join(left, right.drop(SERVER_COLUMN), named.pairing, "inner", surplus.rows <= FEW_KEYS)
     lone = rows.filter(~col(PAIRED))
     server = _server(SERVER_COLUMN, sides.has_server)
     plain = replace(sides, source=sides.source.drop(ORDINAL))
@@ -470,7 +471,7 @@ def _hash_diff(sides: Sides, outcome: DataFrame, counts: ReconCounts, bounds: Se
     pairing = sides.pairing
 
     def looked_up(side: DataFrame, wanted: DataFrame, count: int) -> DataFrame:
-        return keys_in(skip_to(side, wanted, pairing, bounds, count), wanted, pairing)
+        return keys_in(skip_to(side, wanted, pairing, bounds, count), wanted, pairing, count <= FEW_KEYS)
 
     parts = []
     if counts.extra_rows:
@@ -486,7 +487,7 @@ def _hash_diff(sides: Sides, outcome: DataFrame, counts: ReconCounts, bounds: Se
     if counts.mismatched_rows:
         changed = outcome.filter(col(_STATUS) == MISMATCH).select(*[col(k) for k in pairing])
         source, target = (looked_up(side, changed, counts.mismatched_rows) for side in (sides.source, sides.target))
-        parts.append(cell_diff(null_safe_join(source, target, pairing, "inner"), sides))
+        parts.append(cell_diff(null_safe_join(source, target, pairing, "inner", counts.mismatched_rows <= FEW_KEYS), sides))
     return reduce(DataFrame.unionByName, parts)
 
 

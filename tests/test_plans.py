@@ -9,10 +9,10 @@ from driver_queries.mapping import order_map
 from driver_queries.registry import orders_target, table
 from tallymark.operators.filters import date_window, pk_filter
 from tallymark.operators.joins import null_safe_join
-from tallymark.operators.keys import keys_in
+from tallymark.operators.keys import keys_in, keys_not_in
 from tallymark.operators.mapping import apply_mapping, select_partial
 from tallymark.operators.rownumber import number_rows
-from tallymark.plans.reconcile import _full_outcome, _hash_outcome, prepare, reconcile, slim_pairs
+from tallymark.plans.reconcile import _anti_outcome, _full_outcome, _hash_outcome, prepare, reconcile, slim_pairs
 
 LIBRARY = Path(__file__).resolve().parents[1] / "tallymark"
 
@@ -72,6 +72,15 @@ def test_null_safe_joins_are_hash_partitioned(spark, sf_dir):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_key_sets_of_unknown_size_are_never_broadcast(spark, sf_dir):
+    """The size of a table's keys is guessed from its files, which may hold very many of them in a few bytes."""
+    source, target = table(spark, sf_dir, "orders"), orders_target(spark, sf_dir)
+    found = [_anti_outcome(prepare(source, target, ["o_orderkey"])), *(f(source, target, ["o_orderkey"]) for f in (keys_in, keys_not_in))]
+    for df in found:
+        assert "SortMergeJoin" in plan(df) and "Broadcast" not in plan(df)
+    assert "BroadcastHashJoin" in plan(keys_in(source, target, ["o_orderkey"], few=True))
+
+
 def test_details_have_one_plan_whatever_the_number_of_differences(spark, sf_dir):
     source, target = table(spark, sf_dir, "orders"), orders_target(spark, sf_dir)
     many = plan(reconcile(source, target, ["o_orderkey"]).diff_plan())
