@@ -222,7 +222,9 @@ def reconcile(
         raise ValueError(f"on_duplicate='cancel' goes with method 'hash' or 'digest', not {method!r}")
     if on_duplicate == "cancel":
         return _cancelled(sides, method, snapshot, hot_key_rows)
-    sides = _settle_duplicates(sides, on_duplicate, check=method in ("full", "anti"), hot_key_rows=hot_key_rows)
+    stacked = on_duplicate == "ordinal" and method == "hash" and _widest_key(sides) <= hot_key_rows
+    if not stacked:
+        sides = _settle_duplicates(sides, on_duplicate, check=method in ("full", "anti"), hot_key_rows=hot_key_rows)
     asked, digest = sides, None
     if method == "digest":
         digest = compare_digests(sides.source, sides.target, sides.pairing, sides.columns)
@@ -230,7 +232,7 @@ def reconcile(
     outcome_of = {"hash": _hash_outcome, "digest": _hash_outcome, "full": _full_outcome, "anti": _anti_outcome}[method]
     if on_duplicate == "ordinal" and method == "hash":
         # numbering has moved the full rows by key already: their cells are compared there, not looked up again
-        outcome_of = _full_outcome
+        outcome_of = _stacked_outcome if stacked else _full_outcome
     rows = outcome_of(asked)
     outcome, found = _written(rows, sides.pairing)
     counts = _counts(sides, found)
@@ -388,6 +390,12 @@ def _cast(df: DataFrame, types: Mapping) -> DataFrame:
     return df.withColumns(chosen) if chosen else df
 
 
+def _widest_key(sides: Sides) -> int:
+    """The most rows that one key has on either side."""
+    pairs = slim_pairs(replace(sides, columns=[]))
+    return pairs.agg(F.max(F.greatest("src_rows", "tgt_rows"))).first()[0] or 0
+
+
 def _settle_duplicates(sides: Sides, on_duplicate: str, check: bool, hot_key_rows: int) -> Sides:
     if on_duplicate == "error":
         # the hash method sees repeated keys in its own pass
@@ -402,15 +410,16 @@ def _settle_duplicates(sides: Sides, on_duplicate: str, check: bool, hot_key_row
     most = F.greatest("src_rows", "tgt_rows")
     widest = Observation("widest")
     repeated = stash(
-        pairs.filter(most > 1).observe(widest, F.max(most).alias("most")).select(*[col(k) for k in sides.keys]),
+        pairs.filter(most > 1).observe(widest, F.max(most).alias("most"), F.count(F.lit(1)).alias("keys")).select(*[col(k) for k in sides.keys]),
         "repeated-keys",
     )
     hot = (widest.get["most"] or 0) > hot_key_rows
+    few = (widest.get["keys"] or 0) <= FEW_KEYS
 
     def numbered(side: DataFrame) -> DataFrame:
         order = [*sides.columns, *([SERVER_COLUMN] if SERVER_COLUMN in side.columns else [])]
-        once = keys_not_in(side, repeated, sides.keys).withColumn(_ORDINAL, F.lit(1).cast("bigint"))
-        again = keys_in(side, repeated, sides.keys)
+        once = keys_not_in(side, repeated, sides.keys, few).withColumn(_ORDINAL, F.lit(1).cast("bigint"))
+        again = keys_in(side, repeated, sides.keys, few)
         again = (
             number_within_keys(again, sides.keys, order, _ORDINAL, hot_key_rows)
             if hot else number_cold_keys(again, sides.keys, order, _ORDINAL)
@@ -510,6 +519,38 @@ def _full_outcome(sides: Sides) -> DataFrame:
     return _statuses(joined, sides, status, keys)
 
 
+def _stacked_outcome(sides: Sides) -> DataFrame:
+    """Repeated keys paired by order, where no key is hot: both sides are stacked and move once, by key. There rows are
+    numbered within key and side, and those of one number meet by grouping."""
+    tag = F.lit(None).cast("string").alias(SERVER_COLUMN)
+    values = [*sides.columns, SERVER_COLUMN]
+
+    def stacked(side: DataFrame, number: int) -> DataFrame:
+        rows = side if SERVER_COLUMN in side.columns else side.select("*", tag)
+        return rows.select(*[col(c) for c in [*sides.keys, *values]], F.lit(number).alias(SIDE))
+
+    rows = stacked(sides.source, 0).unionByName(stacked(sides.target, 1)).repartition(*[col(k) for k in sides.keys])
+    numbered = number_cold_keys(rows, [*sides.keys, SIDE], values, _ORDINAL)
+    pairing = [*sides.keys, _ORDINAL]
+    # the tag makes a struct of no compared columns one field wide
+    held = F.struct(*[col(c) for c in values])
+    met = numbered.groupBy(*[col(c) for c in pairing]).agg(*[
+        F.first(F.when(col(SIDE) == number, held), ignorenulls=True).alias(name) for number, name in enumerate(("_tm_src", "_tm_tgt"))
+    ])
+    joined = met.select(
+        *[col(k).alias(f"src_{k}") for k in pairing],
+        *[col(f"_tm_{side}").getField(c).alias(f"{side}_{c}") for side in ("src", "tgt") for c in values],
+        col("_tm_src").isNotNull().alias("_tm_in_src"), col("_tm_tgt").isNotNull().alias("_tm_in_tgt"),
+    )
+    status = (
+        F.when(~col("_tm_in_tgt"), MISSING)
+        .when(~col("_tm_in_src"), EXTRA)
+        .when(_any_differs(sides.columns), MISMATCH)
+        .otherwise(MATCH)
+    )
+    return _statuses(joined, sides, status, {k: col(f"src_{k}") for k in pairing})
+
+
 def _anti_outcome(sides: Sides) -> DataFrame:
     both = null_safe_join(sides.source, sides.target, sides.pairing, "inner")
     status = F.when(_any_differs(sides.columns), MISMATCH).otherwise(MATCH)

@@ -12,7 +12,8 @@ from tallymark.operators.joins import null_safe_join
 from tallymark.operators.keys import keys_in, keys_not_in
 from tallymark.operators.mapping import apply_mapping, select_partial
 from tallymark.operators.rownumber import number_rows
-from tallymark.plans.reconcile import _anti_outcome, _full_outcome, _hash_outcome, prepare, reconcile, slim_pairs
+from tallymark.plans.reconcile import _anti_outcome, _full_outcome, _hash_outcome, _stacked_outcome, prepare, reconcile, slim_pairs
+from tests.conftest import rows
 
 LIBRARY = Path(__file__).resolve().parents[1] / "tallymark"
 
@@ -72,6 +73,20 @@ def test_null_safe_joins_are_hash_partitioned(spark, sf_dir):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_ordinal_pairing_moves_rows_once(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem")
+    target = lines.filter("l_suppkey % 7 <> 0")
+    result = reconcile(lines, target, ["l_orderkey"], on_duplicate="ordinal")
+    text = plan(_stacked_outcome(result.sides))
+    assert text.count("Exchange") == 1 and "Exchange hashpartitioning(l_orderkey" in text and "Join" not in text
+    # not numbered and joined beforehand either
+    assert "Join" not in plan(result.sides.source) and "Window" not in plan(result.sides.source)
+    by_join = reconcile(lines, target, ["l_orderkey"], method="full", on_duplicate="ordinal")
+    hot = reconcile(lines, target, ["l_orderkey"], on_duplicate="ordinal", hot_key_rows=3)
+    assert result.counts == by_join.counts == hot.counts and result.counts.missing_rows > 0
+    assert rows(result.diff) == rows(by_join.diff) == rows(hot.diff)
+
+
 def test_key_sets_of_unknown_size_are_never_broadcast(spark, sf_dir):
     """The size of a table's keys is guessed from its files, which may hold very many of them in a few bytes."""
     source, target = table(spark, sf_dir, "orders"), orders_target(spark, sf_dir)
